@@ -1,0 +1,5 @@
+"""Intentionally empty: every relation of this warehouse is a finished, bounded table.
+
+Nothing in scope has a watermark, a trigger or streaming state, so no streaming
+operator is provided.
+"""
