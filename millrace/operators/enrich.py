@@ -34,7 +34,7 @@ def reconcile(orders: DataFrame) -> DataFrame:
 def reconciliation(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Header amounts against line amounts, one row per order."""
     header = orders.select("order_id", "subtotal", "tax", "delivery_fee", "discount", "total_amount")
-    both = lookup_join(header, items.select("order_id", "items_subtotal"), "order_id")
+    both = header.join(items.select("order_id", "items_subtotal"), "order_id", "left")
     return reconcile(both).select(
         "order_id",
         F.col("subtotal").alias("orders_subtotal"),
@@ -54,22 +54,30 @@ def enrich_orders(
 ) -> DataFrame:
     """Order header with line rollup, status rollup, delivery and reconciliation.
 
-    All inputs have one row per order and share the key, so one partitioning by
-    order serves every join; the reconciliation needs no join of its own.
+    All inputs have one row per order, so no key can be hot, and they share the
+    key, so one partitioning by order serves every join; the reconciliation needs
+    no join of its own.
     """
-    return reconcile(lookup_join(orders, [items, statuses, deliveries], "order_id"))
+    for one_per_order in (items, statuses, deliveries):
+        orders = orders.join(one_per_order, "order_id", "left")
+    return reconcile(orders)
 
 
-def lines_with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def lines_with_order(
+    lines: DataFrame, orders: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
     """Order lines with the context of their order; lines of unknown orders are kept."""
     header = orders.select(
         "order_id", "customer_id", "restaurant_id", "currency_id", "order_placed_at", "order_date_utc"
     )
     body = lines.select("order_item_id", "order_id", "menu_item_id", "quantity", "unit_price", "line_total")
-    return lookup_join(body, header, "order_id").select(*body.columns, *header.columns[1:])
+    joined = lookup_join(body, header, "order_id", keys_from=keys_from)
+    return joined.select(*body.columns, *header.columns[1:])
 
 
-def enrich_lines(lines_in_context: DataFrame, menu_items: DataFrame) -> DataFrame:
+def enrich_lines(
+    lines_in_context: DataFrame, menu_items: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
     """Add the menu item of each line, and whether item and order agree on the restaurant."""
     menu = menu_items.select(
         "menu_item_id",
@@ -80,7 +88,7 @@ def enrich_lines(lines_in_context: DataFrame, menu_items: DataFrame) -> DataFram
         "is_available",
     )
     same = F.col("item_restaurant_id") == F.col("restaurant_id")
-    return lookup_join(lines_in_context, menu, "menu_item_id").select(
+    return lookup_join(lines_in_context, menu, "menu_item_id", keys_from=keys_from).select(
         *lines_in_context.columns, *menu.columns[2:], same.alias("is_menu_item_from_order_restaurant")
     )
 
@@ -125,7 +133,9 @@ def role_playing(facts: DataFrame, dimension: DataFrame, key: str, roles: dict[s
     ``roles`` maps a prefix to the fact's foreign key; attributes come back as
     ``<prefix>_<attribute>``.
     """
+    out = facts
     for prefix, fk in roles.items():
         names = [F.col(a).alias(f"{prefix}_{a}") for a in attributes]
-        facts = lookup_join(facts, dimension.select(F.col(key).alias(f"{prefix}_key"), *names), {fk: f"{prefix}_key"})
-    return facts
+        role = dimension.select(F.col(key).alias(f"{prefix}_key"), *names)
+        out = lookup_join(out, role, {fk: f"{prefix}_key"}, keys_from=facts)
+    return out

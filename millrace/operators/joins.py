@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,14 +35,21 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that may hold ``share`` of the rows or more.
+    """Hashes of the keys that hold ``share`` of the rows or more.
 
-    One scan of the key columns with a bounded counter per partition and no
-    shuffle of rows. Every key that frequent is found; some rarer ones may be
-    listed too, which only costs a few replicated rows.
+    Two scans of the key columns alone, without a shuffle of rows: the first keeps
+    a bounded counter per partition and finds every key that could be that
+    frequent, the second counts these candidates exactly.
     """
-    found = df.select(F.xxhash64(*keys).alias("h")).freqItems(["h"], share).first()
-    return list(found[0] or []) if found else []
+    hashes = df.select(F.xxhash64(*keys).alias("h"))
+    row = hashes.freqItems(["h"], share).first()
+    candidates = list(row[0] or []) if row else []
+    if not candidates:
+        return []
+    marked = hashes.select(F.when(F.col("h").isin(candidates), F.col("h")).alias("h"))
+    counts = dict(marked.groupBy("h").agg(F.count("*").alias("n")).collect())
+    total = sum(counts.values())
+    return [h for h, n in counts.items() if h is not None and n >= share * total]
 
 
 def _salted(left: DataFrame, keys: Sequence[str], hot: list[int], parts: int) -> DataFrame:
@@ -57,13 +66,19 @@ def _replicated(right: DataFrame, hashed: Column, hot: list[int], parts: int) ->
     return right.withColumn(_SALT + "_r", F.explode(copies))
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Generous size of one row in a broadcast table: 64 bytes per column."""
+    return 64 * len(df.columns)
+
+
 def lookup_join(
     left: DataFrame,
     rights: DataFrame | Sequence[DataFrame],
     on: str | Sequence[str] | dict[str, str],
     how: str = "left",
     condition: Callable[[], Column] | None = None,
-    hot: list[int] | None = None,
+    keys_from: DataFrame | None = None,
+    counted: int | None = None,
 ) -> DataFrame:
     """Join ``left`` with one or more relations on the same left key.
 
@@ -76,32 +91,38 @@ def lookup_join(
     are spread over salted sub-keys and the matching right rows are copied to each
     sub-key. The left side is salted once, so all joins of one call share one
     partitioning of it; without hot keys the plan is the plain join.
+
+    ``keys_from`` is a relation with the key columns and the key frequencies of
+    ``left`` that is cheaper to scan, such as the base table that ``left``
+    enriches. ``counted`` is the exact number of right rows where the caller knows
+    it; it then decides about the broadcast in place of the estimate.
     """
     rights = [rights] if isinstance(rights, DataFrame) else list(rights)
     pairs = dict(on) if isinstance(on, dict) else {k: k for k in ([on] if isinstance(on, str) else on)}
     keys = list(pairs)
-    large = [not fits_broadcast(r) for r in rights]
-    if hot is None:
-        hot = hot_hashes(left, keys) if any(large) else []
+    if counted is None:
+        large = [not fits_broadcast(r) for r in rights]
+    else:
+        limit = broadcast_limit(left)
+        large = [counted * row_bytes(r) > limit for r in rights]
+        rights = [r if is_large else F.broadcast(r) for r, is_large in zip(rights, large)]
+    hot = hot_hashes(left if keys_from is None else keys_from, keys) if any(large) else []
     parts = max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     out = _salted(left, keys, hot, parts) if hot else left
     for right, is_large in zip(rights, large):
-        renamed = right.withColumnsRenamed({r: _KEY + r for r in pairs.values()})
         names = [_KEY + r for r in pairs.values()]
+        renamed = right.withColumnsRenamed({r: _KEY + r for r in pairs.values()})
         match = [F.col(k) == F.col(n) for k, n in zip(keys, names)]
-        extra = names
+        extra = list(names)
         if hot and is_large:
             # Both sides hash the key in the left types, so equal keys hash alike.
             typed = [F.col(n).cast(left.schema[k].dataType) for k, n in zip(keys, names)]
             renamed = _replicated(renamed, F.xxhash64(*typed), hot, parts)
             match.append(F.col(_SALT) == F.col(_SALT + "_r"))
-            extra = names + [_SALT + "_r"]
+            extra.append(_SALT + "_r")
         if condition is not None:
             match.append(condition())
-        cond = match[0]
-        for m in match[1:]:
-            cond = cond & m
-        out = out.join(renamed, cond, how).drop(*extra)
+        out = out.join(renamed, reduce(and_, match), how).drop(*extra)
     return out.drop(_SALT) if hot else out
 
 

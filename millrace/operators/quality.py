@@ -169,8 +169,10 @@ def report(checks: Sequence[Check], relations: dict[str, DataFrame]) -> DataFram
     parts = [_row_counts(name, relations[name], group) for name, group in row_level.items()]
     if key_level:
         # A check whose relation is empty has no keys; it still gets its row.
+        # The counts are broadcast: they have at most one row per check.
         numbered = _declared(relations, key_level)
-        found = numbered.join(_key_counts(relations, key_level), "check", "left").select(
+        counts = F.broadcast(_key_counts(relations, key_level))
+        found = numbered.join(counts, "check", "left").select(
             "relation", "check_name", F.coalesce("failures", F.lit(0)).alias("failures")
         )
         parts.append(found)

@@ -8,14 +8,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.temporal import minutes_between
+from millrace.operators.joins import fits_broadcast, hot_hashes
 
 
-def line_rollup(lines: DataFrame, parent: str, item: str, quantity: str, amount: str) -> DataFrame:
+def line_rollup(
+    lines: DataFrame,
+    parent: str,
+    item: str,
+    quantity: str,
+    amount: str,
+    keys_from: DataFrame | None = None,
+) -> DataFrame:
     """Amount, quantity, line count and distinct items per parent.
 
-    The distinct count makes Spark reduce to (parent, item) before and after the
-    first shuffle, so a parent with very many lines is spread over its items.
+    Lines are normally gathered by parent in one shuffle, which also serves the
+    distinct count and later joins on the parent. If some parent holds a large
+    part of the lines, Spark's two-step distinct plan is kept instead: it reduces
+    to (parent, item) first and so spreads that parent over its items.
+    ``keys_from`` is a relation with the parents of ``lines`` that is cheaper to scan.
     """
+    parents = (lines if keys_from is None else keys_from).select(parent)
+    if fits_broadcast(parents) or not hot_hashes(parents, [parent]):
+        lines = lines.repartition(parent)
     return lines.groupBy(parent).agg(
         F.round(F.sum(amount), 2).cast("decimal(22,2)").alias("items_subtotal"),
         F.sum(quantity).cast("bigint").alias("items_total_qty"),

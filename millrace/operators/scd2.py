@@ -117,14 +117,16 @@ def asof_join(
     ts: str,
     attributes: Sequence[str],
     long_history: int = 64,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Bind each fact to the version of its key with ``valid_from <= ts < valid_to``.
 
     Facts without a match are kept with NULL attributes; an open version never
-    ends. Keys with more than ``long_history`` versions are cut into time slices,
-    and facts meet only the versions of their own slice, so the work per fact does
-    not grow with the length of a key's history. Hot keys of the facts are spread
-    by ``lookup_join``.
+    ends. The versions are counted first. If they are few they are broadcast;
+    otherwise hot keys of the facts are spread by ``lookup_join``. Keys with more
+    than ``long_history`` versions are cut into time slices, and facts meet only
+    the versions of their own slice, so the work per fact does not grow with the
+    length of a key's history.
     """
     v = versions.select(
         F.col(key),
@@ -141,31 +143,30 @@ def asof_join(
         F.min(micros(F.col("valid_from"))).alias("__lo"),
         F.max(micros(F.col("valid_from"))).alias("__hi"),
     )
-    longest = spans.agg(F.max("__n")).first()[0] or 0
-    if longest <= long_history:
-        return lookup_join(facts, v, key, condition=inside).drop("__from", "__to")
+    longest, total = spans.agg(F.max("__n"), F.sum("__n")).first()
+    if (longest or 0) <= long_history:
+        joined = lookup_join(facts, v, key, condition=inside, keys_from=keys_from, counted=total or 0)
+        return joined.drop("__from", "__to")
 
-    # About eight versions per slice; NULL bounds mean a short history (slice 0).
+    # About eight versions per slice; keys with a short history have one slice.
     long = spans.where(F.col("__n") > long_history).select(
         key, "__lo", "__hi", F.ceil(F.col("__n") / F.lit(8)).alias("__slices")
     )
 
     def slice_of(at: Column) -> Column:
+        # Never decreasing in time, so [from, to) covers the slices between its ends.
         share = (micros(at) - F.col("__lo")) / F.greatest(F.col("__hi") - F.col("__lo"), F.lit(1))
         position = F.floor(share * F.col("__slices"))
         bounded = F.greatest(F.lit(0), F.least(position, F.col("__slices") - F.lit(1)))
-        return F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(bounded).cast("bigint")
-
-    sliced = lookup_join(facts, long, key).withColumn("__slice", slice_of(F.col(ts)))
-    sliced = sliced.withColumn("__slice", F.coalesce("__slice", F.lit(0)))
-    covered = lookup_join(v, long, key)
-    last = F.when(F.col("__to").isNull(), F.coalesce(F.col("__slices") - F.lit(1), F.lit(0)))
-    covered = covered.withColumn(
-        "__slice",
-        F.explode(
-            F.sequence(slice_of(F.col("__from")), last.otherwise(slice_of(F.col("__to"))).cast("bigint"))
-        ),
-    ).drop("__lo", "__hi", "__slices")
-    sliced = sliced.drop("__lo", "__hi", "__slices")
-    out = lookup_join(sliced, covered, [key, "__slice"], condition=inside)
+        return F.coalesce(F.when(F.col("__slices").isNotNull(), bounded), F.lit(0)).cast("bigint")
+
+    bounds = ["__lo", "__hi", "__slices"]
+    sliced = lookup_join(facts, long, key, keys_from=keys_from).withColumn("__slice", slice_of(F.col(ts)))
+    last = F.when(F.col("__to").isNotNull(), slice_of(F.col("__to"))).otherwise(
+        F.coalesce(F.col("__slices") - F.lit(1), F.lit(0)).cast("bigint")
+    )
+    covered = lookup_join(v, long, key).withColumn(
+        "__slice", F.explode(F.sequence(slice_of(F.col("__from")), last))
+    )
+    out = lookup_join(sliced.drop(*bounds), covered.drop(*bounds), [key, "__slice"], condition=inside)
     return out.drop("__slice", "__from", "__to")

@@ -336,19 +336,23 @@ def total_mismatch(orders: DataFrame) -> DataFrame:
     )
 
 
-def _with_order(refunds: DataFrame, orders: DataFrame, column: str) -> DataFrame:
+def _with_order(refunds: DataFrame, orders: DataFrame, column: str, keys_from: DataFrame | None) -> DataFrame:
     """Refunds with one column of their order; refunds without an order are left out."""
-    return lookup_join(refunds, orders.select("order_id", column), "order_id", how="inner")
+    return lookup_join(refunds, orders.select("order_id", column), "order_id", "inner", keys_from=keys_from)
 
 
-def refund_before_order(refunds: DataFrame, orders: DataFrame) -> DataFrame:
-    both = _with_order(refunds, orders, "order_placed_at")
+def refund_before_order(
+    refunds: DataFrame, orders: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
+    both = _with_order(refunds, orders, "order_placed_at", keys_from)
     early = both.where(F.col("refund_ts") < F.col("order_placed_at"))
     return early.select("refund_id", "order_id", "refund_ts", "order_placed_at")
 
 
-def refund_above_total(refunds: DataFrame, orders: DataFrame) -> DataFrame:
-    both = _with_order(refunds, orders, "total_amount")
+def refund_above_total(
+    refunds: DataFrame, orders: DataFrame, keys_from: DataFrame | None = None
+) -> DataFrame:
+    both = _with_order(refunds, orders, "total_amount", keys_from)
     allowed = F.col("total_amount") + F.lit("0.01").cast("decimal(3,2)")
     above = both.where(F.col("refund_amount") > allowed)
     return above.select("refund_id", "order_id", "refund_amount", "total_amount")
@@ -365,8 +369,8 @@ def business_rules(warehouse) -> dict[str, DataFrame]:
         "orders_subtotal_matches_items": subtotal_mismatch(orders),
         "orders_milestone_order": milestones_out_of_order(orders),
         "orders_total_consistency": total_mismatch(orders),
-        "refunds_after_order": refund_before_order(refunds, orders),
-        "refunds_within_total": refund_above_total(refunds, orders),
+        "refunds_after_order": refund_before_order(refunds, orders, warehouse.staged("refunds")),
+        "refunds_within_total": refund_above_total(refunds, orders, warehouse.staged("refunds")),
     }
 
 

@@ -261,8 +261,8 @@ MODELS = {
     "refund_enriched": ("refunds_enriched", "int_refunds_enriched"),
     "outlet_brand_lookup": ("restaurants_snapshot_source", "int_restaurants_snapshot_source"),
     "menu_snapshot_source": ("menu_items_snapshot_source", "int_menu_items_snapshot_source"),
-    "scd2_merge_part": ("menu_history", "snap_menu_items"),
-    "scd2_merge_supplier": ("restaurant_history", "snap_restaurants"),
+    "scd2_merge_part": ("merged_menu", "snap_menu_items"),
+    "scd2_merge_supplier": ("merged_restaurants", "snap_restaurants"),
     "scd2_dim": ("dim_menu_items", "dim_menu_items"),
     "scd2_dim_restaurants": ("dim_restaurants", "dim_restaurants"),
     "scd2_backfill": ("dim_menu_items_backfill", "dim_menu_items_backfill"),
@@ -280,7 +280,8 @@ MODELS = {
 
 
 def _model(model: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return getattr(DerivedWarehouse(spark, sf_dir), model)
+    found = getattr(DerivedWarehouse(spark, sf_dir), model)
+    return found() if callable(found) else found
 
 
 for _name, (_attribute, _relation) in MODELS.items():
@@ -323,8 +324,12 @@ def scd2_rerun(spark, sf_dir):
 # Checks
 
 
-def check_query(name: str, oracle: str, build: Callable[[DerivedWarehouse], DataFrame]) -> None:
-    register(name, oracle)(lambda spark, sf_dir: build(DerivedWarehouse(spark, sf_dir)))
+def check_query(
+    name: str, oracle: str, build: Callable[[DerivedWarehouse], DataFrame], shared: bool = False
+) -> None:
+    """Register a check; ``shared`` writes the nodes that the check reads several times."""
+    options = {"keep": write_out} if shared else {}
+    register(name, oracle)(lambda spark, sf_dir: build(DerivedWarehouse(spark, sf_dir, **options)))
 
 
 def one_check(kind: str, relation: str, *columns: str, where: str | None = None) -> Callable:
@@ -444,13 +449,13 @@ check_query(
     "dq_cross_table",
     "select refund_id, order_id, refund_ts, order_placed_at from fct_refunds join"
     " (select order_id, order_placed_at from fct_orders) using (order_id) where refund_ts < order_placed_at",
-    lambda w: checks.refund_before_order(w.fct_refunds, w.fct_orders),
+    lambda w: checks.refund_before_order(w.fct_refunds, w.fct_orders, w.staged("refunds")),
 )
 check_query(
     "dq_refund_above_total",
     "select refund_id, order_id, refund_amount, total_amount from fct_refunds join"
     " (select order_id, total_amount from fct_orders) using (order_id) where refund_amount > total_amount + 0.01",
-    lambda w: checks.refund_above_total(w.fct_refunds, w.fct_orders),
+    lambda w: checks.refund_above_total(w.fct_refunds, w.fct_orders, w.staged("refunds")),
 )
 
 

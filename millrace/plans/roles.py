@@ -8,12 +8,15 @@ cleaning and the checks to find.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.scd2 import first_history, merge_snapshot
 from millrace.plans.staging import DAY_COLUMNS
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
+from millrace.session import write_out
 from millrace.sources.bronze import with_day, with_parent_day
 
 GIVEN = (
@@ -300,28 +303,29 @@ def history(batches: list[DataFrame], key: str, check: tuple[str, ...]) -> DataF
 
 
 class DerivedWarehouse(Warehouse):
-    """The warehouse over the derived tables, with histories of three snapshots."""
+    """The warehouse over the derived tables, with histories of three snapshots.
+
+    The histories are written once and read back, as a persisted snapshot table is.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, keep=lambda df, name: df):
         super().__init__(RawTables(spark, sf_dir), keep=keep)
 
-    @property
-    def menu_history(self) -> DataFrame:
-        if self._menu is None:
-            self._menu = history(menu_batches(self.menu_items_snapshot_source), "menu_item_id", MENU_CHECK)
-        return self._menu
+    def keys_of(self, table: str) -> DataFrame:
+        # The day columns are not needed here, and the lines take theirs from a join.
+        return source_table(self.raw.spark, self.raw.sf_dir, table)
 
-    @menu_history.setter
-    def menu_history(self, value: DataFrame | None) -> None:
-        self._menu = value
+    def merged_menu(self) -> DataFrame:
+        return history(menu_batches(self.menu_items_snapshot_source), "menu_item_id", MENU_CHECK)
 
-    @property
-    def restaurant_history(self) -> DataFrame:
-        if self._restaurants is None:
-            batches = restaurant_batches(self.restaurants_snapshot_source)
-            self._restaurants = history(batches, "restaurant_id", RESTAURANT_CHECK)
-        return self._restaurants
+    def merged_restaurants(self) -> DataFrame:
+        batches = restaurant_batches(self.restaurants_snapshot_source)
+        return history(batches, "restaurant_id", RESTAURANT_CHECK)
 
-    @restaurant_history.setter
-    def restaurant_history(self, value: DataFrame | None) -> None:
-        self._restaurants = value
+    @cached_property
+    def menu_history(self) -> DataFrame:
+        return write_out(self.merged_menu(), "menu_history")
+
+    @cached_property
+    def restaurant_history(self) -> DataFrame:
+        return write_out(self.merged_restaurants(), "restaurant_history")

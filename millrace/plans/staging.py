@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from millrace.functions import cleaning
 
@@ -165,7 +166,7 @@ def source_of(target: str, kind: str) -> tuple[str, str]:
     return kind, source or target
 
 
-def staged_column(target: str, entry: str) -> Column:
+def staged_column(target: str, entry: str, raw: DataFrame) -> Column:
     kind, source = source_of(target, entry)
     safe = kind.startswith("try ")
     dtype = kind.removeprefix("try ")
@@ -173,6 +174,8 @@ def staged_column(target: str, entry: str) -> Column:
         out = cleaning.clean_text(source)
     elif dtype == "category":
         out = cleaning.clean_category(source)
+    elif dtype == "timestamp" and isinstance(raw.schema[source].dataType, TimestampNTZType):
+        out = F.col(source)  # already a UTC wall-clock time
     elif dtype == "timestamp":
         out = cleaning.utc_timestamp(source, safe)
     elif safe:
@@ -184,4 +187,4 @@ def staged_column(target: str, entry: str) -> Column:
 
 def stage(table: str, raw: DataFrame) -> DataFrame:
     """Typed and cleaned projection of a raw table; keeps every row."""
-    return raw.select(*[staged_column(target, entry) for target, entry in STAGED[table].items()])
+    return raw.select(*[staged_column(target, entry, raw) for target, entry in STAGED[table].items()])

@@ -91,8 +91,10 @@ class Warehouse:
         keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
     ):
         self.raw = raw
-        self.menu_history = menu_history
-        self.restaurant_history = restaurant_history
+        if menu_history is not None:
+            self.menu_history = menu_history
+        if restaurant_history is not None:
+            self.restaurant_history = restaurant_history
         self.keep = keep
         self._staged: dict[str, DataFrame] = {}
 
@@ -101,6 +103,10 @@ class Warehouse:
             self._staged[table] = stage(table, self.raw[table])
         return self._staged[table]
 
+    def keys_of(self, table: str) -> DataFrame:
+        """A staged table for scans of its keys only, to find hot ones."""
+        return self.staged(table)
+
     # Intermediate models
 
     @cached_property
@@ -115,7 +121,14 @@ class Warehouse:
 
     @cached_property
     def items_rollup(self) -> DataFrame:
-        rolled = line_rollup(self.staged("order_items"), "order_id", "menu_item_id", "quantity", "line_total")
+        rolled = line_rollup(
+            self.staged("order_items"),
+            "order_id",
+            "menu_item_id",
+            "quantity",
+            "line_total",
+            keys_from=self.keys_of("order_items"),
+        )
         return self.keep(rolled, "items_rollup")
 
     @cached_property
@@ -150,11 +163,11 @@ class Warehouse:
 
     @cached_property
     def lines_with_order(self) -> DataFrame:
-        return lines_with_order(self.staged("order_items"), self.staged("orders"))
+        return lines_with_order(self.staged("order_items"), self.staged("orders"), self.keys_of("order_items"))
 
     @cached_property
     def order_items_enriched(self) -> DataFrame:
-        return enrich_lines(self.lines_with_order, self.staged("menu_items"))
+        return enrich_lines(self.lines_with_order, self.staged("menu_items"), self.keys_of("order_items"))
 
     @cached_property
     def refunds_enriched(self) -> DataFrame:
@@ -218,6 +231,7 @@ class Warehouse:
             "restaurant_id",
             "order_placed_at",
             ["restaurant_sk", "is_current_restaurant_details"],
+            keys_from=self.keys_of("orders"),
         )
         return self.keep(bound, "fct_orders")
 
@@ -231,6 +245,7 @@ class Warehouse:
             "menu_item_id",
             "order_placed_at",
             ["menu_item_sk", "is_current_menu_item_details"],
+            keys_from=self.keys_of("order_items"),
         )
         return bound.select(
             "order_item_id",
@@ -250,9 +265,20 @@ class Warehouse:
 
     @cached_property
     def fct_refunds(self) -> DataFrame:
-        refunds = self.refunds_enriched.drop("items_subtotal")
-        orders = self.fct_orders.select("order_id", "restaurant_sk", "payment_method", "payment_status")
-        joined = lookup_join(refunds, [orders, self.items_rollup], "order_id")
+        # The order fact holds the whole order context, so one lookup brings both the
+        # context and the dimension key.
+        orders = self.fct_orders.select(
+            "order_id",
+            "customer_id",
+            "restaurant_id",
+            "restaurant_sk",
+            "total_amount",
+            "payment_method",
+            "payment_status",
+        )
+        joined = lookup_join(self.staged("refunds"), [orders, self.items_rollup], "order_id")
+        within = F.col("refund_amount") <= F.col("total_amount")
+        joined = joined.withColumn("is_refund_not_exceed_total", within)
         return joined.select(
             "refund_id",
             "order_id",
