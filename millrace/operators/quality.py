@@ -6,11 +6,13 @@ A check passes when it has no violations. NULL passes every check except
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from millrace.operators.joins import orphans
 
@@ -114,6 +116,16 @@ def _as_text(columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *parts)
 
 
+def _whole_numbers(check: Check, relations: dict[str, DataFrame]) -> bool:
+    """Whether a key check compares single integer columns only."""
+    if len(check.columns) > 1:
+        return False
+    used = [relations[check.relation].schema[check.columns[0]]]
+    if check.parent:
+        used.append(relations[check.parent[0]].schema[check.parent[1]])
+    return all(isinstance(f.dataType, IntegralType) for f in used)
+
+
 def _entry(number: int, key: Column, is_child: bool, keep: Column) -> Column:
     entry = F.struct(
         F.lit(number).alias("check"), F.lit(is_child).alias("is_child"), key.alias("key")
@@ -121,8 +133,10 @@ def _entry(number: int, key: Column, is_child: bool, keep: Column) -> Column:
     return F.when(keep, entry)
 
 
-def _key_counts(relations: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Failures of all key checks (unique, combination, relationships) by check number.
+def _key_counts(
+    relations: dict[str, DataFrame], checks: dict[int, Check], as_key: Callable[[Sequence[str]], Column]
+) -> DataFrame:
+    """Failures of numbered key checks (unique, combination, relationships).
 
     Each relation is scanned once and gives one (check, key) row per check it
     takes part in, as child or as parent. Rows are counted per key before and
@@ -131,8 +145,8 @@ def _key_counts(relations: dict[str, DataFrame], checks: Sequence[Check]) -> Dat
     """
     by_relation: dict[str, list[Column]] = {}
     references = []
-    for n, c in enumerate(checks):
-        key = _as_text(c.columns)
+    for n, c in checks.items():
+        key = as_key(c.columns)
         keep = F.lit(True) if c.kind == "unique_combination" else key.isNotNull()
         if c.where:
             keep = keep & F.coalesce(F.expr(c.where), F.lit(False))
@@ -140,12 +154,13 @@ def _key_counts(relations: dict[str, DataFrame], checks: Sequence[Check]) -> Dat
         if c.kind == "relationships":
             references.append(n)
             parent, column = c.parent
-            key = _as_text([column])
+            key = as_key([column])
             by_relation.setdefault(parent, []).append(_entry(n, key, False, key.isNotNull()))
-    keys = None
-    for name, entries in by_relation.items():
-        part = relations[name].select(F.inline(F.array_compact(F.array(*entries))))
-        keys = part if keys is None else keys.unionByName(part)
+    parts = [
+        relations[name].select(F.inline(F.array_compact(F.array(*entries))))
+        for name, entries in by_relation.items()
+    ]
+    keys = reduce(DataFrame.unionByName, parts)
     per_key = keys.groupBy("check", "key").agg(
         F.count_if("is_child").alias("children"), F.count_if(~F.col("is_child")).alias("parents")
     )
@@ -158,8 +173,9 @@ def _key_counts(relations: dict[str, DataFrame], checks: Sequence[Check]) -> Dat
 def report(checks: Sequence[Check], relations: dict[str, DataFrame]) -> DataFrame:
     """One row per check: relation, name, failures and status.
 
-    Row-level checks cost one scan per relation; all key checks together cost one
-    further scan per relation and one shuffle.
+    Row-level checks cost one scan per relation. Key checks together cost one
+    further scan per relation and one shuffle for integer keys (as 8-byte values),
+    and the same for all other keys (as text).
     """
     row_level: dict[str, list[Check]] = {}
     for c in checks:
@@ -171,14 +187,16 @@ def report(checks: Sequence[Check], relations: dict[str, DataFrame]) -> DataFram
         # A check whose relation is empty has no keys; it still gets its row.
         # The counts are broadcast: they have at most one row per check.
         numbered = _declared(relations, key_level)
-        counts = F.broadcast(_key_counts(relations, key_level))
+        numbers = {n: c for n, c in enumerate(key_level) if _whole_numbers(c, relations)}
+        texts = {n: c for n, c in enumerate(key_level) if n not in numbers}
+        groups = [(numbers, lambda columns: F.col(columns[0]).cast("bigint")), (texts, _as_text)]
+        counted = [_key_counts(relations, group, as_key) for group, as_key in groups if group]
+        counts = F.broadcast(reduce(DataFrame.unionByName, counted))
         found = numbered.join(counts, "check", "left").select(
             "relation", "check_name", F.coalesce("failures", F.lit(0)).alias("failures")
         )
         parts.append(found)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = reduce(DataFrame.unionByName, parts)
     status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail"))
     return out.select("relation", "check_name", F.col("failures").cast("bigint"), status.alias("status"))
 
@@ -199,7 +217,4 @@ def rule_counts(rules: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("rule"), "failures")
         for name, df in rules.items()
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)

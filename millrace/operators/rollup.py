@@ -82,9 +82,7 @@ def ordered_children(
     order is unique, and shifted by the number of rows in the parent's earlier
     spans.
     """
-    rows = children.select(parent, order, *fields).withColumn(
-        "__span", F.floor(F.col(order) / F.lit(span))
-    )
+    rows = children.select(parent, order, *fields).withColumn("__span", F.expr(f"`{order}` div {span}"))
     sizes = rows.groupBy(parent, "__span").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(parent).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
     skips = sizes.select(

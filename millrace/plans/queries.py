@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from millrace.operators import quality
 from millrace.operators.joins import lookup_join
 from millrace.operators.rollup import key_ranges, ordered_children
 from millrace.plans import checks
+from millrace.plans.build import build, run_checks
 from millrace.plans.oracle_relations import sql
 from millrace.plans.roles import (
     GIVEN,
@@ -26,7 +27,7 @@ from millrace.plans.roles import (
 )
 from millrace.plans.staging import DAY_COLUMNS, STAGED
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK
-from millrace.session import configure, new_path, write_out
+from millrace.session import configure, input_bytes, new_path, size_shuffles, write_out
 from millrace.sources import bronze
 from millrace.sources.history import record_snapshot
 
@@ -38,7 +39,8 @@ ORACLES: dict[str, str] = {}
 def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def add(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(configure(spark), sf_dir)
+            size_shuffles(configure(spark), input_bytes(spark, sf_dir))
+            return build(spark, sf_dir)
 
         QUERIES[name] = run
         if oracle:
@@ -464,17 +466,6 @@ def _windows(w: DerivedWarehouse) -> DataFrame:
     return quality.report(found, checks.relations(w, *found))
 
 
-def _suite(w: DerivedWarehouse) -> DataFrame:
-    """All declared checks and the nine business rules."""
-    declared = checks.declared_checks()
-    counted = quality.report(declared, checks.relations(w, *declared))
-    status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail"))
-    rules = quality.rule_counts(checks.business_rules(w)).select(
-        F.lit("gold").alias("relation"), F.col("rule").alias("check_name"), "failures", status.alias("status")
-    )
-    return counted.unionByName(rules)
-
-
 def failures_sql(check: quality.Check) -> str:
     """Oracle count of the violations of one check."""
     source = f"(select * from {check.relation} where {check.where})" if check.where else check.relation
@@ -540,4 +531,36 @@ check_query(
 
 @register("dq_report", suite_sql(checks.declared_checks(), RULES_SQL))
 def dq_report(spark, sf_dir):
-    return _suite(DerivedWarehouse(spark, sf_dir, keep=write_out))
+    return run_checks(DerivedWarehouse(spark, sf_dir, keep=write_out))
+
+
+@register(
+    "warehouse_build",
+    " union all ".join(
+        f"select '{m}' as model, count(*) as n_rows from {r}"
+        for m, r in {
+            "dim_customers": "stg_customers",
+            "dim_customer_addresses": "stg_customer_addresses",
+            "dim_couriers": "stg_couriers",
+            "dim_currencies": "stg_currencies",
+            "dim_date": "dim_date",
+            "dim_restaurants": "stg_restaurant_outlets",
+            "dim_restaurants_backfill": "stg_restaurant_outlets",
+            "dim_menu_items": "stg_menu_items",
+            "dim_menu_items_backfill": "stg_menu_items",
+            "fct_orders": "stg_orders",
+            "fct_order_items": "stg_order_items",
+            "fct_refunds": "stg_refunds",
+            "fct_fx_rates": "stg_fx_rates",
+        }.items()
+    ),
+)
+def warehouse_build(spark, sf_dir):
+    # The complete job from the source tables to gold, with one snapshot.
+    sources = {t: source_table(spark, sf_dir, t) for t in STAGED}
+    gold, _ = build(spark, sources, new_path(spark, "warehouse"), "2002-01-01 00:00:00")
+    parts = [
+        df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("model"), "n_rows")
+        for name, df in gold.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -8,7 +8,8 @@ cleaning and the checks to find.
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -236,10 +237,12 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def source_table(
+    spark: SparkSession, sf_dir: str, name: str, read: Callable[[SparkSession, str, str], DataFrame] = given
+) -> DataFrame:
     """One source table as the operational system would hold it."""
     origin, keep, columns = DERIVED[name]
-    df = given(spark, sf_dir, origin)
+    df = read(spark, sf_dir, origin)
     if keep:
         df = df.where(keep)
     if name == "customer_addresses":
@@ -253,11 +256,15 @@ class RawTables(dict):
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
+        self._read = cache(given)
+
+    def source(self, name: str) -> DataFrame:
+        return source_table(self.spark, self.sf_dir, name, self._read)
 
     def __missing__(self, name: str) -> DataFrame:
-        df = source_table(self.spark, self.sf_dir, name)
+        df = self.source(name)
         if name == "order_items":
-            orders = source_table(self.spark, self.sf_dir, "orders")
+            orders = self.source("orders")
             df = with_parent_day(df, orders, "order_id", *DAY_COLUMNS[name])
         elif name in DAY_COLUMNS:
             df = with_day(df, *DAY_COLUMNS[name])
@@ -313,7 +320,7 @@ class DerivedWarehouse(Warehouse):
 
     def keys_of(self, table: str) -> DataFrame:
         # The day columns are not needed here, and the lines take theirs from a join.
-        return source_table(self.raw.spark, self.raw.sf_dir, table)
+        return self.raw.source(table)
 
     def merged_menu(self) -> DataFrame:
         return history(menu_batches(self.menu_items_snapshot_source), "menu_item_id", MENU_CHECK)

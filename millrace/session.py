@@ -33,6 +33,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffle partitions are sized for inputs of this many bytes each, up to a number
+# that the driver can still track for every map task.
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 50_000
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under a path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return int(fs.getContentSummary(where).getLength())
+
+
+def size_shuffles(spark: SparkSession, size: int) -> int:
+    """Raise the number of shuffle partitions to suit an input of ``size`` bytes.
+
+    AQE merges partitions that turn out small, so only too few of them would hurt:
+    each would then be larger than the memory of a task and spill.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, min(MAX_PARTITIONS, -(-size // PARTITION_BYTES)))
+    if wanted != current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
@@ -49,9 +75,22 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_written: list[str] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def discard_written(spark: SparkSession) -> None:
+    """Delete the tables this application wrote to the shared folder, once results are saved."""
+    while _written:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        fs.delete(where, True)
 
 
 def write_out(df: DataFrame, label: str) -> DataFrame:
