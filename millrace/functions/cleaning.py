@@ -4,6 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    StringType,
+    TimestampNTZType,
+)
 
 # The Unicode space separators (category Zs) that count as blank at
 # the ends of a text. Tabs and line breaks are kept.
@@ -17,6 +25,11 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# A text counts as a time if it has a full date and, after it, at least hour and
+# minute. Spark alone would also take a bare year, or a bare time as one of today.
+TIME_TEXT = r"^\s*\d{4,}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}\S*( ?\S+)?)?$"
+
+
 def strict_cast(value: Column | str, dtype: str) -> Column:
     """Cast that raises on a malformed value (ANSI mode)."""
     return _column(value).cast(dtype)
@@ -27,14 +40,40 @@ def safe_cast(value: Column | str, dtype: str) -> Column:
     return _column(value).try_cast(dtype)
 
 
-def utc_timestamp(value: Column | str, safe: bool = False) -> Column:
-    """UTC wall-clock time of a zoned instant, a text with an offset, or a plain time.
+def whole_number(value: Column | str, source: DataType, dtype: str, safe: bool = False) -> Column:
+    """Integer cast that rounds fractions instead of cutting them off.
+
+    Halves go to the even neighbour for floating point and away from zero for
+    decimals and texts, as the warehouse's staging rules expect.
+    """
+    cast = safe_cast if safe else strict_cast
+    if isinstance(source, (FloatType, DoubleType)):
+        return cast(F.rint(_column(value)), dtype)
+    if isinstance(source, DecimalType):
+        return cast(F.round(_column(value), 0), dtype)
+    if isinstance(source, StringType):
+        return cast(F.round(cast(value, "decimal(38,10)"), 0), dtype)
+    return cast(value, dtype)
+
+
+def utc_timestamp(value: Column | str, source: DataType = StringType(), safe: bool = False) -> Column:
+    """UTC wall-clock time of a zoned instant, a text with or without offset, or a plain time.
 
     All layers above the raw one carry this single timestamp type, so interval
     comparisons never mix zoned and plain values.
     """
-    cast = safe_cast if safe else strict_cast
-    return cast(value, "timestamp").cast("timestamp_ntz")
+    column = _column(value)
+    if isinstance(source, TimestampNTZType):
+        return column
+    if not isinstance(source, StringType):
+        return column.cast("timestamp").cast("timestamp_ntz")
+    is_time = column.rlike(TIME_TEXT)
+    if safe:
+        parsed = F.when(is_time, column.try_cast("timestamp"))
+    else:
+        wrong = F.raise_error(F.concat(F.lit("not a time: "), column)).cast("timestamp")
+        parsed = F.when(~is_time, wrong).otherwise(column.cast("timestamp"))
+    return parsed.cast("timestamp_ntz")
 
 
 def utc_day(value: Column | str) -> Column:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
 from millrace.functions import cleaning
 
@@ -170,14 +169,15 @@ def staged_column(target: str, entry: str, raw: DataFrame) -> Column:
     kind, source = source_of(target, entry)
     safe = kind.startswith("try ")
     dtype = kind.removeprefix("try ")
+    found = raw.schema[source].dataType
     if dtype == "text":
         out = cleaning.clean_text(source)
     elif dtype == "category":
         out = cleaning.clean_category(source)
-    elif dtype == "timestamp" and isinstance(raw.schema[source].dataType, TimestampNTZType):
-        out = F.col(source)  # already a UTC wall-clock time
     elif dtype == "timestamp":
-        out = cleaning.utc_timestamp(source, safe)
+        out = cleaning.utc_timestamp(source, found, safe)
+    elif dtype in ("int", "bigint"):
+        out = cleaning.whole_number(source, found, dtype, safe)
     elif safe:
         out = cleaning.safe_cast(source, dtype)
     else:

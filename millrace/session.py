@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """Change one runtime setting for the duration of a job."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 # Shuffle partitions are sized for inputs of this many bytes each, up to a number
 # that the driver can still track for every map task.
 PARTITION_BYTES = 256 * 1024 * 1024

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import utc_day
 from millrace.operators.joins import lookup_join
+from millrace.session import setting
 
 
 def export_table(df: DataFrame, path: str) -> None:
@@ -34,8 +35,12 @@ def export_by_day(df: DataFrame, path: str, day: str) -> None:
 
     The rebalance step gathers each day into few files and lets AQE split a day
     that is much larger than the others, so that no single task writes it alone.
+    The cost of a small export is its number of files, not its bytes, so it is
+    kept on all cores.
     """
-    df.hint("rebalance", F.col(day)).write.mode("overwrite").partitionBy(day).parquet(path)
+    gathered = df.hint("rebalance", F.col(day))
+    with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB"):
+        gathered.write.mode("overwrite").partitionBy(day).parquet(path)
 
 
 def register_raw(spark: SparkSession, base: str, tables: Iterable[str], prefix: str = "raw_") -> dict[str, DataFrame]:

@@ -1,13 +1,12 @@
 import os
 import sys
-from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from millrace.session import configure  # noqa: E402
+from millrace.session import configure, setting  # noqa: E402
 
 DATA = "/root/testdata"
 GIVEN = (
@@ -40,16 +39,6 @@ def no_broadcast(spark):
         yield spark
 
 
-@contextmanager
-def setting(spark, key, value):
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def rows(df):
     """Rows as a sorted list of plain tuples, in column order."""
     return sorted((tuple(r) for r in df.collect()), key=repr)

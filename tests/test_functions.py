@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import cleaning
 from millrace.functions.temporal import date_parts, minutes_between
@@ -38,6 +39,42 @@ def test_strict_cast_raises(spark, value, dtype):
         values(spark, [value], cleaning.strict_cast("v", dtype))
 
 
+def test_whole_numbers_round(spark):
+    texts = ["2.5", "3.5", "-2.5", "1e3", " 7 ", "", "+5", "x"]
+    got = values(spark, texts, cleaning.whole_number("v", T.StringType(), "bigint", safe=True))
+    assert got == [3, 4, -3, 1000, 7, None, 5, None]
+    halves = [2.5, 3.5, -2.5]
+    assert values(spark, halves, cleaning.whole_number("v", T.DoubleType(), "int"), "double") == [2, 4, -2]
+    exact = cleaning.whole_number(F.col("v").cast("decimal(3,1)"), T.DecimalType(3, 1), "int")
+    assert values(spark, halves, exact, "double") == [3, 4, -3]
+    with pytest.raises(PySparkException):
+        values(spark, ["x"], cleaning.whole_number("v", T.StringType(), "bigint"))
+
+
+def test_time_texts(spark):
+    texts = {
+        "2024-01-02T03:04:05": datetime(2024, 1, 2, 3, 4, 5),
+        "2024-1-2": datetime(2024, 1, 2),
+        " 2024-01-02 03:04": datetime(2024, 1, 2, 3, 4),
+        "2024-01-02 03:04:05.123456": datetime(2024, 1, 2, 3, 4, 5, 123456),
+        "2024-01-02 03:04:05 UTC": datetime(2024, 1, 2, 3, 4, 5),
+        "2024-01-02 03:04:05+02:00": datetime(2024, 1, 2, 1, 4, 5),
+        "2024": None,
+        "2024-01": None,
+        "12:30:00": None,
+        "2024-01-02 ": None,
+        "2024-01-02 03": None,
+        "2024-02-30": None,
+        "soon": None,
+        None: None,
+    }
+    assert values(spark, texts, cleaning.utc_timestamp("v", safe=True)) == list(texts.values())
+    assert values(spark, [None, "2024-1-2"], cleaning.utc_timestamp("v")) == [None, datetime(2024, 1, 2)]
+    for bad in ("12:30:00", "2024", "2024-02-30"):
+        with pytest.raises(PySparkException):
+            values(spark, [bad], cleaning.utc_timestamp("v"))
+
+
 def test_utc_day_of_zoned_times(spark):
     zoned = ["2024-01-01 23:59:59+00:00", "2024-01-02 09:00:00+10:00"]
     assert values(spark, zoned, cleaning.utc_day("v")) == [date(2024, 1, 1)] * 2

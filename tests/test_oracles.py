@@ -4,7 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import DATA, GIVEN, setting
+from conftest import DATA, GIVEN
+from millrace.session import setting
 
 SF = f"{DATA}/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()

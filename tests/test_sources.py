@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from millrace.session import shared_dir, write_out
+from millrace.session import setting, shared_dir, write_out
 from millrace.sources import bronze
 
 
@@ -22,16 +22,11 @@ def test_day_export_round_trip_and_pruning(spark, tmp_path):
 
 
 def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "64KB")
-    try:
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB"):
         df = spark.range(0, 200_000, 1, 8).select(
             "id", F.when(F.col("id") % 3 == 0, "2024-01-01").otherwise(F.concat(F.lit("2024-02-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"))).cast("date").alias("d"), F.sha2(F.col("id").cast("string"), 256).alias("pad")
         )
         bronze.export_by_day(df, f"{tmp_path}/hot", "d")
-    finally:
-        spark.conf.set(key, before)
     assert len(list((tmp_path / "hot" / "d=2024-01-01").glob("*.parquet"))) > 1
     assert spark.read.parquet(f"{tmp_path}/hot").count() == 200_000
 
