@@ -106,7 +106,9 @@ def lookup_join(
         limit = broadcast_limit(left)
         large = [counted * row_bytes(r) > limit for r in rights]
         rights = [r if is_large else F.broadcast(r) for r, is_large in zip(rights, large)]
-    hot = hot_hashes(left if keys_from is None else keys_from, keys) if any(large) else []
+    source = (left if keys_from is None else keys_from).select(*keys)
+    # A left side of a broadcast's size has no hot key worth spreading.
+    hot = hot_hashes(source, keys) if any(large) and not fits_broadcast(source) else []
     parts = max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     out = _salted(left, keys, hot, parts) if hot else left
     for right, is_large in zip(rights, large):

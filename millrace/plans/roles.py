@@ -94,7 +94,7 @@ DERIVED = {
         None,
         {
             "menu_item_id": "p_partkey",
-            "restaurant_id": "cast(floor(p_partkey / 20) as bigint)",
+            "restaurant_id": "p_partkey div 20",
             "item_name": "concat(' ', p_name, ' ', p_partkey)",
             "category": "concat(p_type, '  ')",
             "price": "p_retailprice",
@@ -147,7 +147,7 @@ DERIVED = {
             "order_id": "o_orderkey",
             "customer_id": "o_custkey",
             "delivery_address_id": "o_custkey * 2 + o_orderkey % 2",
-            "restaurant_id": "cast(floor(o_custkey / 15) as bigint)",
+            "restaurant_id": "o_custkey div 15",
             "order_placed_at": "o_orderdate",
             "scheduled_delivery": "case when o_orderkey % 4 <> 0 then o_orderdate + interval 45 minutes end",
             "subtotal": "o_totalprice",
@@ -196,7 +196,7 @@ DERIVED = {
         "o_orderstatus = 'F'",
         {
             "order_id": "o_orderkey",
-            "courier_id": "cast(floor(o_custkey / 15) as bigint)",
+            "courier_id": "o_custkey div 15",
             "assigned_at": "o_orderdate + interval 10 minutes",
             "pickup_eta": "case when o_orderkey % 6 = 0 then 'soon'"
             " else concat(cast(o_orderdate as date), ' 00:20:00') end",

@@ -154,12 +154,12 @@ class Warehouse:
     def orders_reconciliation(self) -> DataFrame:
         return reconciliation(self.staged("orders"), self.items_rollup)
 
+    def _enriched(self, orders: DataFrame) -> DataFrame:
+        return enrich_orders(orders, self.items_rollup, self.status_rollup, self.delivery_enriched)
+
     @cached_property
     def orders_enriched(self) -> DataFrame:
-        enriched = enrich_orders(
-            self.staged("orders"), self.items_rollup, self.status_rollup, self.delivery_enriched
-        )
-        return self.keep(enriched, "orders_enriched")
+        return self._enriched(self.staged("orders"))
 
     @cached_property
     def lines_with_order(self) -> DataFrame:
@@ -224,16 +224,18 @@ class Warehouse:
 
     @cached_property
     def fct_orders(self) -> DataFrame:
+        # The header is bound to its version before it grows to forty columns. The
+        # binding keeps one row per order, so the enrichment is the same as without.
         versions = self.dim_restaurants_backfill.withColumnRenamed("is_current", "is_current_restaurant_details")
         bound = asof_join(
-            self.orders_enriched,
+            self.staged("orders"),
             versions,
             "restaurant_id",
             "order_placed_at",
             ["restaurant_sk", "is_current_restaurant_details"],
             keys_from=self.keys_of("orders"),
         )
-        return self.keep(bound, "fct_orders")
+        return self.keep(self._enriched(bound), "fct_orders")
 
     @cached_property
     def fct_order_items(self) -> DataFrame:
