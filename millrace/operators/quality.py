@@ -127,10 +127,9 @@ def _whole_numbers(check: Check, relations: dict[str, DataFrame]) -> bool:
 
 
 def _entry(number: int, key: Column, is_child: bool, keep: Column) -> Column:
-    entry = F.struct(
-        F.lit(number).alias("check"), F.lit(is_child).alias("is_child"), key.alias("key")
+    return F.struct(
+        F.lit(number).alias("check"), F.lit(is_child).alias("is_child"), key.alias("key"), keep.alias("keep")
     )
-    return F.when(keep, entry)
 
 
 def _key_counts(
@@ -157,7 +156,7 @@ def _key_counts(
             key = as_key([column])
             by_relation.setdefault(parent, []).append(_entry(n, key, False, key.isNotNull()))
     parts = [
-        relations[name].select(F.inline(F.array_compact(F.array(*entries))))
+        relations[name].select(F.inline(F.array(*entries))).where("keep")
         for name, entries in by_relation.items()
     ]
     keys = reduce(DataFrame.unionByName, parts)

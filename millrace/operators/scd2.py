@@ -71,18 +71,20 @@ def merge_snapshot(
     opens = in_source & (~in_history | differs)
     closes = in_history & in_source & differs
     kept = F.struct(
+        in_history.alias("present"),
         *[F.col(f"h.{c}").alias(c) for c in (*columns, *META[:-1])],
         F.when(closes, at).otherwise(F.col("h.valid_to")).alias("valid_to"),
     )
     added = F.struct(
+        opens.alias("present"),
         *[F.col(f"s.{c}").alias(c) for c in columns],
         version_id(F.col(f"s.{key}"), at).alias("scd_id"),
         at.alias("updated_at"),
         at.alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
     )
-    rows = F.array_compact(F.array(F.when(in_history, kept), F.when(opens, added)))
-    return joined.select(F.inline(rows)).select(*columns, *META)
+    rows = joined.select(F.inline(F.array(kept, added)))
+    return rows.where("present").select(*columns, *META)
 
 
 def version_dimension(history: DataFrame, surrogate: str, columns: Sequence[str]) -> DataFrame:

@@ -64,7 +64,7 @@ def take_snapshots(raw: dict[str, DataFrame], base: str, snapshot_ts: str) -> tu
         RESTAURANT_CHECK,
         snapshot_ts,
     )
-    return menu.drop("state"), restaurants.drop("state")
+    return menu, restaurants
 
 
 def build_gold(warehouse: Warehouse, base: str) -> dict[str, DataFrame]:

@@ -302,7 +302,7 @@ def scd2_history_runs(spark, sf_dir):
     base = new_path(spark, "history")
     for batch, at in zip(restaurant_batches(source), SNAPSHOTS):
         kept = record_snapshot(batch, base, "restaurant_id", RESTAURANT_CHECK, at)
-    return kept.drop("state")
+    return kept
 
 
 @register(
@@ -316,7 +316,7 @@ def scd2_rerun(spark, sf_dir):
     for batch, at in zip(menu_batches(source), SNAPSHOTS):
         for _ in range(2):
             kept = record_snapshot(batch, base, "menu_item_id", MENU_CHECK, at)
-    return kept.drop("state")
+    return kept
 
 
 # Checks

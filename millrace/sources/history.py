@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.temporal import timestamp
 from millrace.operators.scd2 import first_history, merge_snapshot
 
 
@@ -39,38 +40,46 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.parquet(*paths)
+def _stored(spark: SparkSession, runs: list[str], state: str) -> list[str]:
+    """Paths of one state in the given runs; a run without such rows has none."""
+    return [p for p in (f"{run}/state={state}" for run in runs) if _exists(spark, p)]
+
+
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    return spark.read.parquet(*paths) if paths else None
 
 
 def current_versions(spark: SparkSession, base: str) -> DataFrame | None:
     """Open versions as of the last committed run."""
     runs, _ = _runs(spark, base)
-    if not runs:
-        return None
-    return _read(spark, [f"{runs[-1]}/state=current"])
+    return _read(spark, _stored(spark, runs[-1:], "current"))
 
 
 def read_history(spark: SparkSession, base: str) -> DataFrame | None:
     """All versions: those closed by any committed run, and the open ones."""
     runs, _ = _runs(spark, base)
-    if not runs:
-        return None
-    closed = [f"{r}/state=closed" for r in runs]
-    return _read(spark, [p for p in closed if _exists(spark, p)] + [f"{runs[-1]}/state=current"])
+    return _read(spark, _stored(spark, runs, "closed") + _stored(spark, runs[-1:], "current"))
 
 
 def record_snapshot(
     source: DataFrame, base: str, key: str, check: Sequence[str], snapshot_ts: str
 ) -> DataFrame:
-    """Merge a snapshot into the history under ``base`` and return the whole history."""
+    """Merge a snapshot into the history under ``base`` and return the whole history.
+
+    Snapshots must come in order of time; taking one again at the same time is
+    allowed and adds nothing while the source is the same.
+    """
     spark = source.sparkSession
     runs, last = _runs(spark, base)
-    if runs:
-        current = _read(spark, [f"{runs[-1]}/state=current"])
-        merged = merge_snapshot(current, source, key, check, snapshot_ts)
-    else:
+    current = _read(spark, _stored(spark, runs[-1:], "current"))
+    if current is None:
         merged = first_history(source, key, snapshot_ts)
+    else:
+        newer = current.where(F.col("valid_from") > timestamp(snapshot_ts))
+        if not newer.isEmpty():
+            raise ValueError(f"the history already holds a snapshot taken after {snapshot_ts}")
+        merged = merge_snapshot(current, source, key, check, snapshot_ts)
     state = F.when(F.col("valid_to").isNull(), F.lit("current")).otherwise(F.lit("closed"))
     merged.withColumn("state", state).write.partitionBy("state").parquet(f"{base}/run={last + 1:08d}")
-    return read_history(spark, base)
+    stored = read_history(spark, base)
+    return merged if stored is None else stored

@@ -106,6 +106,20 @@ def test_history_runs(spark, tmp_path):
     assert current_versions(spark, base).where("valid_to is not null").count() == 0
 
 
+def test_snapshots_come_in_order(spark, tmp_path):
+    base = str(tmp_path / "history")
+    record_snapshot(batch(spark, FIRST), base, "id", ["name"], T[1])
+    with pytest.raises(ValueError):
+        record_snapshot(batch(spark, SECOND), base, "id", ["name"], T[0])
+
+
+def test_history_of_an_empty_source(spark, tmp_path):
+    base = str(tmp_path / "history")
+    assert record_snapshot(batch(spark, []), base, "id", ["name"], T[0]).count() == 0
+    assert record_snapshot(batch(spark, FIRST), base, "id", ["name"], T[1]).count() == len(FIRST)
+    assert record_snapshot(batch(spark, []), base, "id", ["name"], T[2]).count() == len(FIRST)
+
+
 def test_failed_run_is_ignored(spark, tmp_path):
     base = str(tmp_path / "history")
     record_snapshot(batch(spark, FIRST), base, "id", ["name"], T[0])
