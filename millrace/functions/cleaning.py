@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -94,3 +96,17 @@ def clean_category(value: Column | str) -> Column:
 def money(value: Column | str, precision: int = 12) -> Column:
     """Fixed-point amount with two decimals, rounded half away from zero."""
     return _column(value).cast(f"decimal({precision},2)")
+
+
+def cents(value: Column | str) -> Column:
+    """An amount with two decimals and at most 15 digits as whole cents.
+
+    Exact, since so many digits fit a double; sums of cents stay 8-byte values in
+    aggregates, where a sum of decimals would carry objects.
+    """
+    return F.rint(_column(value).cast("double") * F.lit(100)).cast("bigint")
+
+
+def from_cents(value: Column | str, dtype: str = "decimal(22,2)") -> Column:
+    """Whole cents as an amount with two decimals."""
+    return (_column(value).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(dtype)

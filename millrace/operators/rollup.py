@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
+from millrace.functions.cleaning import cents, from_cents
 from millrace.functions.temporal import minutes_between
 from millrace.operators.joins import fits_broadcast, hot_hashes
 
@@ -30,8 +32,13 @@ def line_rollup(
     parents = (lines if keys_from is None else keys_from).select(parent)
     if fits_broadcast(parents) or not hot_hashes(parents, [parent]):
         lines = lines.repartition(parent)
+    kind = lines.schema[amount].dataType
+    if isinstance(kind, DecimalType) and kind.scale == 2 and kind.precision <= 15:
+        subtotal = from_cents(F.sum(cents(amount)))
+    else:
+        subtotal = F.round(F.sum(amount), 2).cast("decimal(22,2)")
     return lines.groupBy(parent).agg(
-        F.round(F.sum(amount), 2).cast("decimal(22,2)").alias("items_subtotal"),
+        subtotal.alias("items_subtotal"),
         F.sum(quantity).cast("bigint").alias("items_total_qty"),
         F.count("*").alias("item_lines"),
         F.count_distinct(item).alias("distinct_menu_items"),

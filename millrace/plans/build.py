@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import planned_bytes
 from millrace.operators.quality import report, rule_counts
 from millrace.plans.checks import business_rules, declared_checks, relations
 from millrace.plans.staging import DAY_COLUMNS, STAGED
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
-from millrace.session import configure, size_shuffles
+from millrace.session import configure, input_bytes, size_shuffles
 from millrace.sources.bronze import export_by_day, export_table, register_raw, with_day, with_parent_day
 from millrace.sources.history import record_snapshot
 
@@ -37,7 +36,8 @@ FACTS = {
 def export_bronze(sources: dict[str, DataFrame], base: str) -> None:
     """Write all source tables: event tables by day, the others whole.
 
-    A source may be any DataFrame, for example one read through JDBC.
+    A source may be any DataFrame, for example one read through JDBC, but must not
+    itself read from ``base``, which is overwritten.
     """
     for name, df in sources.items():
         if name not in DAY_COLUMNS:
@@ -67,21 +67,16 @@ def take_snapshots(raw: dict[str, DataFrame], base: str, snapshot_ts: str) -> tu
     return menu, restaurants
 
 
-def build_gold(warehouse: Warehouse, base: str) -> dict[str, DataFrame]:
-    """Write every dimension and fact.
+def write_gold(df: DataFrame, base: str, name: str) -> DataFrame:
+    """Write one gold table and read it back.
 
     Rows of a fact are gathered by day, so that the statistics of a file cover few
     days and day filters skip files; AQE splits a day that is too large for one.
     """
-    for name in DIMENSIONS:
-        export_table(getattr(warehouse, name), f"{base}/{name}")
-    for name, day in FACTS.items():
-        export_table(getattr(warehouse, name).hint("rebalance", F.col(day)), f"{base}/{name}")
-    return register_raw(warehouse_session(warehouse), base, [*DIMENSIONS, *FACTS], prefix="gold_")
-
-
-def warehouse_session(warehouse: Warehouse) -> SparkSession:
-    return next(iter(warehouse.raw.values())).sparkSession
+    if name in FACTS:
+        df = df.hint("rebalance", F.col(FACTS[name]))
+    export_table(df, f"{base}/{name}")
+    return df.sparkSession.read.parquet(f"{base}/{name}")
 
 
 def run_checks(warehouse: Warehouse) -> DataFrame:
@@ -101,13 +96,27 @@ class StoredWarehouse(Warehouse):
     def __init__(self, raw: dict[str, DataFrame], base: str, menu_history: DataFrame, restaurant_history: DataFrame):
         super().__init__(raw, menu_history, restaurant_history, keep=self.store)
         self.base = base
+        self.gold: dict[str, DataFrame] = {}
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a shared node once, and let all its readers start from the table."""
+        """Write a node once and let all its readers start from the table."""
+        if name in DIMENSIONS or name in FACTS:
+            self.gold[name] = write_gold(df, f"{self.base}/gold", name)
+            return self.gold[name]
         path = f"{self.base}/nodes/{name}"
-        df.write.mode("overwrite").parquet(path)
+        export_table(df, path)
         return df.sparkSession.read.parquet(path)
 
+    def store_gold(self) -> dict[str, DataFrame]:
+        """Write every dimension and fact that is not stored yet, and register the views."""
+        for name in (*DIMENSIONS, *FACTS):
+            found = getattr(self, name)
+            if name not in self.gold:
+                # From here on the attribute is the stored table.
+                setattr(self, name, self.store(found, name))
+            self.gold[name].createOrReplaceTempView(f"gold_{name}")
+        return self.gold
+
 
 def build(
     spark: SparkSession, sources: dict[str, DataFrame], base: str, snapshot_ts: str
@@ -115,16 +124,13 @@ def build(
     """One complete run over ``sources``; returns the gold tables and the check report.
 
     Everything is written under ``base``. The histories under ``base/snapshots``
-    grow from run to run; all other tables are replaced. Gold facts are read back
-    from their stored form by the checks, so nothing is computed twice.
+    grow from run to run; all other tables are replaced. The checks read the
+    stored gold tables, so nothing is computed twice.
     """
     configure(spark)
-    size_shuffles(spark, sum(planned_bytes(df) for df in sources.values()))
     export_bronze(sources, f"{base}/bronze")
+    size_shuffles(spark, input_bytes(spark, f"{base}/bronze"))
     raw = register_raw(spark, f"{base}/bronze", STAGED)
     histories = take_snapshots(raw, f"{base}/snapshots", snapshot_ts)
     warehouse = StoredWarehouse(raw, base, *histories)
-    gold = build_gold(warehouse, f"{base}/gold")
-    for name, df in gold.items():
-        setattr(warehouse, name, df)
-    return gold, run_checks(warehouse)
+    return warehouse.store_gold(), run_checks(warehouse)

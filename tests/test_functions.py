@@ -99,3 +99,15 @@ def test_date_parts(spark):
     parts = date_parts("d")
     got = df.select(parts["day_of_week"].alias("dow"), parts["week_of_year"].alias("w")).collect()
     assert [(r.dow, r.w) for r in got] == [(6, 1), (0, 1), (5, 53)]
+
+
+def test_cents_are_exact(spark):
+    amounts = ["0.00", "0.01", "-0.29", "1.15", "9999999999999.99", "-9999999999999.98", "4503599627370.49", None]
+    col = F.col("v").cast("decimal(15,2)")
+    expected = [None if a is None else int(Decimal(a) * 100) for a in amounts]
+    assert values(spark, amounts, cleaning.cents(col)) == expected
+    back = values(spark, amounts, cleaning.from_cents(cleaning.cents(col)))
+    assert back == [None if a is None else Decimal(a) for a in amounts]
+    every = spark.range(200_000).select((F.col("id") * 7919).alias("n"))
+    asis = (F.col("n").cast("decimal(15,0)") * F.lit(Decimal("0.01"))).cast("decimal(15,2)")
+    assert every.where(cleaning.cents(asis) != F.col("n")).count() == 0

@@ -62,6 +62,12 @@ def test_line_rollup(spark):
     assert (out[2].item_lines, out[2].distinct_menu_items) == (2, 1)
 
 
+def test_line_rollup_of_wide_amounts(spark):
+    wide = lines(spark).withColumn("amount", F.col("amount").cast("decimal(20,4)"))
+    narrow = line_rollup(lines(spark), "order_id", "item", "qty", "amount")
+    assert rows(line_rollup(wide, "order_id", "item", "qty", "amount")) == rows(narrow)
+
+
 def test_line_rollup_with_a_hot_parent(no_broadcast):
     spark = no_broadcast
     data = [(1 if i % 3 == 0 else i + 1, i % 500, 1, "1.00") for i in range(6000)]
