@@ -107,7 +107,7 @@ class StoredWarehouse(Warehouse):
         export_table(df, path)
         return df.sparkSession.read.parquet(path)
 
-    def store_gold(self) -> dict[str, DataFrame]:
+    def store_gold(self) -> None:
         """Write every dimension and fact that is not stored yet, and register the views."""
         for name in (*DIMENSIONS, *FACTS):
             found = getattr(self, name)
@@ -115,17 +115,16 @@ class StoredWarehouse(Warehouse):
                 # From here on the attribute is the stored table.
                 setattr(self, name, self.store(found, name))
             self.gold[name].createOrReplaceTempView(f"gold_{name}")
-        return self.gold
 
 
 def build(
     spark: SparkSession, sources: dict[str, DataFrame], base: str, snapshot_ts: str
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """One complete run over ``sources``; returns the gold tables and the check report.
+) -> StoredWarehouse:
+    """One complete run over ``sources``; ``gold`` of the result holds the gold tables.
 
     Everything is written under ``base``. The histories under ``base/snapshots``
-    grow from run to run; all other tables are replaced. The checks read the
-    stored gold tables, so nothing is computed twice.
+    grow from run to run; all other tables are replaced. ``run_checks`` on the
+    result reads the stored gold tables, so nothing is computed twice.
     """
     configure(spark)
     export_bronze(sources, f"{base}/bronze")
@@ -133,4 +132,5 @@ def build(
     raw = register_raw(spark, f"{base}/bronze", STAGED)
     histories = take_snapshots(raw, f"{base}/snapshots", snapshot_ts)
     warehouse = StoredWarehouse(raw, base, *histories)
-    return warehouse.store_gold(), run_checks(warehouse)
+    warehouse.store_gold()
+    return warehouse

@@ -83,7 +83,10 @@ def _exported_by_day(spark, sf_dir, table: str) -> DataFrame:
     return bronze.register_raw(spark, base, [table])[table]
 
 
-@register("bronze_partitioned_export", "select * from raw_orders")
+@register(
+    "bronze_partitioned_export",
+    "select * replace (total_amount::decimal(12,2) as total_amount) from raw_orders",
+)
 def bronze_partitioned_export(spark, sf_dir):
     return _exported_by_day(spark, sf_dir, "orders").withColumn(
         "total_amount", cleaning.money("total_amount")
@@ -554,7 +557,7 @@ def dq_report(spark, sf_dir):
 def warehouse_build(spark, sf_dir):
     # The complete job from the source tables to gold, with one snapshot.
     sources = {t: source_table(spark, sf_dir, t) for t in STAGED}
-    gold, _ = build(spark, sources, new_path(spark, "warehouse"), "2002-01-01 00:00:00")
+    gold = build(spark, sources, new_path(spark, "warehouse"), "2002-01-01 00:00:00").gold
     parts = [
         df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("model"), "n_rows")
         for name, df in gold.items()
