@@ -174,7 +174,8 @@ def report(checks: Sequence[Check], relations: dict[str, DataFrame]) -> DataFram
 
     Row-level checks cost one scan per relation. Key checks together cost one
     further scan per relation and one shuffle for integer keys (as 8-byte values),
-    and the same for all other keys (as text).
+    and the same for all other keys (as text). The two columns of a relationship
+    must have the same type; integers may differ in width.
     """
     row_level: dict[str, list[Check]] = {}
     for c in checks:
