@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import sys
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import SparkSession
 
 #: Words of a shingle where an operator is about near-duplicates.
 SHINGLE_WORDS = 5
@@ -15,6 +20,26 @@ SHINGLE_WORDS = 5
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, where their PYTHONPATH does not name it: as with --py-files."""
+    named = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    app = spark.sparkContext.applicationId
+    if app in _shipped or ROOT in map(os.path.abspath, filter(None, named)):
+        return
+    folder = tempfile.mkdtemp()
+    package = os.path.join(folder, "package")
+    shutil.copytree(os.path.join(ROOT, "millrace"), os.path.join(package, "millrace"), ignore=shutil.ignore_patterns("__pycache__"))
+    before = list(sys.path)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, f"millrace-{app}"), "zip", package))
+    sys.path[:] = before  # the driver goes on with the modules it has
+    _shipped.add(app)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``limit`` text bytes, so that work memory stays bounded.
 

@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding, urls
+from . import language, mixing, pieces, sharding, urls
+from .common import ship
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read(spark, sf_dir, "documents"))
+
+
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
 
@@ -27,7 +33,20 @@ def op5_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_virtual_slots, op4_sainte_lague, op5_url_trie)}
+def op7_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_held_out(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_sentencepiece,
+        op3_virtual_slots,
+        op4_sainte_lague,
+        op5_url_trie,
+        op7_marginal_unigrams,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op5_url_trie": r"""
