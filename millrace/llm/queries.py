@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, pieces, sharding, urls
+from . import language, mixing, neardup, pieces, sharding, urls
 from .common import ship
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -33,6 +33,10 @@ def op5_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_minhash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(read(spark, sf_dir, "documents"))
+
+
 def op7_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(read(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_virtual_slots,
         op4_sainte_lague,
         op5_url_trie,
+        op6_minhash_bands,
         op7_marginal_unigrams,
     )
 }
