@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, neardup, pieces, sharding, urls
+from . import language, mixing, neardup, pieces, sharding, substrings, urls
 from .common import ship
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -41,6 +41,10 @@ def op7_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(read(spark, sf_dir, "documents"))
 
 
+def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_url_trie,
         op6_minhash_bands,
         op7_marginal_unigrams,
+        op10_difference_cover,
     )
 }
 
