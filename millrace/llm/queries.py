@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, mixing, neardup, pieces, sharding, substrings, urls
+from . import fingerprints, language, mixing, neardup, pieces, sharding, substrings, urls, vectors
 from .common import ship
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -41,6 +42,15 @@ def op7_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(read(spark, sf_dir, "documents"))
 
 
+def op8_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors_ = read(spark, sf_dir, "embeddings")
+    return vectors.nearest(vectors_, vectors_.where(F.col("vec_id") % 20 == 0))
+
+
+def op9_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(read(spark, sf_dir, "documents"))
+
+
 def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(read(spark, sf_dir, "documents"))
 
@@ -54,11 +64,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_url_trie,
         op6_minhash_bands,
         op7_marginal_unigrams,
+        op8_vantage_point,
+        op9_minhash_fingerprints,
         op10_difference_cover,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op8_vantage_point": """
+        with good as (
+            select distinct vec_id, embedding::double[] as v from embeddings
+            where vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        scored as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v) as score
+            from good q join good c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0)
+        select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+        from scored qualify rank <= 20""",
     "op5_url_trie": r"""
         with parted as (
             select page_id,
