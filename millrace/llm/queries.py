@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, mixing, neardup, pieces, sharding, substrings, urls, vectors
+from . import fingerprints, language, mixing, neardup, pieces, quality, sharding, substrings, urls, vectors
 from .common import ship
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -22,6 +22,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"))
 
 
+def op2_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece,
+        op2_nb_support_vectors,
         op3_virtual_slots,
         op4_sainte_lague,
         op5_url_trie,
