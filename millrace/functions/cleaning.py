@@ -27,9 +27,16 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-# A text counts as a time if it has a full date and, after it, at least hour and
-# minute. Spark alone would also take a bare year, or a bare time as one of today.
-TIME_TEXT = r"^\s*\d{4,}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}\S*( ?\S+)?)?$"
+# Times as Spark's own cast reads them right: a full date and, after it, hour and minute
+# at least. Spark alone would also take a bare year, or a bare time as one of today.
+_ZONE = r"(?:Z|[+-]\d{1,2}(?::?\d{2}(?::\d{2})?)?| [A-Za-z]\S*)?"
+PLAIN_TIME = r"^-?\d{4,6}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d*)?)?" + _ZONE + ")?$"
+# All forms of a time: sign, year, separator, month, day, hour, minute, second, fraction, zone.
+ANY_TIME = (
+    r"^\s*(-?)(\d{1,6})([-/ \\])(\d{1,2})\3(\d{1,2})"
+    r"(?:(?: +|T)0*(\d{1,2}):(\d{1,2}):?(?:(?<=:)(\d{1,2})(\.\d*)?)?(" + _ZONE + ") *)?$"
+)
+EPOCH = "epoch"
 
 
 def strict_cast(value: Column | str, dtype: str) -> Column:
@@ -69,15 +76,35 @@ def utc_timestamp(value: Column | str, source: DataType = StringType(), safe: bo
         return column
     if not isinstance(source, StringType):
         return column.cast("timestamp").cast("timestamp_ntz")
-    is_time = column.rlike(TIME_TEXT)
-    if safe:
-        parsed = F.when(is_time, column.try_cast("timestamp"))
-    else:
+    plain = F.when(column.rlike(PLAIN_TIME), column.try_cast("timestamp"))
+    parsed = F.coalesce(plain, _unusual_time(column))
+    if not safe:
         wrong = F.raise_error(F.concat(F.lit("not a time: "), column)).cast("timestamp")
-        parsed = F.when(~is_time, wrong).otherwise(column.cast("timestamp"))
+        parsed = F.when(column.isNotNull(), F.coalesce(parsed, wrong))
     return parsed.cast("timestamp_ntz")
 
 
+def _unusual_time(text: Column) -> Column:
+    """The time a text means that Spark's cast does not read, else NULL.
+
+    Blanks around it, other date separators, years below 1000, hour 24 as the start of the next
+    day, and ``epoch``.
+    """
+
+    def part(n: int) -> Column:
+        return F.regexp_extract(text, ANY_TIME, n)
+
+    midnight = (part(6) == "24") & part(7).rlike("^0+$") & part(8).rlike("^0*$") & part(9).rlike(r"^\.?0*$")
+    hour = F.when(midnight, F.lit("0")).otherwise(part(6))
+    clock = F.when(part(6) == "", F.lit("")).otherwise(
+        F.concat(F.lit(" "), hour, F.lit(":"), part(7), F.lit(":"), F.when(part(8) == "", F.lit("0")).otherwise(part(8)), part(9), part(10))
+    )
+    year = F.greatest(F.length(part(2)), F.lit(4))
+    time = F.concat(part(1), F.lpad(part(2), year, F.lit("0")), F.lit("-"), part(4), F.lit("-"), part(5), clock).try_cast("timestamp")
+    time = F.when(midnight, time + F.expr("interval 24 hours")).otherwise(time)
+    return F.when(text.rlike(ANY_TIME), time).when(F.lower(F.trim(text)) == EPOCH, F.timestamp_seconds(F.lit(0)))
+
+
 def utc_day(value: Column | str) -> Column:
     """UTC calendar day of an instant (the session zone is UTC)."""
     return F.to_date(strict_cast(value, "timestamp"))
@@ -99,7 +126,7 @@ def money(value: Column | str, precision: int = 12) -> Column:
 
 
 def cents(value: Column | str) -> Column:
-    """An amount with two decimals and at most 15 digits as whole cents.
+    """An amount with two decimals and at most 12 digits as whole cents.
 
     Exact, since so many digits fit a double; sums of cents stay 8-byte values in
     aggregates, where a sum of decimals would carry objects.

@@ -11,6 +11,7 @@ from pyspark.sql.types import DecimalType
 from millrace.functions.cleaning import cents, from_cents
 from millrace.functions.temporal import minutes_between
 from millrace.operators.joins import fits_broadcast, hot_hashes
+from millrace.session import write_out
 
 
 def line_rollup(
@@ -33,7 +34,7 @@ def line_rollup(
     if fits_broadcast(parents) or not hot_hashes(parents, [parent]):
         lines = lines.repartition(parent)
     kind = lines.schema[amount].dataType
-    if isinstance(kind, DecimalType) and kind.scale == 2 and kind.precision <= 15:
+    if isinstance(kind, DecimalType) and kind.scale == 2 and kind.precision <= 12:
         subtotal = from_cents(F.sum(cents(amount)))
     else:
         subtotal = F.round(F.sum(amount), 2).cast("decimal(22,2)")
@@ -61,10 +62,10 @@ def milestone_rollup(
     ``flags`` maps output columns to the milestone whose presence they tell, and
     ``durations`` maps output columns to (start, end) milestones.
 
-    The latest status skips NULL statuses; events at the same instant are ordered
-    by their id. Every aggregate combines before the shuffle.
+    The latest status skips NULL statuses and events without a time; events at the
+    same instant are ordered by their id. Every aggregate combines before the shuffle.
     """
-    known = F.col(status).isNotNull()
+    known = F.col(status).isNotNull() & F.col(ts).isNotNull()
     newest = F.when(known, F.struct(ts, event_id))
     rolled = events.groupBy(parent).agg(
         *[F.min(F.when(F.col(status) == s, F.col(ts))).alias(name) for name, s in milestones.items()],
@@ -81,26 +82,31 @@ def milestone_rollup(
 def ordered_children(
     children: DataFrame, parent: str, order: str, fields: Sequence[str], span: int = 1_000_000
 ) -> DataFrame:
-    """Children of each parent with their 1-based position in the order of a unique integer.
+    """Children of each parent with their 1-based position in the order of a unique column.
 
     The list of a parent is given as numbered rows, not as one array, because a
-    single parent may own a large part of all rows. Ranks are computed inside
-    (parent, span of ``order``) groups, which hold at most ``span`` rows since the
-    order is unique, and shifted by the number of rows in the parent's earlier
-    spans.
+    single parent may own a large part of all rows. A NULL order comes last. Where there are more than
+    ``span`` rows, they are dealt into ranges of (parent, order) of about that many
+    rows, whatever the values; ranks are computed inside (parent, range) groups and
+    shifted by the number of rows in the parent's earlier ranges.
     """
-    rows = children.select(parent, order, *fields).withColumn("__span", F.expr(f"`{order}` div {span}"))
-    sizes = rows.groupBy(parent, "__span").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(parent).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    rows = children.select(parent, order, *fields)
+    total = rows.count()
+    last = F.col(order).asc_nulls_last()
+    if total <= span:
+        place = F.row_number().over(Window.partitionBy(parent).orderBy(last))
+        return rows.select(parent, place.cast("bigint").alias("position"), order, *fields)
+    ranged = rows.repartitionByRange(-(-total // span), F.col(parent), last)
+    # Written once: the ranges must be the same for the counts and for the rows.
+    ranged = write_out(ranged.withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy(parent, "__range").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(parent).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     skips = sizes.select(
-        F.col(parent).alias("__p"),
-        F.col("__span").alias("__s"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__skip"),
+        F.col(parent).alias("__p"), F.col("__range").alias("__r"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__skip")
     )
-    inside = Window.partitionBy(parent, "__span").orderBy(order)
-    ranked = rows.withColumn("__rank", F.row_number().over(inside))
-    placed = ranked.join(
-        skips, F.col(parent).eqNullSafe(F.col("__p")) & (F.col("__span") == F.col("__s"))
+    inside = Window.partitionBy(parent, "__range").orderBy(last)
+    placed = ranged.withColumn("__rank", F.row_number().over(inside)).join(
+        skips, F.col(parent).eqNullSafe(F.col("__p")) & (F.col("__range") == F.col("__r"))
     )
     return placed.select(
         parent, (F.col("__skip") + F.col("__rank")).cast("bigint").alias("position"), order, *fields

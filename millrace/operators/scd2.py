@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.temporal import FIRST_INSTANT, micros, timestamp
-from millrace.operators.joins import lookup_join
+from millrace.functions.temporal import FIRST_INSTANT, timestamp
+from millrace.operators.joins import lookup_join, shuffle_partitions
+from millrace.session import write_out
 
 META = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -124,11 +125,10 @@ def asof_join(
     """Bind each fact to the version of its key with ``valid_from <= ts < valid_to``.
 
     Facts without a match are kept with NULL attributes; an open version never
-    ends. The versions are counted first. If they are few they are broadcast;
-    otherwise hot keys of the facts are spread by ``lookup_join``. Keys with more
-    than ``long_history`` versions are cut into time slices, and facts meet only
-    the versions of their own slice, so the work per fact does not grow with the
-    length of a key's history.
+    ends. The versions are counted first. If no key has more than ``long_history``,
+    they are looked up by key, and hot keys of the facts are spread by ``lookup_join``.
+    Otherwise facts and versions are put in one order of (key, time), see ``_asof_in_order``,
+    so that neither a hot key nor a long history meets in one task.
     """
     v = versions.select(
         F.col(key),
@@ -140,35 +140,45 @@ def asof_join(
     def inside() -> Column:
         return (F.col(ts) >= F.col("__from")) & (F.col("__to").isNull() | (F.col(ts) < F.col("__to")))
 
-    spans = versions.groupBy(key).agg(
-        F.count("*").alias("__n"),
-        F.min(micros(F.col("valid_from"))).alias("__lo"),
-        F.max(micros(F.col("valid_from"))).alias("__hi"),
-    )
-    longest, total = spans.agg(F.max("__n"), F.sum("__n")).first()
+    counts = versions.groupBy(key).agg(F.count("*").alias("__n"))
+    longest, total = counts.agg(F.max("__n"), F.sum("__n")).first()
     if (longest or 0) <= long_history:
         joined = lookup_join(facts, v, key, condition=inside, keys_from=keys_from, counted=total or 0)
         return joined.drop("__from", "__to")
+    return _asof_in_order(facts, v, key, ts, attributes, inside, total)
 
-    # About eight versions per slice; keys with a short history have one slice.
-    long = spans.where(F.col("__n") > long_history).select(
-        key, "__lo", "__hi", F.ceil(F.col("__n") / F.lit(8)).alias("__slices")
-    )
 
-    def slice_of(at: Column) -> Column:
-        # Never decreasing in time, so [from, to) covers the slices between its ends.
-        share = (micros(at) - F.col("__lo")) / F.greatest(F.col("__hi") - F.col("__lo"), F.lit(1))
-        position = F.floor(share * F.col("__slices"))
-        bounded = F.greatest(F.lit(0), F.least(position, F.col("__slices") - F.lit(1)))
-        return F.coalesce(F.when(F.col("__slices").isNotNull(), bounded), F.lit(0)).cast("bigint")
-
-    bounds = ["__lo", "__hi", "__slices"]
-    sliced = lookup_join(facts, long, key, keys_from=keys_from).withColumn("__slice", slice_of(F.col(ts)))
-    last = F.when(F.col("__to").isNotNull(), slice_of(F.col("__to"))).otherwise(
-        F.coalesce(F.col("__slices") - F.lit(1), F.lit(0)).cast("bigint")
-    )
-    covered = lookup_join(v, long, key).withColumn(
-        "__slice", F.explode(F.sequence(slice_of(F.col("__from")), last))
-    )
-    out = lookup_join(sliced.drop(*bounds), covered.drop(*bounds), [key, "__slice"], condition=inside)
-    return out.drop("__slice", "__from", "__to")
+# Facts and versions of a range, about.
+RANGE_ROWS = 1_000_000
+
+
+def _asof_in_order(
+    facts: DataFrame, v: DataFrame, key: str, ts: str, attributes: Sequence[str], inside: Callable[[], Column], total: int
+) -> DataFrame:
+    """Facts with the last version of their key that started before them, if it has not ended.
+
+    Facts and versions are dealt into ranges of (key, time), whose bounds follow the rows and not
+    the values: bursts and hot keys are cut like the rest. Within a range the last version is
+    carried forward; each range gets, per key, the last version of the ranges before it. Versions
+    of one key must not overlap.
+    """
+    version = F.struct(*[F.col(a).alias(a) for a in attributes], F.col("__from"), F.col("__to"))
+    own = facts.select(F.col(key).alias("__key"), F.col(ts).alias("__at"), F.lit(1).alias("__kind"), F.struct(*facts.columns).alias("__fact"))
+    starts = v.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col("__from").alias("__at"), F.lit(0).alias("__kind"), version.alias("__version"))
+    rows = own.unionByName(starts, allowMissingColumns=True)
+    # A fact at the very start of a version comes after it.
+    order = ["__at", "__kind"]
+    ranges = max(shuffle_partitions(facts), -(-total // RANGE_ROWS))
+    rows = rows.repartitionByRange(ranges, "__key", *order).withColumn("__range", F.spark_partition_id())
+    # Written once: the ranges must be the same for the rows and for what is carried over.
+    rows = write_out(rows, "asof-ranges")
+    lasts = rows.groupBy("__key", "__range").agg(F.max_by("__version", F.when(F.col("__version").isNotNull(), F.col("__at"))).alias("__last"))
+    earlier = Window.partitionBy("__key").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.select(F.col("__key").alias("__k"), F.col("__range").alias("__r"), F.last("__last", ignorenulls=True).over(earlier).alias("__carried"))
+    so_far = Window.partitionBy("__key", "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("__found", F.last("__version", ignorenulls=True).over(so_far)).where("__kind = 1")
+    found = found.join(carried, F.col("__key").eqNullSafe(F.col("__k")) & (F.col("__range") == F.col("__r")), "left")
+    found = found.withColumn("__v", F.coalesce("__found", "__carried"))
+    out = found.select("__fact.*", F.col("__v.__from").alias("__from"), F.col("__v.__to").alias("__to"), "__v")
+    valid = inside()
+    return out.select(*facts.columns, *[F.when(valid, F.col("__v").getField(a)).alias(a) for a in attributes])

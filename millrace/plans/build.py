@@ -9,7 +9,7 @@ from millrace.operators.quality import report, rule_counts
 from millrace.plans.checks import business_rules, declared_checks, relations
 from millrace.plans.staging import DAY_COLUMNS, STAGED
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
-from millrace.session import configure, input_bytes, size_shuffles
+from millrace.session import configure, discard_written, input_bytes, size_shuffles, written_so_far
 from millrace.sources.bronze import export_by_day, export_table, register_raw, with_day, with_parent_day
 from millrace.sources.history import record_snapshot
 
@@ -33,6 +33,20 @@ FACTS = {
 }
 
 
+# Views of the intermediate models.
+INTERMEDIATE = {
+    "int_orders__items_rollup": "items_rollup",
+    "int_orders__status_rollup": "status_rollup",
+    "int_orders__delivery_enriched": "delivery_enriched",
+    "int_orders__reconciliation": "orders_reconciliation",
+    "int_orders__enriched": "orders_enriched",
+    "int_order_items__enriched": "order_items_enriched",
+    "int_refunds__enriched": "refunds_enriched",
+    "int_menu_items__snapshot_source": "menu_items_snapshot_source",
+    "int_restaurants__snapshot_source": "restaurants_snapshot_source",
+}
+
+
 def export_bronze(sources: dict[str, DataFrame], base: str) -> None:
     """Write all source tables: event tables by day, the others whole.
 
@@ -108,13 +122,29 @@ class StoredWarehouse(Warehouse):
         return df.sparkSession.read.parquet(path)
 
     def store_gold(self) -> None:
-        """Write every dimension and fact that is not stored yet, and register the views."""
+        """Write every dimension and fact that is not stored yet."""
         for name in (*DIMENSIONS, *FACTS):
             found = getattr(self, name)
             if name not in self.gold:
                 # From here on the attribute is the stored table.
                 setattr(self, name, self.store(found, name))
-            self.gold[name].createOrReplaceTempView(f"gold_{name}")
+
+    def register_views(self) -> None:
+        """A temporary view for every model: staging, intermediate and gold."""
+        for table in STAGED:
+            self.staged(table).createOrReplaceTempView(f"stg_{table}")
+        for view, model in INTERMEDIATE.items():
+            getattr(self, model).createOrReplaceTempView(view)
+        for name, df in self.gold.items():
+            df.createOrReplaceTempView(f"gold_{name}")
+
+
+def build_gold(raw: dict[str, DataFrame], base: str, menu_history: DataFrame, restaurant_history: DataFrame) -> StoredWarehouse:
+    """The models over stored raw tables and stored histories; neither exports nor takes a snapshot."""
+    warehouse = StoredWarehouse(raw, base, menu_history, restaurant_history)
+    warehouse.store_gold()
+    warehouse.register_views()
+    return warehouse
 
 
 def build(
@@ -122,15 +152,16 @@ def build(
 ) -> StoredWarehouse:
     """One complete run over ``sources``; ``gold`` of the result holds the gold tables.
 
-    Everything is written under ``base``. The histories under ``base/snapshots``
-    grow from run to run; all other tables are replaced. ``run_checks`` on the
-    result reads the stored gold tables, so nothing is computed twice.
+    Export, snapshots and models, which ``export_bronze``, ``take_snapshots`` and ``build_gold`` also run
+    one by one. Everything is written under ``base``. The histories under ``base/snapshots``
+    grow from run to run; all other tables are replaced.
     """
     configure(spark)
+    before = written_so_far()
     export_bronze(sources, f"{base}/bronze")
     size_shuffles(spark, input_bytes(spark, f"{base}/bronze"))
     raw = register_raw(spark, f"{base}/bronze", STAGED)
-    histories = take_snapshots(raw, f"{base}/snapshots", snapshot_ts)
-    warehouse = StoredWarehouse(raw, base, *histories)
-    warehouse.store_gold()
+    warehouse = build_gold(raw, base, *take_snapshots(raw, f"{base}/snapshots", snapshot_ts))
+    # Intermediate tables outside ``base`` are of no more use: all gold tables are written.
+    discard_written(spark, before)
     return warehouse

@@ -91,7 +91,7 @@ RAW = {
                l_extendedprice as line_total, cast(o_orderdate as date) as order_day
         from lineitem join orders on o_orderkey = l_orderkey""",
     "raw_order_status_events": """
-        select event_id, user_id as order_id, ts as event_ts,
+        select event_id, user_id as order_id, if(event_id % 53 = 0 or user_id % 50 = 7, null, ts) as event_ts,
                case when event_id % 101 = 0 then ' ' when event_type = 'signup' then ' placed'
                     when event_type = 'view' then 'Accepted' when event_type = 'click' then 'picked_up'
                     when event_type = 'purchase' then 'DELIVERED ' when event_id % 3 = 0 then 'canceled'
@@ -99,7 +99,7 @@ RAW = {
                case event_id % 4 when 0 then 'system' when 1 then 'Restaurant ' when 2 then 'courier'
                     else 'bot' end as actor,
                case when event_id % 2 = 0 then ' ' else ' ' || props end as notes,
-               cast(ts as date) as event_day
+               if(event_id % 53 = 0 or user_id % 50 = 7, null, cast(ts as date)) as event_day
         from events""",
     "raw_delivery_assignments": """
         select o_orderkey as order_id, o_custkey // 15 as courier_id,
@@ -210,7 +210,7 @@ MODELS = {
                      {_first('prep_start_at', 'PREP_START')}, {_first('ready_for_pickup_at', 'READY_FOR_PICKUP')},
                      {_first('picked_up_at', 'PICKED_UP')}, {_first('delivered_at', 'DELIVERED')},
                      {_first('canceled_at', 'CANCELED')},
-                     arg_max(status, (event_ts, event_id)) filter (status is not null) as latest_status,
+                     arg_max(status, (event_ts, event_id)) filter (status is not null and event_ts is not null) as latest_status,
                      max(event_ts) as latest_status_at
               from stg_order_status_events group by order_id)""",
     "int_delivery_enriched": "select order_id, courier_id, assigned_at, pickup_eta, dropoff_eta"

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import cleaning
 from millrace.functions.temporal import minutes_between
 from millrace.operators import quality
-from millrace.operators.joins import lookup_join
+from millrace.operators.joins import lookup_join, orphan_rows
 from millrace.operators.rollup import key_ranges, ordered_children
+from millrace.operators.scd2 import asof_join
 from millrace.plans import checks
-from millrace.plans.build import build, run_checks
+from millrace.plans.build import DIMENSIONS, FACTS, build, build_gold, export_bronze, run_checks
 from millrace.plans.oracle_relations import sql
 from millrace.plans.roles import (
     GIVEN,
@@ -26,7 +27,7 @@ from millrace.plans.roles import (
     source_table,
 )
 from millrace.plans.staging import DAY_COLUMNS, STAGED
-from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK
+from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
 from millrace.session import configure, input_bytes, new_path, size_shuffles, write_out
 from millrace.sources import bronze
 from millrace.sources.history import record_snapshot
@@ -68,11 +69,19 @@ def raw_catalog(spark, sf_dir):
     return bronze.view_counts(spark, GIVEN)
 
 
-@register("bronze_full_export", "select * from raw_customers")
-def bronze_full_export(spark, sf_dir):
-    base = new_path(spark, "bronze")
-    bronze.export_table(source_table(spark, sf_dir, "customers"), f"{base}/customers")
-    return bronze.register_raw(spark, base, ["customers"])["customers"]
+def _full_export(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = new_path(spark, "bronze")
+        bronze.export_table(source_table(spark, sf_dir, table), f"{base}/{table}")
+        return bronze.register_raw(spark, base, [table])[table]
+
+    return run
+
+
+register("bronze_full_export", "select * from raw_customers")(_full_export("customers"))
+for _table in STAGED:
+    if _table not in DAY_COLUMNS and _table != "customers":
+        register(f"bronze_full_export_{_table}", f"select * from raw_{_table}")(_full_export(_table))
 
 
 def _exported_by_day(spark, sf_dir, table: str) -> DataFrame:
@@ -299,6 +308,25 @@ def children(spark, sf_dir):
     return ordered_children(orders, "o_custkey", "o_orderkey", ["o_orderstatus", "o_orderdate"])
 
 
+@register(
+    "asof_long_history",
+    "select f.event_id, f.user_id, f.ts, v.event_id as version_id, v.event_type from events f left join"
+    " (select *, lead(ts) over (partition by user_id order by ts, event_id) as ended from events"
+    "  where event_type <> 'purchase') v"
+    " on v.user_id = f.user_id and f.ts >= v.ts and (v.ended is null or f.ts < v.ended)"
+    " where f.event_type = 'purchase'",
+)
+def asof_long_history(spark, sf_dir):
+    # Purchases with the state of their user: each other event of a user is a version.
+    events = given(spark, sf_dir, "events")
+    ended = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    versions = events.where("event_type <> 'purchase'").select(
+        "user_id", F.col("event_id").alias("version_id"), "event_type", F.col("ts").alias("valid_from"), ended.alias("valid_to")
+    )
+    facts = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return asof_join(facts, versions, "user_id", "ts", ["version_id", "event_type"], long_history=4)
+
+
 @register("scd2_history_runs", "select * from snap_restaurants")
 def scd2_history_runs(spark, sf_dir):
     source = DerivedWarehouse(spark, sf_dir).restaurants_snapshot_source
@@ -373,6 +401,12 @@ check_query(
     " and quote_currency_id not in (select currency_id from raw_currencies) group by 1",
     one_check("relationships", "raw_fx_rates", "quote_currency_id"),
 )
+check_query(
+    "dq_relationships_rows",
+    "select * from raw_fx_rates where quote_currency_id is not null"
+    " and quote_currency_id not in (select currency_id from raw_currencies)",
+    lambda w: orphan_rows(w.raw["fx_rates"], "quote_currency_id", w.raw["currencies"], "currency_id"),
+)
 check_query(
     "dq_accepted_values",
     f"select * from fct_orders where payment_method not in {_listed(checks.METHODS)}",
@@ -451,12 +485,14 @@ check_query(
     "select refund_id, order_id, refund_ts, order_placed_at from fct_refunds join"
     " (select order_id, order_placed_at from fct_orders) using (order_id) where refund_ts < order_placed_at",
     lambda w: checks.refund_before_order(w.fct_refunds, w.fct_orders, w.staged("refunds")),
+    shared=True,
 )
 check_query(
     "dq_refund_above_total",
     "select refund_id, order_id, refund_amount, total_amount from fct_refunds join"
     " (select order_id, total_amount from fct_orders) using (order_id) where refund_amount > total_amount + 0.01",
     lambda w: checks.refund_above_total(w.fct_refunds, w.fct_orders, w.staged("refunds")),
+    shared=True,
 )
 
 
@@ -563,3 +599,30 @@ def warehouse_build(spark, sf_dir):
         for name, df in gold.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+_built: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Gold tables of the stored run: export, raw views, three snapshots, models. Built once per application and folder."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _built:
+        base = new_path(spark, "warehouse")
+        export_bronze({t: source_table(spark, sf_dir, t) for t in STAGED}, f"{base}/bronze")
+        raw = bronze.register_raw(spark, f"{base}/bronze", STAGED)
+        states = Warehouse(raw)
+        histories = []
+        for batches, name, key, check in (
+            (menu_batches(states.menu_items_snapshot_source), "menu_items", "menu_item_id", MENU_CHECK),
+            (restaurant_batches(states.restaurants_snapshot_source), "restaurants", "restaurant_id", RESTAURANT_CHECK),
+        ):
+            for batch, taken in zip(batches, SNAPSHOTS):
+                kept = record_snapshot(batch, f"{base}/snapshots/{name}", key, check, taken)
+            histories.append(kept.drop("state"))
+        _built[at] = build_gold(raw, base, *histories).gold
+    return _built[at]
+
+
+for _name in (*DIMENSIONS, *FACTS):
+    register(f"gold_{_name}", f"select * from {_name}")(lambda spark, sf_dir, name=_name: _gold(spark, sf_dir)[name])

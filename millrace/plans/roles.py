@@ -181,7 +181,7 @@ DERIVED = {
         {
             "event_id": "event_id",
             "order_id": "user_id",
-            "event_ts": "ts",
+            "event_ts": "case when event_id % 53 = 0 or user_id % 50 = 7 then null else ts end",
             "status": "case when event_id % 101 = 0 then ' ' when event_type = 'signup' then ' placed'"
             " when event_type = 'view' then 'Accepted' when event_type = 'click' then 'picked_up'"
             " when event_type = 'purchase' then 'DELIVERED ' when event_id % 3 = 0 then 'canceled'"
@@ -315,7 +315,7 @@ class DerivedWarehouse(Warehouse):
     The histories are written once and read back, as a persisted snapshot table is.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, keep=lambda df, name: df):
+    def __init__(self, spark: SparkSession, sf_dir: str, keep=None):
         super().__init__(RawTables(spark, sf_dir), keep=keep)
 
     def keys_of(self, table: str) -> DataFrame:

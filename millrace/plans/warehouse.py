@@ -88,14 +88,15 @@ class Warehouse:
         raw: dict[str, DataFrame],
         menu_history: DataFrame | None = None,
         restaurant_history: DataFrame | None = None,
-        keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+        keep: Callable[[DataFrame, str], DataFrame] | None = None,
     ):
         self.raw = raw
         if menu_history is not None:
             self.menu_history = menu_history
         if restaurant_history is not None:
             self.restaurant_history = restaurant_history
-        self.keep = keep
+        self.shared = keep is not None
+        self.keep = keep or (lambda df, name: df)
         self._staged: dict[str, DataFrame] = {}
 
     def staged(self, table: str) -> DataFrame:
@@ -133,7 +134,7 @@ class Warehouse:
 
     @cached_property
     def status_rollup(self) -> DataFrame:
-        return milestone_rollup(
+        rolled = milestone_rollup(
             self.staged("order_status_events"),
             "order_id",
             "event_ts",
@@ -143,6 +144,7 @@ class Warehouse:
             FLAGS,
             DURATIONS,
         )
+        return self.keep(rolled, "status_rollup")
 
     @cached_property
     def delivery_enriched(self) -> DataFrame:
@@ -159,11 +161,15 @@ class Warehouse:
 
     @cached_property
     def orders_enriched(self) -> DataFrame:
+        if self.shared:
+            # The kept order fact without its dimension key: the wide join exists once.
+            return self.fct_orders.drop("restaurant_sk", "is_current_restaurant_details")
         return self._enriched(self.staged("orders"))
 
     @cached_property
     def lines_with_order(self) -> DataFrame:
-        return lines_with_order(self.staged("order_items"), self.staged("orders"), self.keys_of("order_items"))
+        found = lines_with_order(self.staged("order_items"), self.staged("orders"), self.keys_of("order_items"))
+        return self.keep(found, "lines_with_order")
 
     @cached_property
     def order_items_enriched(self) -> DataFrame:
@@ -171,7 +177,7 @@ class Warehouse:
 
     @cached_property
     def refunds_enriched(self) -> DataFrame:
-        return enrich_refunds(self.staged("refunds"), self.orders_enriched)
+        return self.keep(enrich_refunds(self.staged("refunds"), self.orders_enriched), "refunds_enriched")
 
     # Dimensions
 
@@ -267,8 +273,8 @@ class Warehouse:
 
     @cached_property
     def fct_refunds(self) -> DataFrame:
-        # The order fact holds the whole order context, so one lookup brings both the
-        # context and the dimension key.
+        # The order fact holds the whole order context and the line rollup, so one
+        # lookup brings both and the dimension key.
         orders = self.fct_orders.select(
             "order_id",
             "customer_id",
@@ -277,8 +283,12 @@ class Warehouse:
             "total_amount",
             "payment_method",
             "payment_status",
+            "items_subtotal",
+            "items_total_qty",
+            "item_lines",
+            "distinct_menu_items",
         )
-        joined = lookup_join(self.staged("refunds"), [orders, self.items_rollup], "order_id")
+        joined = lookup_join(self.staged("refunds"), orders, "order_id")
         within = F.col("refund_amount") <= F.col("total_amount")
         joined = joined.withColumn("is_refund_not_exceed_total", within)
         return joined.select(

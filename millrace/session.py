@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +47,13 @@ def setting(spark: SparkSession, key: str, value: str):
 
 
 # Shuffle partitions are sized for inputs of this many bytes each, up to a number
-# that the driver can still track for every map task.
+# that the driver can still track for every map task. The session setting below raises
+# that number for larger inputs; reaching it is reported.
 PARTITION_BYTES = 256 * 1024 * 1024
 MAX_PARTITIONS = 50_000
+MAX_PARTITIONS_SETTING = "spark.millrace.maxShufflePartitions"
+# What a file of an export should hold.
+EXPORT_FILE_BYTES = 512 * 1024 * 1024
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -65,7 +70,11 @@ def size_shuffles(spark: SparkSession, size: int) -> int:
     each would then be larger than the memory of a task and spill.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, min(MAX_PARTITIONS, -(-size // PARTITION_BYTES)))
+    most = int(spark.conf.get(MAX_PARTITIONS_SETTING, str(MAX_PARTITIONS)))
+    needed = -(-size // PARTITION_BYTES)
+    if needed > most:
+        warnings.warn(f"{size} bytes need {needed} shuffle partitions; {MAX_PARTITIONS_SETTING} allows {most}", stacklevel=2)
+    wanted = max(current, min(most, needed))
     if wanted != current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
@@ -97,9 +106,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def discard_written(spark: SparkSession) -> None:
-    """Delete the tables this application wrote to the shared folder, once results are saved."""
-    while _written:
+def written_so_far() -> int:
+    """A mark: what is written to the shared folder later can be discarded by it."""
+    return len(_written)
+
+
+def discard_written(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables this application wrote to the shared folder, from a mark on, once results are saved."""
+    while len(_written) > since:
         where = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
         fs.delete(where, True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import utc_day
 from millrace.operators.joins import lookup_join
-from millrace.session import setting
+from millrace.session import EXPORT_FILE_BYTES, setting
 
 
 def export_table(df: DataFrame, path: str) -> None:
@@ -30,16 +30,19 @@ def with_parent_day(
     return lookup_join(children, days, key, how="inner")
 
 
-def export_by_day(df: DataFrame, path: str, day: str) -> None:
+def export_by_day(df: DataFrame, path: str, day: str, file_bytes: int = EXPORT_FILE_BYTES) -> None:
     """Write a table as one directory per day.
 
     The rebalance step gathers each day into few files and lets AQE split a day
     that is much larger than the others, so that no single task writes it alone.
     The cost of a small export is its number of files, not its bytes, so it is
-    kept on all cores.
+    kept on all cores; files of a large one hold about ``file_bytes``.
     """
-    gathered = df.hint("rebalance", F.col(day))
-    with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB"):
+    spark, gathered = df.sparkSession, df.hint("rebalance", F.col(day))
+    with (
+        setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB"),
+        setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)),
+    ):
         gathered.write.mode("overwrite").partitionBy(day).parquet(path)
 
 

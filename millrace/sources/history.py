@@ -10,6 +10,7 @@ the next one takes a new number.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,24 +62,39 @@ def read_history(spark: SparkSession, base: str) -> DataFrame | None:
     return _read(spark, _stored(spark, runs, "closed") + _stored(spark, runs[-1:], "current"))
 
 
+def _last_instant(spark: SparkSession, runs: list[str]) -> datetime | None:
+    """When the last committed run was taken."""
+    taken = _read(spark, [p for p in (run.replace("/run=", "/taken=") for run in runs[-1:]) if _exists(spark, p)])
+    return taken.first()["taken_at"] if taken is not None else None
+
+
 def record_snapshot(
     source: DataFrame, base: str, key: str, check: Sequence[str], snapshot_ts: str
 ) -> DataFrame:
     """Merge a snapshot into the history under ``base`` and return the whole history.
 
-    Snapshots must come in order of time; taking one again at the same time is
-    allowed and adds nothing while the source is the same.
+    The source has one row per key, and snapshots come in order of time, whether or not the
+    last one changed anything. Taking one again at the same time is allowed while no version
+    changes. Anything else is refused and leaves the history as it is.
     """
     spark = source.sparkSession
+    repeated = source.groupBy(key).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"the snapshot has several rows for {key} {repeated[0][0]}")
     runs, last = _runs(spark, base)
+    at = spark.range(1).select(timestamp(snapshot_ts).alias("taken_at"))
+    before, now = _last_instant(spark, runs), at.first()["taken_at"]
+    if before is not None and before > now:
+        raise ValueError(f"the history already holds a snapshot taken after {snapshot_ts}")
     current = _read(spark, _stored(spark, runs[-1:], "current"))
     if current is None:
         merged = first_history(source, key, snapshot_ts)
     else:
-        newer = current.where(F.col("valid_from") > timestamp(snapshot_ts))
-        if not newer.isEmpty():
-            raise ValueError(f"the history already holds a snapshot taken after {snapshot_ts}")
         merged = merge_snapshot(current, source, key, check, snapshot_ts)
+        if before == now and not merged.where("valid_to is not null").isEmpty():
+            raise ValueError(f"a different snapshot was taken at {snapshot_ts}")
+    # The instant is written first: only the run's own _SUCCESS makes both count.
+    at.write.mode("overwrite").parquet(f"{base}/taken={last + 1:08d}")
     state = F.when(F.col("valid_to").isNull(), F.lit("current")).otherwise(F.lit("closed"))
     merged.withColumn("state", state).write.partitionBy("state").parquet(f"{base}/run={last + 1:08d}")
     stored = read_history(spark, base)

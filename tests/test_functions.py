@@ -1,6 +1,7 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -111,3 +112,33 @@ def test_cents_are_exact(spark):
     every = spark.range(200_000).select((F.col("id") * 7919).alias("n"))
     asis = (F.col("n").cast("decimal(15,0)") * F.lit(Decimal("0.01"))).cast("decimal(15,2)")
     assert every.where(cleaning.cents(asis) != F.col("n")).count() == 0
+
+
+# Texts that DuckDB's cast to a zoned time reads or refuses, and the cleaning must do the same.
+TIME_TEXTS = [
+    "2024-01-01 10:00:00", " 2024-01-01 10:00:00 ", "2024-01-01 10:00:00\t", "\n2024-01-01", "2024/01/01", "2024/01/01 10:00",
+    "2024-01-01 24:00:00", "2024-01-01 24:00", "2024-12-31 24:00:00.000", "2024-01-01 24:00:01", "2024-01-01 24:00:00+02", "24-01-01",
+    "224-01-01", "1-1-1", "epoch", "EPOCH", "2024", "2024-01", "10:00:00", "now", "2024-01-01T10:00:00Z", "2024-01-01T10:00:00+02:00",
+    "2024-01-01 10:00:00+0230", "2024-01-01 10:00:00 +02", "2024-01-01 10:00:00-05:30", "2024-01-01 10:00:00 UTC",
+    "2024-01-01 10:00:00.123456789", "2024-01-01 10:00:00.5+02", "2024-01-01 10:00", "2024-01-01 10", "2024-1-1 1:2:3", "2024-02-30",
+    "2024-13-01", "2024-01-01  10:00:00", "2024-01-01 10:00:60", "2024-01-01 25:00:00", "2024 01 01", "2024\\01\\01", "20240101",
+    "2024-01-01x", "", "  ", "2024-01-01 10:00:", "2024-01-01 10:00:00.", "2024-01-01T", "2024-01-01 ", "+2024-01-01", "2024-01/01",
+    "2024-01-01 010:00:00", "2024-01-01 10:00:00+02:00:30", "2024-001-01", "2024-01-01\u00a010:00",
+]
+
+
+def test_time_texts_read_as_the_warehouse_does(spark):
+    con = duckdb.connect()
+    con.execute("set timezone = 'UTC'")
+    df = spark.createDataFrame(list(enumerate(TIME_TEXTS)), "i int, t string")
+    got = {r.i: r.at for r in df.select("i", cleaning.utc_timestamp("t", safe=True).alias("at")).collect()}
+    for i, text in enumerate(TIME_TEXTS):
+        expected = con.execute("select try_cast(? as timestamptz)::timestamp", [text]).fetchone()[0]
+        assert got[i] == expected, text
+    good = [text for i, text in enumerate(TIME_TEXTS) if got[i] is not None]
+    assert len(good) >= 25
+    strict = spark.createDataFrame([(t,) for t in good], "t string").select(cleaning.utc_timestamp("t")).collect()
+    assert all(r[0] is not None for r in strict)
+    for text in (t for i, t in enumerate(TIME_TEXTS) if got[i] is None):
+        with pytest.raises(Exception, match="not a time"):
+            spark.createDataFrame([(text,)], "t string").select(cleaning.utc_timestamp("t")).collect()

@@ -94,6 +94,27 @@ def test_ordered_children_across_spans(spark):
     assert rows(out) == sorted(expected, key=repr)
 
 
+def test_ordered_children_keep_null_orders_and_sparse_ids(spark):
+    data = [(1, None, "n"), (None, 3, "p"), (None, None, "q")] + [(k % 2, k * 10**15 + k % 7, f"f{k}") for k in range(900)]
+    df = spark.createDataFrame(data, "p long, o long, f string")
+    expected = []
+    for parent in {p for p, _, _ in data}:
+        mine = sorted(((o, f) for p, o, f in data if p == parent), key=lambda x: (x[0] is None, x[0] or 0))
+        expected += [(parent, i + 1, o, f) for i, (o, f) in enumerate(mine)]
+    for span in (50, 10_000):
+        assert rows(ordered_children(df, "p", "o", ["f"], span=span)) == sorted(expected, key=repr)
+
+
+def test_latest_status_skips_events_without_a_time(spark):
+    events = spark.createDataFrame(
+        [(1, 1, None, "PLACED"), (2, 1, None, "PLACED"), (2, 2, datetime(2024, 1, 1), "DELIVERED"), (2, 3, None, "CANCELED")],
+        "order_id long, id long, ts timestamp_ntz, status string",
+    )
+    out = {r.order_id: r for r in milestone_rollup(events, "order_id", "ts", "status", "id", {"placed_at": "PLACED"}, {}, {}).collect()}
+    assert (out[1].latest_status, out[1].latest_status_at) == (None, None)
+    assert (out[2].latest_status, out[2].placed_at) == ("DELIVERED", None)
+
+
 def test_key_ranges_of_an_empty_relation(spark):
     out = key_ranges({"x": (lines(spark), "order_id"), "empty": (lines(spark).where("false"), "order_id")})
     assert rows(out) == [("empty", None, None, 1), ("x", 1, 2, 3)]

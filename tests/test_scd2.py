@@ -3,10 +3,13 @@ from datetime import datetime
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
+from millrace.operators import scd2
 from millrace.operators.scd2 import asof_join, backfill_first, first_history, merge_snapshot, version_dimension
+from millrace.session import write_out
 from millrace.sources.history import current_versions, read_history, record_snapshot
 
 T = [f"2024-0{m}-01 00:00:00" for m in range(1, 7)]
@@ -182,6 +185,39 @@ def test_long_histories_in_slices(spark, broadcast, request):
     ).withColumnsRenamed({"id": "fact", "key": "id"})
     plain = asof_join(facts, dim, "id", "ts", ["name"], long_history=10_000)
     sliced = asof_join(facts, dim, "id", "ts", ["name"], long_history=16)
-    assert "__slice" in sliced._jdf.queryExecution().optimizedPlan().toString()
     assert sliced.count() == 4000
     assert rows(sliced) == rows(plain)
+
+
+@pytest.mark.parametrize("step", ["even", "burst"])
+def test_long_backfilled_histories_are_cut_by_rows(spark, step, monkeypatch):
+    """Ranges hold about the same number of rows, wherever in time the versions lie."""
+    kept = []
+    monkeypatch.setattr(scd2, "RANGE_ROWS", 16)
+    monkeypatch.setattr(scd2, "write_out", lambda df, label: kept.append(write_out(df, label)) or kept[-1])
+    at = F.col("id") if step == "even" else F.when(F.col("id") < 750, F.col("id") / 1000).otherwise(F.col("id"))
+    dim = spark.range(800).select(
+        F.lit(1).alias("id"), F.col("id").alias("n"), (F.lit(1577836800) + at * 86400).alias("s")
+    ).select("id", "n", F.timestamp_seconds("s").cast("timestamp_ntz").alias("valid_from"))
+    ended = F.lead("valid_from").over(Window.partitionBy("id").orderBy("n"))
+    dim = backfill_first(dim.withColumn("valid_to", ended), "id")
+    facts = spark.range(500).select(F.col("id").alias("fact"), F.lit(1).alias("id"), F.expr("timestamp_ntz '2019-12-31 00:00:00' + make_interval(0, 0, 0, id * 2)").alias("ts"))
+    out = asof_join(facts, dim, "id", "ts", ["n"])
+    (ranges,) = kept
+    held = [r["count"] for r in ranges.where("__kind = 0").groupBy("__range").count().collect()]
+    assert len(held) >= 25 and max(held) <= 64
+    plain = asof_join(facts, dim, "id", "ts", ["n"], long_history=10_000)
+    assert rows(out) == rows(plain)
+
+
+def test_refused_snapshots_leave_the_history(spark, tmp_path):
+    base = str(tmp_path / "history")
+    record_snapshot(batch(spark, FIRST), base, "id", ["name"], T[0])
+    record_snapshot(batch(spark, SECOND), base, "id", ["name"], T[2])
+    record_snapshot(batch(spark, SECOND), base, "id", ["name"], T[3])
+    before = rows(read_history(spark, base))
+    changed = [(k, "z", "x") for k, _, _ in SECOND]
+    for data, ts, said in (([*FIRST, FIRST[0]], T[4], "several rows"), (changed, T[3], "different snapshot"), (changed, T[2], "taken after")):
+        with pytest.raises(ValueError, match=said):
+            record_snapshot(batch(spark, data), base, "id", ["name"], ts)
+    assert rows(read_history(spark, base)) == before

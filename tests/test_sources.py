@@ -26,7 +26,7 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
         df = spark.range(0, 200_000, 1, 8).select(
             "id", F.when(F.col("id") % 3 == 0, "2024-01-01").otherwise(F.concat(F.lit("2024-02-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"))).cast("date").alias("d"), F.sha2(F.col("id").cast("string"), 256).alias("pad")
         )
-        bronze.export_by_day(df, f"{tmp_path}/hot", "d")
+        bronze.export_by_day(df, f"{tmp_path}/hot", "d", file_bytes=65536)
     assert len(list((tmp_path / "hot" / "d=2024-01-01").glob("*.parquet"))) > 1
     assert spark.read.parquet(f"{tmp_path}/hot").count() == 200_000
 
