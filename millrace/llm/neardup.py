@@ -5,8 +5,9 @@ classes go on. Classes that agree in a band of their signature share a bucket. I
 the class that shares most with others leads and is compared with each member, signatures
 first, then full sets; links give components by alternating large-star and small-star. Where a
 bucket still holds several components, all pairs of classes across components are compared, in
-blocks of a fixed number of members, signatures first, then full sets. So a large group of copies costs
-one comparison per member, and no link between classes that share a bucket is lost.
+blocks of a fixed number of members: by exact bounds on what they can share, then signatures, then full
+sets. So a large group of copies costs one comparison per member, and no link between classes that
+share a bucket is lost.
 
 With ``BANDS`` bands of ``ROWS`` minima, a pair at similarity 0.75 shares no bucket with
 probability (1 - 0.75 ** ROWS) ** BANDS, about 3e-7; from 0.8 on less than 1e-9.
@@ -30,6 +31,10 @@ BANDS, ROWS = 40, 4
 SEED = 1
 #: Pairs whose signatures agree in fewer places are not compared further: five deviations below 0.75 of 160.
 LEAST_AGREEING = 0.57
+#: Further minima, a byte of each, for classes that are compared pair by pair, and the share of all
+#: minima in which such a pair must agree: five deviations below 0.75 of 640.
+SKETCH = 480
+LEAST_IN_SKETCH = 0.664
 #: Members of a bucket that are compared within one task at a time.
 BLOCK = 512
 
@@ -62,9 +67,9 @@ def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands:
 
 
 def buckets(classes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(bucket, set_id, members): classes by band, where a band is shared by two or more."""
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("signature", i * rows + 1, F.lit(rows)))))
-    dealt = classes.select("set_id", band.alias("bucket"))
+    """(bucket, band, set_id, members): classes by band, where a band is shared by two or more."""
+    hashes = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("signature", i * rows + 1, F.lit(rows))))
+    dealt = classes.select("set_id", F.posexplode(hashes).alias("band", "bucket"))
     return dealt.withColumn("members", F.count("*").over(Window.partitionBy("bucket"))).where("members > 1")
 
 
@@ -144,33 +149,82 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         before = state
 
 
-def open_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): alike classes of one bucket that are not in one component yet.
+def shareable(full: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set_id, n, most): set sizes, and how many shingles at most a class shares with another wanted one.
 
-    The members of a bucket with several components are cut into blocks; each pair of blocks is
-    compared by one task, so that memory is bounded however large the bucket is.
+    A shingle that only one class holds is in no intersection. Counts combine before the shuffle, so
+    a shingle that all share costs a row per task; no shingle's classes are gathered.
     """
-    found = shared.join(roots, shared["set_id"] == roots["node"], "left").select("bucket", "set_id", F.coalesce("root", "set_id").alias("root"))
-    several = found.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low != high")
+    own = full.join(wanted, "set_id", "left_semi").select("set_id", "shingles", F.xxhash64("set_id").alias("h"), F.xxhash64(F.lit(1), "set_id").alias("g"))
+    each = own.select("h", "g", F.explode("shingles").alias("shingle"))
+    once = each.groupBy("shingle").agg(F.count("*").alias("times"), F.min("h").alias("h"), F.min("g").alias("g")).where("times = 1")
+    alone = once.groupBy("h", "g").agg(F.count("*").alias("alone"))
+    size = F.size("shingles").cast("long")
+    return own.join(alone, ["h", "g"], "left").select("set_id", size.alias("n"), (size - F.coalesce("alone", F.lit(0))).alias("most"))
+
+
+def sketches(full: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set_id, sketch): a byte of each of ``SKETCH`` further minima of the wanted classes."""
+    a, b = universal(SKETCH, SEED + 1)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [s.view(np.uint64) for s in (x.values.to_numpy() for x in batch.column("shingles"))]
+            least = (minima(held, a, b) & np.uint32(0xFF)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array([row.tobytes() for row in least], pa.binary())], ["set_id", "sketch"])
+
+    return full.join(wanted, "set_id", "left_semi").select("set_id", "shingles").mapInArrow(hashed, "set_id binary, sketch binary")
+
+
+def open_members(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, band, set_id, root): the members of buckets that hold several components."""
+    found = shared.join(roots, shared["set_id"] == roots["node"], "left").select("bucket", "band", "set_id", F.coalesce("root", "set_id").alias("root"))
+    several = found.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    return found.join(several.select("bucket"), "bucket", "left_semi")
+
+
+def open_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame, full: DataFrame, percent: int = 75, bands: int = BANDS) -> DataFrame:
+    """(a, b): classes of one bucket and different components that may be linked.
+
+    Exact bounds come first: a class whose shingles are mostly its own is linked with nothing, and
+    a pair shares no more than the smaller of the two shareable numbers. Then signatures are
+    compared, longer ones than before. A pair is given by the first band it shares. Members of a bucket are cut into blocks, and
+    each pair of blocks is compared by one task, so memory is bounded however large a bucket is.
+    """
+    found = open_members(shared, roots)
+    sizes = shareable(full, found.select("set_id").distinct()).where(F.col("most") * 100 >= F.col("n") * percent)
+    found = write_out(found.join(sizes, "set_id"), "open-members")
+    several = found.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low != high")
     rest = found.join(several, "bucket").join(classes.select("set_id", "signature"), "set_id")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = rest.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    rest = rest.join(sketches(full, rest.select("set_id").distinct()), "set_id")
+    rest = rest.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    rest = rest.withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "set_id", "root", "signature")
+    rest = rest.select("bucket", "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "set_id", "root", "n", "most", "signature", "sketch")
 
     def compared(group: pd.DataFrame) -> pd.DataFrame:
-        p, q = group["p"].iloc[0], group["q"].iloc[0]
+        p, q, band = group["p"].iloc[0], group["q"].iloc[0], group["band"].iloc[0]
         own = group["own"].to_numpy()
         left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
         signature = np.stack(group["signature"].to_numpy())
-        roots, ids = group["root"].to_numpy(), group["set_id"].to_numpy()
-        root = np.unique(roots, return_inverse=True)[1]
+        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
+        n, most = group["n"].to_numpy(), group["most"].to_numpy()
+        ids = group["set_id"].to_numpy()
+        root = np.unique(group["root"].to_numpy(), return_inverse=True)[1]
         out = []
         for i in left:
             others = right[(root[right] != root[i]) & ((right > i) if p == q else True)]
+            common = np.minimum(most[others], most[i])
+            others = others[100 * common >= percent * (n[others] + n[i] - common)]
             if len(others):
-                near = (signature[others] == signature[i]).mean(axis=1) >= LEAST_AGREEING
-                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in others[near]]
+                same = signature[others] == signature[i]
+                # Earlier bands that agree already have the pair.
+                first = same.reshape(len(others), bands, -1).all(axis=2).argmax(axis=1)
+                near = (same.mean(axis=1) >= LEAST_AGREEING) & (first == band)
+                others, agree = others[near], same[near].sum(axis=1)
+                agree = agree + (sketch[others] == sketch[i]).sum(axis=1)
+                others = others[agree >= LEAST_IN_SKETCH * (signature.shape[1] + sketch.shape[1])]
+                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in others]
         return pd.DataFrame(out, columns=["a", "b"])
 
     return rest.groupBy("bucket", "p", "q").applyInPandas(compared, "a binary, b binary").distinct()
@@ -192,7 +246,7 @@ def groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col:
     full = write_out(full_sets(docs, found, wanted, id_col, text_col), "full-sets")
     links = write_out(linked(alike(leader_pairs(shared), classes), full, percent), "links")
     roots = components(links)
-    more = write_out(linked(open_pairs(shared, roots, classes), full, percent), "links")
+    more = write_out(linked(open_pairs(shared, roots, classes, full, percent, bands), full, percent), "links")
     if not more.isEmpty():
         roots = components(links.union(more))
     roots = roots.withColumnRenamed("node", "set_id")

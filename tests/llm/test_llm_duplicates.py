@@ -46,9 +46,30 @@ def test_open_buckets_are_compared_in_blocks(spark, monkeypatch):
     classes = found.select("set_id", "signature")
     shared = neardup.buckets(classes)
     nothing = spark.createDataFrame([], "node binary, root binary")
-    pairs = {(bytes(r.a), bytes(r.b)) for r in neardup.open_pairs(shared, nothing, classes).collect()}
+    full = neardup.full_sets(docs, found, found.select("set_id"))
+    pairs = [(bytes(r.a), bytes(r.b)) for r in neardup.open_pairs(shared, nothing, classes, full).collect()]
     ids = [bytes(r.set_id) for r in found.orderBy("doc_id").collect()]
-    assert pairs == {tuple(sorted((ids[i], ids[j]))) for i in range(30) for j in range(i) if i // 3 == j // 3}
+    assert sorted(pairs) == sorted(tuple(sorted((ids[i], ids[j]))) for i in range(30) for j in range(i) if i // 3 == j // 3)
+
+
+def test_noisy_copies_of_one_text_are_not_paired(spark):
+    """Copies too far from their base share nothing beyond it: exact bounds leave no pair to compare."""
+    rng = random.Random(5)
+    base = words(rng, 200, 10**6)
+    texts = []
+    for k in range(40):
+        own = list(base)
+        for at in rng.sample(range(0, 200, 5), 12):
+            own[at] = f"x{k}-{at}"
+        texts.append(" ".join(own))
+    docs = documents(spark, texts)
+    found = neardup.sets(docs)
+    classes = found.select("set_id", "signature")
+    full = neardup.full_sets(docs, found, found.select("set_id"))
+    nothing = spark.createDataFrame([], "node binary, root binary")
+    assert neardup.open_pairs(neardup.buckets(classes), nothing, classes, full).count() == 0
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.groups(docs).collect()}
+    assert got == near_components(list(enumerate(texts)))
 
 
 def test_components_by_stars(spark):
