@@ -34,14 +34,19 @@ SECOND = np.uint64(0xD6E8FEB86659FD93)
 TOGETHER = 1 << 22
 
 
-def text_tie(text: Column) -> Column:
-    return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
+def tie_of(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """What tells rows with one doc_id and different texts apart: their checksum, or 0 where there are no such rows.
+
+    It only has to be carried along where it is needed.
+    """
+    tie = F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"))
+    each = docs.select(F.col(id_col).alias("doc_id"), tie.alias("tie")).groupBy("doc_id").agg(F.min("tie").alias("low"), F.max("tie").alias("high"))
+    return F.lit(0).cast("long") if each.where("low != high").isEmpty() else tie
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def keyed(docs: DataFrame, id_col: str, text_col: str, tie: Column) -> DataFrame:
     """(doc_id, tie, text): equal rows are one document; other rows with one doc_id are ordered by ``tie``."""
-    text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), text_tie(text).alias("tie"), text.alias("text"))
+    return docs.select(F.col(id_col).alias("doc_id"), tie.alias("tie"), F.col(text_col).alias("text"))
 
 
 def hashed_words(part: pa.RecordBatch, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -60,11 +65,6 @@ def runs(values: np.ndarray, sizes: np.ndarray, n: int, multiplier: np.uint64 |
     return found[inside], row[: len(found)][inside], position[: len(found)][inside]
 
 
-def salts(number: np.ndarray, free: int) -> np.ndarray:
-    """0 for the first ``free`` of equal values, told by their running number; any other number for the rest."""
-    return np.where(number < free, 0, np.arange(1, len(number) + 1)).astype(np.int32)
-
-
 def running(new: np.ndarray) -> np.ndarray:
     """The running number, from 0, of each entry since the last one that is ``new``."""
     at = np.arange(len(new))
@@ -72,11 +72,11 @@ def running(new: np.ndarray) -> np.ndarray:
 
 
 def anchors(docs: DataFrame, key: str) -> DataFrame:
-    """(anchor, salt, doc_id, tie, position).
+    """(anchor, known, doc_id, tie, position).
 
-    The first two of an anchor in a batch have salt 0 and meet those of other batches; further ones
-    are known to be shared and have any other salt, so that no anchor has more than two rows per
-    batch in one place.
+    The first two of an anchor in a batch meet those of other batches. Further ones are known to be
+    shared; any number stands for their anchor, so that no anchor has more than two rows per batch
+    in one place.
     """
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
@@ -90,21 +90,27 @@ def anchors(docs: DataFrame, key: str) -> DataFrame:
                 found, row, position = found[at], row[at], position[at]
                 order = np.argsort(found, kind="stable")
                 ordered = found[order]
-                salt = np.zeros(len(found), np.int32)
-                salt[order] = salts(running(np.r_[True, ordered[1:] != ordered[:-1]][: len(found)]), 2)
+                known = np.zeros(len(found), bool)
+                known[order] = running(np.r_[True, ordered[1:] != ordered[:-1]][: len(found)]) >= 2
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array(salt), part.column("doc_id").take(at), part.column("tie").take(at), pa.array(position, pa.int32())],
-                    ["anchor", "salt", "doc_id", "tie", "position"],
+                    [
+                        pa.array(np.where(known, np.arange(len(found)), found.view(np.int64))),
+                        pa.array(known),
+                        part.column("doc_id").take(at),
+                        part.column("tie").take(at),
+                        pa.array(position, pa.int32()),
+                    ],
+                    ["anchor", "known", "doc_id", "tie", "position"],
                 )
 
-    return docs.mapInArrow(hashed, f"anchor long, salt int, doc_id {key}, tie long, position int")
+    return docs.mapInArrow(hashed, f"anchor long, known boolean, doc_id {key}, tie long, position int")
 
 
 def shared_positions(found: DataFrame) -> DataFrame:
     """(doc_id, tie, positions): per document where its shared anchors start."""
-    times = F.count("*").over(Window.partitionBy("anchor", "salt"))
-    shared = found.withColumn("times", times).where("times > 1 or salt != 0")
+    times = F.count("*").over(Window.partitionBy("anchor", "known"))
+    shared = found.withColumn("times", times).where("times > 1 or known")
     return shared.groupBy("doc_id", "tie").agg(F.collect_set("position").alias("positions"))
 
 
@@ -131,10 +137,10 @@ def document_numbers(part: pa.RecordBatch) -> np.ndarray:
 
 
 def windows(docs: DataFrame, key: str) -> DataFrame:
-    """(h, g, salt, doc_id, tie, position) of the windows around shared anchors.
+    """(h, g, known, doc_id, tie, position) of the windows around shared anchors.
 
-    A batch's earliest of equal windows has salt 0. Others are removed whatever other batches hold,
-    and have any other salt.
+    A batch's earliest of equal windows meets those of other batches. Others are known to be removed
+    whatever other batches hold; any number stands for their hash.
     """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,23 +167,23 @@ def windows(docs: DataFrame, key: str) -> DataFrame:
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h.view(np.int64)),
-                        pa.array((g >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                        pa.array(salts(later.astype(np.int64), 1)),
+                        pa.array(np.where(later, np.arange(len(h)), h.view(np.int64))),
+                        pa.array(np.where(later, 0, (g >> np.uint64(32)).astype(np.uint32).view(np.int32))),
+                        pa.array(later),
                         part.column("doc_id").take(at),
                         part.column("tie").take(at),
                         pa.array(position, pa.int32()),
                     ],
-                    ["h", "g", "salt", "doc_id", "tie", "position"],
+                    ["h", "g", "known", "doc_id", "tie", "position"],
                 )
 
-    return docs.mapInArrow(hashed, f"h long, g int, salt int, doc_id {key}, tie long, position int")
+    return docs.mapInArrow(hashed, f"h long, g int, known boolean, doc_id {key}, tie long, position int")
 
 
 def later_starts(found: DataFrame) -> DataFrame:
     """(doc_id, tie, starts): per document where windows start whose words start earlier too."""
-    earliest_first = Window.partitionBy("h", "g", "salt").orderBy(F.asc_nulls_first("doc_id"), "tie", "position")
-    later = found.withColumn("place", F.rank().over(earliest_first)).where("place > 1 or salt != 0")
+    earliest_first = Window.partitionBy("h", "g", "known").orderBy(F.asc_nulls_first("doc_id"), "tie", "position")
+    later = found.withColumn("place", F.rank().over(earliest_first)).where("place > 1 or known")
     return later.groupBy("doc_id", "tie").agg(F.collect_set("position").alias("starts"))
 
 
@@ -242,10 +248,10 @@ def removed(docs: DataFrame, key: str) -> DataFrame:
     return docs.mapInArrow(kept, f"doc_id {key}, tie long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def judge(docs: DataFrame, tie: Column, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Settled documents, and those with shared anchors as ``removed`` gives them."""
     key = docs.schema[id_col].dataType.simpleString()
-    own = keyed(docs, id_col, text_col)
+    own = keyed(docs, id_col, text_col, tie)
     shared = shared_positions(anchors(own, key))
     looked = write_out(settle(beside(own, shared, "positions"), key), "anchored")
     still_open = looked.where("positions is not null")
@@ -261,7 +267,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     gets that document's result. Rows with the same doc_id and other texts are ordered by the texts'
     checksum. Other columns are not looked at. An empty table gives an empty result.
     """
-    settled, rest = judge(docs, id_col, text_col)
+    settled, rest = judge(docs, tie_of(docs, id_col, text_col), id_col, text_col)
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     return settled.withColumn("n_removed", F.lit(0).cast("long")).select(columns).unionAll(rest.select(columns))
 
@@ -272,8 +278,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     What is left of such a text is joined by single spaces, and ``n_chars`` (where there is one)
     counts it; texts without a repeat stay as they are.
     """
-    changed = judge(docs)[1].where("n_removed > 0").select("doc_id", "tie", "kept").dropDuplicates(["doc_id", "tie"])
-    tied = docs.withColumn("__own", text_tie(F.col("text")))
+    tie = tie_of(docs, "doc_id", "text")
+    changed = judge(docs, tie)[1].where("n_removed > 0").select("doc_id", "tie", "kept").dropDuplicates(["doc_id", "tie"])
+    tied = docs.withColumn("__own", tie)
     found = tied.join(changed.toDF("__id", "__tie", "__kept"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tie")), "left")
     new = {"text": F.coalesce("__kept", "text")}
     if "n_chars" in docs.columns:
