@@ -29,7 +29,7 @@ SHARD_BYTES = 8 << 20
 #: Queries that are sent to a shard together, and those that walk its tree together.
 QUERY_BLOCK = 1024
 WALK = 256
-LEAF = 64
+LEAF = 128
 #: Distances carry rounding errors; what is within this share of them is not skipped.
 SLACK = 1e-9
 
@@ -106,16 +106,14 @@ class Tree:
         if not children:
             return
         away = distances(self.targets[active], self.points[vantage : vantage + 1])[:, 0]
-        # The half a query lies in comes first, so that its radius is small before the other.
-        nearer_first = away <= children[0][1]
-        for turn in (nearer_first, ~nearer_first):
-            for at, (nearest, farthest, child) in enumerate(children):
-                mine = turn if at == 0 else ~turn
-                gap = np.maximum(np.maximum(away - farthest, nearest - away), 0.0)
-                radius = self._radius(active) / self.factor
-                go = mine & (gap <= radius * (1.0 + SLACK) + SLACK * self.longest)
-                if go.any():
-                    self._visit(child, active[go])
+        # The half most queries lie in comes first, so that radii are small before the other. Each
+        # half is visited once, by all the queries that need it together.
+        nearer_first = (away <= children[0][1]).mean() >= 0.5
+        for nearest, farthest, child in children if nearer_first else children[::-1]:
+            gap = np.maximum(np.maximum(away - farthest, nearest - away), 0.0)
+            go = gap <= self._radius(active) / self.factor * (1.0 + SLACK) + SLACK * self.longest
+            if go.any():
+                self._visit(child, active[go])
 
     def _offer(self, active: np.ndarray, rows: np.ndarray) -> None:
         """Put rows among the best of the active queries; ties go to the smaller id."""
