@@ -39,7 +39,7 @@ def op5_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.groups(read(spark, sf_dir, "documents"))
+    return neardup.groups(read(spark, sf_dir, "documents")).drop("class_id")
 
 
 def op7_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_minhash_bands": r"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') as w from documents),
+        sets as (
+            select distinct doc_id, w[pos:pos + 4] as shingle
+            from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as pos from words where len(w) > 0)),
+        sizes as (select doc_id, count(*) as n from sets group by doc_id),
+        common as (
+            select a.doc_id as a, b.doc_id as b, count(*) as n_common from sets a join sets b on a.shingle = b.shingle and a.doc_id < b.doc_id
+            group by all),
+        links as (
+            select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * n_common >= 75 * (x.n + y.n - n_common)),
+        edges as (select a, b from links union select b, a from links),
+        reach (doc_id, other) as (
+            select doc_id, doc_id from documents union select r.doc_id, e.b from reach r join edges e on e.a = r.other)
+        select d.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(other) as component_id, d.doc_id = min(other) as kept
+        from documents d join reach r using (doc_id) left join sizes s using (doc_id) group by d.doc_id""",
+    "op10_difference_cover": r"""
+        with words as (
+            select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+        windows as (
+            select doc_id, pos, row_number() over (partition by body order by doc_id, pos) as place
+            from (select doc_id, pos, w[pos:pos + 19] as body
+                  from (select doc_id, w, unnest(range(1, len(w) - 18)) as pos from words where len(w) >= 20))),
+        gone as (select distinct doc_id, unnest(range(pos, pos + 20)) as pos from windows where place > 1),
+        each as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from words),
+        left_over as (
+            select e.doc_id, string_agg(e.word, ' ' order by e.pos) as kept, count(*) as n
+            from each e anti join gone g on g.doc_id = e.doc_id and g.pos = e.pos group by e.doc_id)
+        select d.doc_id, len(d.w)::bigint as n_words, (len(d.w) - coalesce(l.n, 0))::bigint as n_removed,
+               sha256(coalesce(l.kept, '')) as kept_sha256
+        from words d left join left_over l using (doc_id)""",
     "op8_vantage_point": """
         with good as (
             select distinct vec_id, embedding::double[] as v from embeddings

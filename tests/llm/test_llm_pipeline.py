@@ -1,0 +1,78 @@
+"""The pipeline's stages, each against a brute-force version on its own input."""
+
+from collections import Counter
+
+import corpus_pipeline
+from conftest import DATA
+from llm_cases import corpus, documents, near_components, repeats_removed
+from sentencepiece import SentencePieceProcessor
+
+from millrace.llm import pieces
+from millrace.session import write_out
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_stages_in_order_on_the_given_documents(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet")
+    columns, before = docs.columns, texts(docs)
+
+    said = write_out(STAGES["language_id"](spark, docs, ""), "t")
+    assert said.columns == columns
+    assert texts(said) == {d: t for d, t in before.items() if any(c.isalpha() for c in t or "")}
+
+    near = write_out(STAGES["near_dedup"](spark, said, ""), "t")
+    kept = near_components(list(texts(said).items()))
+    assert near.columns == columns and texts(near) == {d: t for d, t in texts(said).items() if kept[d][1] == d}
+
+    clean = write_out(STAGES["substring_dedup"](spark, near, ""), "t")
+    judged = repeats_removed(list(texts(near).items()))
+    assert clean.columns == columns and clean.count() == near.count()
+    for d, t in texts(clean).items():
+        assert len(t.split()) == judged[d][0] - judged[d][1]
+        if not judged[d][1]:
+            assert t == texts_near(near)[d]
+
+    mixed = write_out(STAGES["mix_sources"](spark, clean, ""), "t")
+    assert mixed.columns == columns
+    words = sum(len(t.split()) for t in texts(clean).values())
+    assert abs(sum(len(r.text.split()) for r in mixed.collect()) - 1.5 * words) < 0.03 * words
+    assert max(Counter(r.doc_id for r in mixed.collect()).values()) <= 2
+
+    library = SentencePieceProcessor(model_file=pieces.MODEL)
+    tokens = STAGES["encode"](spark, mixed, "")
+    assert tokens.count() == mixed.count()
+    assert sorted((r.doc_id, list(r.ids)) for r in tokens.collect()) == sorted((r.doc_id, library.encode(r.text)) for r in mixed.collect())
+
+
+_near = {}
+
+
+def texts_near(near):
+    return _near.setdefault(id(near), texts(near))
+
+
+def test_odd_documents_pass_all_stages(spark):
+    docs = documents(spark, [*corpus(7, 30), "same words here " * 9, "same words here " * 9, "x"], ids=None)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = write_out(stage(spark, docs, ""), "t")
+        assert docs.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert STAGES["encode"](spark, docs, "").where("round_trip is null or not round_trip").count() == 0
+
+
+def test_repeated_and_nameless_rows(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    docs = documents(spark, [text, text, text, "other text", "other text"], ids=[3, 3, None, None, 9])
+    got = sorted(((r.doc_id, r.text) for r in STAGES["near_dedup"](spark, docs, "").collect()), key=repr)
+    assert got == sorted([(None, text), (None, "other text")], key=repr)
+
+
+def test_empty_documents_table(spark):
+    docs = documents(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = write_out(stage(spark, docs, ""), "t")
+        assert docs.count() == 0
