@@ -38,17 +38,17 @@ CURRENCIES = ("AUD", "INR", "USD")
 class Rules:
     """What holds for one relation."""
 
-    required: str = ""
-    unique: str = ""
+    required: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
     parents: dict[str, tuple[str, str]] = field(default_factory=dict)
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
     ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
-    combinations: tuple[tuple[str, str | None], ...] = ()  # (columns, where)
+    combinations: tuple[tuple[tuple[str, ...], str | None], ...] = ()  # (columns, where)
     expressions: tuple[str, ...] = ()
 
     def checks(self, relation: str, layer: str = "") -> list[Check]:
-        out = [Check("not_null", relation, (c,)) for c in self.required.split()]
-        out += [Check("unique", relation, (c,)) for c in self.unique.split()]
+        out = [Check("not_null", relation, (c,)) for c in self.required]
+        out += [Check("unique", relation, (c,)) for c in self.unique]
         out += [
             Check("relationships", relation, (c,), parent=(layer + p, column))
             for c, (p, column) in self.parents.items()
@@ -56,7 +56,7 @@ class Rules:
         out += [Check("accepted_values", relation, (c,), v) for c, v in self.domains.items()]
         out += [Check("accepted_range", relation, (c,), v) for c, v in self.ranges.items()]
         out += [
-            Check("unique_combination", relation, tuple(c.split()), where=w) for c, w in self.combinations
+            Check("unique_combination", relation, c, where=w) for c, w in self.combinations
         ]
         out += [Check("expression_is_true", relation, expression=e) for e in self.expressions]
         return out
@@ -64,42 +64,41 @@ class Rules:
 
 # The rules of the raw tables.
 RAW = {
-    "customers": Rules("customer_id full_name email created_at", "customer_id email"),
+    "customers": Rules(("customer_id", "full_name", "email", "created_at"), ("customer_id", "email")),
     "customer_addresses": Rules(
-        "address_id customer_id label line_1 city country is_default created_at",
-        "address_id",
+        ("address_id", "customer_id", "label", "line_1", "city", "country", "is_default", "created_at"),
+        ("address_id",),
         {"customer_id": ("customers", "customer_id")},
         {"label": LABELS},
     ),
-    "restaurant_brands": Rules("brand_id brand_name is_active created_at", "brand_id brand_name"),
+    "restaurant_brands": Rules(("brand_id", "brand_name", "is_active", "created_at"), ("brand_id", "brand_name")),
     "restaurant_outlets": Rules(
-        "restaurant_id brand_id outlet_name city delivery_zone is_active created_at",
-        "restaurant_id",
+        ("restaurant_id", "brand_id", "outlet_name", "city", "delivery_zone", "is_active", "created_at"),
+        ("restaurant_id",),
         {"brand_id": ("restaurant_brands", "brand_id")},
     ),
     "menu_items": Rules(
-        "menu_item_id restaurant_id item_name category price is_available created_at",
-        "menu_item_id",
+        ("menu_item_id", "restaurant_id", "item_name", "category", "price", "is_available", "created_at"),
+        ("menu_item_id",),
         {"restaurant_id": ("restaurant_outlets", "restaurant_id")},
     ),
     "couriers": Rules(
-        "courier_id city vehicle is_active created_at", "courier_id", domains={"vehicle": VEHICLES}
+        ("courier_id", "city", "vehicle", "is_active", "created_at"), ("courier_id",), domains={"vehicle": VEHICLES}
     ),
     "currencies": Rules(
-        "currency_id currency_code currency_name is_active created_at", "currency_id currency_code"
+        ("currency_id", "currency_code", "currency_name", "is_active", "created_at"), ("currency_id", "currency_code")
     ),
     "fx_rates": Rules(
-        "fx_rate_id base_currency_id quote_currency_id rate_ts rate",
-        "fx_rate_id",
+        ("fx_rate_id", "base_currency_id", "quote_currency_id", "rate_ts", "rate"),
+        ("fx_rate_id",),
         {
             "base_currency_id": ("currencies", "currency_id"),
             "quote_currency_id": ("currencies", "currency_id"),
         },
     ),
     "orders": Rules(
-        "order_id customer_id delivery_address_id restaurant_id order_placed_at"
-        " subtotal tax delivery_fee discount total_amount payment_method payment_status",
-        "order_id",
+        ("order_id", "customer_id", "delivery_address_id", "restaurant_id", "order_placed_at", "subtotal", "tax", "delivery_fee", "discount", "total_amount", "payment_method", "payment_status"),
+        ("order_id",),
         {
             "customer_id": ("customers", "customer_id"),
             "delivery_address_id": ("customer_addresses", "address_id"),
@@ -109,30 +108,30 @@ RAW = {
         {"payment_method": METHODS, "payment_status": PAYMENTS},
     ),
     "order_items": Rules(
-        "order_item_id order_id menu_item_id quantity unit_price line_total",
-        "order_item_id",
+        ("order_item_id", "order_id", "menu_item_id", "quantity", "unit_price", "line_total"),
+        ("order_item_id",),
         {"order_id": ("orders", "order_id"), "menu_item_id": ("menu_items", "menu_item_id")},
     ),
     "order_status_events": Rules(
-        "event_id order_id event_ts status actor",
-        "event_id",
+        ("event_id", "order_id", "event_ts", "status", "actor"),
+        ("event_id",),
         {"order_id": ("orders", "order_id")},
         {"status": STATUSES, "actor": ACTORS},
     ),
     "delivery_assignments": Rules(
-        "order_id courier_id assigned_at",
-        "order_id",
+        ("order_id", "courier_id", "assigned_at"),
+        ("order_id",),
         {"order_id": ("orders", "order_id"), "courier_id": ("couriers", "courier_id")},
     ),
     "refunds": Rules(
-        "refund_id order_id refund_ts refund_reason refund_amount",
-        "refund_id",
+        ("refund_id", "order_id", "refund_ts", "refund_reason", "refund_amount"),
+        ("refund_id",),
         {"order_id": ("orders", "order_id"), "currency_id": ("currencies", "currency_id")},
         {"refund_reason": REASONS},
     ),
     "ratings": Rules(
-        "rating_id order_id customer_id restaurant_rating created_at",
-        "rating_id order_id",
+        ("rating_id", "order_id", "customer_id", "restaurant_rating", "created_at"),
+        ("rating_id", "order_id"),
         {"order_id": ("orders", "order_id"), "customer_id": ("customers", "customer_id")},
     ),
 }
@@ -140,69 +139,70 @@ RAW = {
 # Raw requirements that staging does not repeat. Creation times are
 # only repeated for customers, references only outside the rates.
 NOT_STAGED = {
-    "customers": "full_name",
-    "customer_addresses": "line_1",
-    "currencies": "currency_name",
-    "orders": "subtotal tax delivery_fee discount total_amount",
+    "customers": ("full_name",),
+    "customer_addresses": ("line_1",),
+    "currencies": ("currency_name",),
+    "orders": ("subtotal", "tax", "delivery_fee", "discount", "total_amount"),
 }
 
+# The rules of the models.
 MODELS = {
-    "int_items_rollup": Rules("order_id", "order_id"),
+    "int_items_rollup": Rules(("order_id",), ("order_id",)),
     "int_status_rollup": Rules(
-        "order_id latest_status", "order_id", domains={"latest_status": STATUSES}
+        ("order_id", "latest_status"), ("order_id",), domains={"latest_status": STATUSES}
     ),
-    "int_delivery_enriched": Rules("order_id courier_id", "order_id"),
-    "int_orders_reconciliation": Rules("order_id", "order_id"),
-    "int_orders_enriched": Rules("order_id", "order_id"),
+    "int_delivery_enriched": Rules(("order_id", "courier_id"), ("order_id",)),
+    "int_orders_reconciliation": Rules(("order_id",), ("order_id",)),
+    "int_orders_enriched": Rules(("order_id",), ("order_id",)),
     "int_order_items_enriched": Rules(
-        "order_item_id order_id menu_item_id quantity line_total",
-        "order_item_id",
+        ("order_item_id", "order_id", "menu_item_id", "quantity", "line_total"),
+        ("order_item_id",),
         {"order_id": ("stg_orders", "order_id"), "menu_item_id": ("stg_menu_items", "menu_item_id")},
     ),
     "int_refunds_enriched": Rules(
-        "refund_id order_id refund_ts refund_reason refund_amount",
-        "refund_id order_id",
+        ("refund_id", "order_id", "refund_ts", "refund_reason", "refund_amount"),
+        ("refund_id", "order_id"),
         {"order_id": ("int_orders_enriched", "order_id")},
     ),
     "dim_customers": Rules(
-        "customer_id email",
-        "email",
-        combinations=(("customer_id", None),),
+        ("customer_id", "email"),
+        ("email",),
+        combinations=((("customer_id",), None),),
         expressions=("email like '%@%'",),
     ),
     "dim_customer_addresses": Rules(
-        "address_id customer_id is_default",
+        ("address_id", "customer_id", "is_default"),
         parents={"customer_id": ("dim_customers", "customer_id")},
-        combinations=(("address_id", None),),
+        combinations=((("address_id",), None),),
     ),
     "dim_restaurants": Rules(
-        "restaurant_sk restaurant_id valid_from is_current",
-        combinations=(("restaurant_sk", None), ("restaurant_id", "is_current")),
+        ("restaurant_sk", "restaurant_id", "valid_from", "is_current"),
+        combinations=((("restaurant_sk",), None), (("restaurant_id",), "is_current")),
         expressions=("valid_to is null or valid_to > valid_from",),
     ),
     "dim_menu_items": Rules(
-        "menu_item_sk menu_item_id valid_from is_current",
-        combinations=(("menu_item_sk", None), ("menu_item_id", "is_current")),
+        ("menu_item_sk", "menu_item_id", "valid_from", "is_current"),
+        combinations=((("menu_item_sk",), None), (("menu_item_id",), "is_current")),
         expressions=("valid_to is null or valid_to > valid_from",),
     ),
     "dim_couriers": Rules(
-        "courier_id vehicle is_active",
+        ("courier_id", "vehicle", "is_active"),
         domains={"vehicle": VEHICLES},
-        combinations=(("courier_id", None),),
+        combinations=((("courier_id",), None),),
     ),
     "dim_currencies": Rules(
-        "currency_id currency_code is_active",
-        "currency_code",
+        ("currency_id", "currency_code", "is_active"),
+        ("currency_code",),
         domains={"currency_code": CURRENCIES},
-        combinations=(("currency_id", None),),
+        combinations=((("currency_id",), None),),
     ),
     "dim_date": Rules(
-        "date_utc year_utc month_utc",
+        ("date_utc", "year_utc", "month_utc"),
         ranges={"year_utc": (2000, 2100), "month_utc": (1, 12)},
-        combinations=(("date_utc", None),),
+        combinations=((("date_utc",), None),),
     ),
     "fct_orders": Rules(
-        "order_id customer_id delivery_address_id restaurant_sk payment_method payment_status",
+        ("order_id", "customer_id", "delivery_address_id", "restaurant_sk", "payment_method", "payment_status"),
         parents={
             "customer_id": ("dim_customers", "customer_id"),
             "delivery_address_id": ("dim_customer_addresses", "address_id"),
@@ -210,28 +210,28 @@ MODELS = {
             "restaurant_sk": ("dim_restaurants", "restaurant_sk"),
         },
         domains={"payment_method": METHODS, "payment_status": PAYMENTS},
-        combinations=(("order_id", None),),
+        combinations=((("order_id",), None),),
         expressions=(
             "total_amount >= 0 and subtotal >= 0 and tax >= 0 and delivery_fee >= 0 and discount >= 0",
         ),
     ),
     "fct_order_items": Rules(
-        "order_item_id order_id menu_item_sk",
+        ("order_item_id", "order_id", "menu_item_sk"),
         parents={
             "order_id": ("fct_orders", "order_id"),
             "menu_item_sk": ("dim_menu_items", "menu_item_sk"),
         },
-        combinations=(("order_item_id", None),),
+        combinations=((("order_item_id",), None),),
         expressions=("quantity >= 1 and line_total >= 0",),
     ),
     "fct_refunds": Rules(
-        "refund_id order_id refund_ts refund_reason",
+        ("refund_id", "order_id", "refund_ts", "refund_reason"),
         parents={
             "order_id": ("fct_orders", "order_id"),
             "restaurant_sk": ("dim_restaurants", "restaurant_sk"),
         },
         domains={"refund_reason": REASONS},
-        combinations=(("refund_id", None),),
+        combinations=((("refund_id",), None),),
         expressions=("refund_amount >= 0",),
     ),
 }
@@ -241,12 +241,12 @@ def staged_rules(table: str) -> Rules:
     """The rules of a staged table, derived from those of its raw table."""
     raw = RAW[table]
     renamed = {source_of(t, e)[1]: t for t, e in STAGED[table].items()}
-    dropped = set(NOT_STAGED.get(table, "").split())
+    dropped = set(NOT_STAGED.get(table, ()))
     if table != "customers":
         dropped.add("created_at")
 
-    def names(columns: str) -> str:
-        return " ".join(renamed[c] for c in columns.split() if c not in dropped)
+    def names(columns: tuple[str, ...]) -> tuple[str, ...]:
+        return tuple(renamed[c] for c in columns if c not in dropped)
 
     return Rules(
         names(raw.required),
@@ -398,20 +398,20 @@ CONSTRAINTS = {
     ),
     "refunds": Rules(domains={"refund_reason": REASONS}, expressions=("refund_amount >= 0",)),
     "ratings": Rules(
-        unique="order_id", ranges={"restaurant_rating": (1, 5), "courier_rating": (1, 5)}
+        unique=("order_id",), ranges={"restaurant_rating": (1, 5), "courier_rating": (1, 5)}
     ),
     "fx_rates": Rules(
-        combinations=(("base_currency_id quote_currency_id rate_ts", None),),
+        combinations=((("base_currency_id", "quote_currency_id", "rate_ts"), None),),
         expressions=("rate > 0", "base_currency_id <> quote_currency_id"),
     ),
-    "customers": Rules(unique="email"),
-    "restaurant_brands": Rules(unique="brand_name"),
-    "restaurant_outlets": Rules(combinations=(("brand_id outlet_name city delivery_zone", None),)),
+    "customers": Rules(unique=("email",)),
+    "restaurant_brands": Rules(unique=("brand_name",)),
+    "restaurant_outlets": Rules(combinations=((("brand_id", "outlet_name", "city", "delivery_zone"), None),)),
     "customer_addresses": Rules(
-        domains={"label": LABELS}, combinations=(("customer_id", "is_default"),)
+        domains={"label": LABELS}, combinations=((("customer_id",), "is_default"),)
     ),
-    "delivery_assignments": Rules(unique="order_id"),
-    "currencies": Rules(unique="currency_code"),
+    "delivery_assignments": Rules(unique=("order_id",)),
+    "currencies": Rules(unique=("currency_code",)),
     "order_status_events": Rules(domains={"status": STATUSES, "actor": ACTORS}),
     "couriers": Rules(domains={"vehicle": VEHICLES}),
 }

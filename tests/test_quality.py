@@ -125,3 +125,13 @@ def test_implication_and_sample(spark):
     bad = checks.delivered_without_time(df)
     assert bad.count() == 50
     assert [r.order_id for r in quality.sample(bad, ["order_id"], 3).collect()] == [0, 2, 4]
+
+
+def test_declared_checks_are_these():
+    layers = {"raw": [81, 18, 18, 7], "stg": [66, 18, 16, 7], "int": [17, 8, 3, 1], "dim": [22, 2, 1, 2], "fct": [13, 0, 8, 3]}
+    kinds = ["not_null", "unique", "relationships", "accepted_values"]
+    found = Counter((c.relation.split("_")[0], c.kind) for c in checks.declared_checks())
+    assert {layer: [found[layer, kind] for kind in kinds] for layer in layers} == layers
+    others = {"unique_combination": (9, 3), "expression_is_true": (3, 3), "accepted_range": (2, 0)}
+    assert {k: (found["dim", k], found["fct", k]) for k in others} == others
+    assert sum(found.values()) == 331
