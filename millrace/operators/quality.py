@@ -6,7 +6,7 @@ A check passes when it has no violations. NULL passes every check except
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -126,16 +126,21 @@ def _whole_numbers(check: Check, relations: dict[str, DataFrame]) -> bool:
     return all(isinstance(f.dataType, IntegralType) for f in used)
 
 
-def _entry(number: int, key: Column, is_child: bool, keep: Column) -> Column:
+def _key(columns: Sequence[str], number: bool) -> tuple[Column, Column]:
+    """A key as (number, text), one of them NULL: integers stay 8-byte values."""
+    if number:
+        return F.col(columns[0]).cast("bigint"), F.lit(None).cast("string")
+    return F.lit(None).cast("bigint"), _as_text(columns)
+
+
+def _entry(check: int, key: tuple[Column, Column], is_child: bool, keep: Column) -> Column:
     return F.struct(
-        F.lit(number).alias("check"), F.lit(is_child).alias("is_child"), key.alias("key"), keep.alias("keep")
+        F.lit(check).alias("check"), F.lit(is_child).alias("is_child"), key[0].alias("number"), key[1].alias("text"), keep.alias("keep")
     )
 
 
-def _key_counts(
-    relations: dict[str, DataFrame], checks: dict[int, Check], as_key: Callable[[Sequence[str]], Column]
-) -> DataFrame:
-    """Failures of numbered key checks (unique, combination, relationships).
+def _key_counts(relations: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Failures of key checks (unique, combination, relationships), numbered in their order.
 
     Each relation is scanned once and gives one (check, key) row per check it
     takes part in, as child or as parent. Rows are counted per key before and
@@ -144,23 +149,25 @@ def _key_counts(
     """
     by_relation: dict[str, list[Column]] = {}
     references = []
-    for n, c in checks.items():
-        key = as_key(c.columns)
-        keep = F.lit(True) if c.kind == "unique_combination" else key.isNotNull()
+    for n, c in enumerate(checks):
+        number = _whole_numbers(c, relations)
+        key = _key(c.columns, number)
+        given = key[0].isNotNull() | key[1].isNotNull()
+        keep = F.lit(True) if c.kind == "unique_combination" else given
         if c.where:
             keep = keep & F.coalesce(F.expr(c.where), F.lit(False))
         by_relation.setdefault(c.relation, []).append(_entry(n, key, True, keep))
         if c.kind == "relationships":
             references.append(n)
             parent, column = c.parent
-            key = as_key([column])
-            by_relation.setdefault(parent, []).append(_entry(n, key, False, key.isNotNull()))
+            key = _key([column], number)
+            by_relation.setdefault(parent, []).append(_entry(n, key, False, key[0].isNotNull() | key[1].isNotNull()))
     parts = [
         relations[name].select(F.inline(F.array(*entries))).where("keep")
         for name, entries in by_relation.items()
     ]
     keys = reduce(DataFrame.unionByName, parts)
-    per_key = keys.groupBy("check", "key").agg(
+    per_key = keys.groupBy("check", "number", "text").agg(
         F.count_if("is_child").alias("children"), F.count_if(~F.col("is_child")).alias("parents")
     )
     orphaned = F.when(F.col("parents") == 0, F.col("children")).otherwise(F.lit(0))
@@ -173,8 +180,7 @@ def report(checks: Sequence[Check], relations: dict[str, DataFrame]) -> DataFram
     """One row per check: relation, name, failures and status.
 
     Row-level checks cost one scan per relation. Key checks together cost one
-    further scan per relation and one shuffle for integer keys (as 8-byte values),
-    and the same for all other keys (as text). The two columns of a relationship
+    further scan per relation and one shuffle. The two columns of a relationship
     must have the same type; integers may differ in width.
     """
     row_level: dict[str, list[Check]] = {}
@@ -187,11 +193,7 @@ def report(checks: Sequence[Check], relations: dict[str, DataFrame]) -> DataFram
         # A check whose relation is empty has no keys; it still gets its row.
         # The counts are broadcast: they have at most one row per check.
         numbered = _declared(relations, key_level)
-        numbers = {n: c for n, c in enumerate(key_level) if _whole_numbers(c, relations)}
-        texts = {n: c for n, c in enumerate(key_level) if n not in numbers}
-        groups = [(numbers, lambda columns: F.col(columns[0]).cast("bigint")), (texts, _as_text)]
-        counted = [_key_counts(relations, group, as_key) for group, as_key in groups if group]
-        counts = F.broadcast(reduce(DataFrame.unionByName, counted))
+        counts = F.broadcast(_key_counts(relations, key_level))
         found = numbered.join(counts, "check", "left").select(
             "relation", "check_name", F.coalesce("failures", F.lit(0)).alias("failures")
         )

@@ -63,11 +63,10 @@ def test_violations_agree_with_the_report(tables, check, failures):
     assert n == failures
 
 
-def test_report_shuffles_keys_once_per_key_type(tables):
+def test_report_shuffles_keys_once(tables):
     plan = quality.report(list(CHECKS), tables)._jdf.queryExecution().executedPlan().toString()
-    # For integer keys and for the others: one shuffle of (check, key) pairs, and
-    # one of the few counts per check.
-    assert plan.count("hashpartitioning(check") == 4
+    # One shuffle of (check, key) pairs, and one of the few counts per check.
+    assert plan.count("hashpartitioning(check") == 2
     assert "SortMergeJoin" not in plan
 
 
