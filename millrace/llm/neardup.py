@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -200,34 +199,72 @@ def open_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame, full: Da
     rest = rest.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     rest = rest.withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("bucket", "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "set_id", "root", "n", "most", "signature", "sketch")
-
-    def compared(group: pd.DataFrame) -> pd.DataFrame:
-        p, q, band = group["p"].iloc[0], group["q"].iloc[0], group["band"].iloc[0]
-        own = group["own"].to_numpy()
-        left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-        signature = np.stack(group["signature"].to_numpy())
-        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
-        n, most = group["n"].to_numpy(), group["most"].to_numpy()
-        ids = group["set_id"].to_numpy()
-        root = np.unique(group["root"].to_numpy(), return_inverse=True)[1]
-        out = []
-        for i in left:
-            others = right[(root[right] != root[i]) & ((right > i) if p == q else True)]
-            common = np.minimum(most[others], most[i])
-            others = others[100 * common >= percent * (n[others] + n[i] - common)]
-            if len(others):
-                same = signature[others] == signature[i]
-                # Earlier bands that agree already have the pair.
-                first = same.reshape(len(others), bands, -1).all(axis=2).argmax(axis=1)
-                near = (same.mean(axis=1) >= LEAST_AGREEING) & (first == band)
-                others, agree = others[near], same[near].sum(axis=1)
-                agree = agree + (sketch[others] == sketch[i]).sum(axis=1)
-                others = others[agree >= LEAST_IN_SKETCH * (signature.shape[1] + sketch.shape[1])]
-                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in others]
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return rest.groupBy("bucket", "p", "q").applyInPandas(compared, "a binary, b binary").distinct()
+    rest = rest.select(
+        "bucket", "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "set_id",
+        F.xxhash64("root").alias("root"), "n", "most", "signature", "sketch",
+    )
+    group = ["bucket", "p", "q"]
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if left is None else [*left.to_batches(), batch]).combine_chunks()
+            start = group_starts(table, group)
+            # The last group may go on in the next batch; none has more than two blocks.
+            left = table.slice(int(start[-1])) if len(start) else table
+            yield from pairs_within(table.slice(0, table.num_rows - left.num_rows), group, percent, bands)
+        if left is not None:
+            yield from pairs_within(left, group, percent, bands)
+
+    return rest.repartition(*group).sortWithinPartitions(*group, "set_id").mapInArrow(compared, "a binary, b binary").distinct()
+
+
+def group_starts(table: pa.Table, group: list[str]) -> np.ndarray:
+    """Where runs of equal groups start in a sorted table."""
+    if not table.num_rows:
+        return np.empty(0, np.int64)
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for name in group:
+        value = table.column(name).to_numpy()
+        new[1:] |= value[1:] != value[:-1]
+    return np.flatnonzero(new)
+
+
+def pairs_within(table: pa.Table, group: list[str], percent: int, bands: int, chunk: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """The pairs of each group's rows that pass bounds and signatures; rows are sorted by group and set_id."""
+    rows = table.num_rows
+    if rows < 2:
+        return
+    table = table.combine_chunks()
+    starts = group_starts(table, group)
+    number = np.cumsum(np.bincount(starts, minlength=rows))
+    column = {name: table.column(name).to_numpy() for name in ("p", "q", "own", "root", "n", "most", "band")}
+    signature = table.column("signature").combine_chunks().flatten().to_numpy().reshape(rows, -1)
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(rows, -1)
+    ids = table.column("set_id").combine_chunks()
+    least = LEAST_IN_SKETCH * (signature.shape[1] + sketch.shape[1])
+    longest = int(np.diff(np.append(starts, rows)).max())
+    for apart in range(1, longest):
+        i = np.flatnonzero(number[:-apart] == number[apart:])
+        j = i + apart
+        open_ = (column["root"][i] != column["root"][j]) & ((column["p"][i] == column["q"][i]) | (column["own"][i] != column["own"][j]))
+        i, j = i[open_], j[open_]
+        common = np.minimum(column["most"][i], column["most"][j])
+        could = 100 * common >= percent * (column["n"][i] + column["n"][j] - common)
+        i, j = i[could], j[could]
+        for k in range(0, len(i), chunk):
+            x, y = i[k : k + chunk], j[k : k + chunk]
+            same = signature[x] == signature[y]
+            # Earlier bands that agree already have the pair.
+            first = same.reshape(len(x), bands, -1).all(axis=2).argmax(axis=1)
+            agree = same.sum(axis=1)
+            near = (agree >= LEAST_AGREEING * signature.shape[1]) & (first == column["band"][x])
+            x, y, agree = x[near], y[near], agree[near]
+            near = agree + (sketch[x] == sketch[y]).sum(axis=1) >= least
+            x, y = x[near], y[near]
+            if len(x):
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)), ids.take(pa.array(y))], ["a", "b"])
 
 
 def groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -248,7 +285,8 @@ def groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col:
     roots = components(links)
     more = write_out(linked(open_pairs(shared, roots, classes, full, percent, bands), full, percent), "links")
     if not more.isEmpty():
-        roots = components(links.union(more))
+        # The components so far are stars already.
+        roots = components(roots.select("node", "root").toDF("a", "b").union(more))
     roots = roots.withColumnRenamed("node", "set_id")
     named = found.select("doc_id", "n_shingles", "set_id").join(roots, "set_id", "left")
     named = named.withColumn("root", F.coalesce("root", "set_id"))
