@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from ..session import write_out
 from .common import slices, texts
 from .language import fold
 
@@ -151,7 +152,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int =
     twice, counts each time. With one class only, the model is its constant; without any, None.
     """
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
-    marked = featured(docs, id_col, text_col).join(marks, "doc_id")
+    # Read twice: for the counts and for the sample.
+    marked = write_out(featured(docs, id_col, text_col).join(marks, "doc_id"), "marked")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, rows = np.zeros((FEATURES, 2), np.int64), np.zeros(2, np.int64)
