@@ -129,20 +129,26 @@ def curve(margins: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[fl
 
 
 def featured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, features): the n-grams of each text, two bytes or so each instead of the text."""
+    """(doc_id, features): the n-grams of each text, a byte or so each in the shuffle instead of the text."""
     key = docs.schema[id_col].dataType.simpleString()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                packed = [np.diff(present(t), prepend=0).astype("<u2").tobytes() for t in texts(part, "text")]
+                packed = [pack(present(t)) for t in texts(part, "text")]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "features"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(found, f"doc_id {key}, features binary")
 
 
+def pack(features: np.ndarray) -> bytes:
+    """Sorted n-gram numbers as gaps of two bytes: all low bytes, then all high ones, most of which are 0."""
+    return np.diff(features, prepend=0).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
+
+
 def unpacked(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(raw, "<u2"), dtype=np.int64)
+    gaps = np.frombuffer(raw, np.uint8).reshape(2, -1).T.copy().view("<u2")[:, 0] if raw else np.empty(0, np.uint16)
+    return np.cumsum(gaps, dtype=np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 13, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel | None:

@@ -173,6 +173,12 @@ def test_descent_finds_the_least_hinge_loss():
         assert loss(w, b) <= loss(w + 0.05 * rng.normal(size=5), b + 0.05 * rng.normal()) + 1e-3
 
 
+def test_features_are_packed_without_loss():
+    for text in (b"", b"a", b"aa aa aa aa aa aa aa aa aa aa", " ".join(t for t in corpus(1) if t).encode(), "\uffff\u00ff".encode()):
+        found = quality.present(text)
+        assert quality.unpacked(quality.pack(found)).tolist() == found.tolist()
+
+
 def test_features_of_equal_words():
     def runs(text):
         return int((quality.present(text) >= quality.BUCKETS).sum())
