@@ -63,7 +63,7 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    BOUND = 300_000
+    BOUND = 200_000
 
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh3_64_intdigest(word)

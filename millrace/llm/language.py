@@ -109,7 +109,7 @@ def fit(vocabulary: Vocabulary, rows: list[tuple[str, str, int]], rounds: int =
 class Scorer:
     """Log-likelihoods of texts, with a memory of chunks up to a bound."""
 
-    BOUND = 400_000
+    BOUND = 200_000
 
     def __init__(self, model: LanguageModel) -> None:
         self.model = model

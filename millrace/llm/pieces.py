@@ -26,8 +26,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 class Encoder:
     """Encodes batches of texts; chunks seen before are looked up, up to a bound."""
 
-    BOUND = 400_000
-    PAIRS = 1_000_000
+    BOUND = 200_000
+    PAIRS = 600_000
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
