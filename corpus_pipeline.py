@@ -13,12 +13,13 @@ from millrace.llm import language, mixing, neardup, pieces, substrings
 from millrace.llm.common import ship
 from millrace.session import write_out
 
-#: Documents whose likeliest language has a lower posterior are rejected, as are those without a letter.
+#: Documents whose likeliest language has a lower posterior, against the other learned languages and the
+#: background of unlearned ones, are rejected, as are those without a letter.
 LEAST_CERTAIN = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language that is known from the corpus's own labels; undetermined ones go."""
+    """Documents of a language that is known from the corpus's own labels; those of others and undetermined ones go."""
     ship(spark)
     said = language.identify(docs, language.train(docs), pred_col="__lang", score_col="__score")
     return said.where((F.col("__lang") != language.UNDETERMINED) & (F.col("__score") >= LEAST_CERTAIN)).select(docs.columns)

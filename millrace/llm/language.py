@@ -5,6 +5,10 @@ is the sum over all its segmentations into pieces, which the forward algorithm a
 do not cross chunk borders, so it is the product of the chunks' likelihoods, and a chunk that
 was seen before is looked up. Distributions are fitted by expectation maximisation on the chunk
 counts of a bounded sample of labelled documents (``SAMPLE`` per language, about).
+
+A background stands for all languages that were not learned: the mean of the learned distributions,
+flattened (``FLATNESS``). It is one more alternative of the posterior, in the same forward pass, so a
+text that it explains better than any learned language gets a score near 0.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ ROUNDS = 2
 LONGEST = 48
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
+#: The power that flattens the background: 1 is the mean of the learned languages, 0 makes all pieces alike.
+FLATNESS = 0.3
 #: Likelihoods are kept times this much per letter, so that products stay in range.
 PER_LETTER = 64.0
 
@@ -40,6 +46,7 @@ class LanguageModel:
     vocabulary: Vocabulary
     languages: tuple[str, ...]
     weights: np.ndarray  # (pieces + 1, languages): probability times PER_LETTER per letter; the last for unknown letters
+    background: np.ndarray  # (pieces + 1,): the same for a text of no learned language
 
 
 def chunks(vocabulary: Vocabulary, text: str) -> list[str]:
@@ -103,7 +110,8 @@ def fit(vocabulary: Vocabulary, rows: list[tuple[str, str, int]], rounds: int =
             used += expected(vocabulary.index.edges(part, by_end=True), weights, counts[k : k + 20_000])
         used += 0.01
         weights = used / used.sum(axis=0) * scale[:, None]
-    return LanguageModel(vocabulary, tuple(languages), weights)
+    flat = (weights / scale[:, None]).mean(axis=1) ** FLATNESS
+    return LanguageModel(vocabulary, tuple(languages), weights, flat / flat.sum() * scale)
 
 
 class Scorer:
@@ -113,14 +121,15 @@ class Scorer:
 
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
+        self.weights = np.column_stack([model.weights, model.background])
         self.clear()
 
     def clear(self) -> None:
         self.code: dict[str, int] = {}
-        self.scores = np.empty((0, len(self.model.languages)))
+        self.scores = np.empty((0, self.weights.shape[1]))
 
     def of(self, texts: list[str | None]) -> np.ndarray:
-        """(texts, languages): log-likelihoods; 0 for texts without letters, which are not scored."""
+        """(texts, languages and background): log-likelihoods; 0 for texts without letters, which are not scored."""
         if len(self.code) > self.BOUND:
             self.clear()
         code, new, vocabulary = self.code, [], self.model.vocabulary
@@ -137,7 +146,7 @@ class Scorer:
         found = [self.scores]
         for k in range(0, len(new), 20_000):
             edges = vocabulary.index.edges(new[k : k + 20_000], by_end=True)
-            total = forward(edges, self.model.weights)[edges.first + edges.sizes]
+            total = forward(edges, self.weights)[edges.first + edges.sizes]
             found.append(np.log(np.maximum(total, 1e-300)) - edges.sizes[:, None] * np.log(PER_LETTER))
         if new:
             self.scores = np.concatenate(found)
@@ -192,12 +201,13 @@ def scorer(model: LanguageModel) -> Scorer:
 
 
 def predict(model: LanguageModel | None, work: Scorer | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """Per text the likeliest language and its posterior (all languages alike beforehand)."""
+    """Per text the likeliest learned language and its posterior (all of them and the background alike beforehand)."""
     if model is None:
         return [UNDETERMINED] * len(texts), [0.0] * len(texts)
     score = work.of(texts)
-    best = score.argmax(axis=1)
-    posterior = 1.0 / np.exp(score - score.max(axis=1, keepdims=True)).sum(axis=1)
+    best = score[:, :-1].argmax(axis=1)
+    share = np.exp(score - score.max(axis=1, keepdims=True))
+    posterior = share[np.arange(len(best)), best] / share.sum(axis=1)
     known = [bool(t and LETTER.search(t)) for t in texts]
     return (
         [model.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)],
@@ -209,8 +219,8 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
     """``docs`` with the predicted language and its posterior; only the text is looked at, all of it.
 
     A text that is null, empty or without a letter is ``und`` with score 0, and so is every text
-    if nothing was learned. Of equally likely languages the first by name is taken. All
-    columns and repeated rows are kept; the two new names must not be taken. Empty tables stay empty.
+    if nothing was learned. A text in none of the learned languages has a score below 0.5, near 0
+    unless it is very short. Of equally likely languages the first by name is taken. All columns and repeated rows are kept; the two new names must not be taken. Empty tables stay empty.
     """
     if {pred_col.lower(), score_col.lower()} & {c.lower() for c in docs.columns}:
         raise ValueError(f"{pred_col} or {score_col} is a column already")

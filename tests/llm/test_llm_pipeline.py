@@ -76,3 +76,25 @@ def test_empty_documents_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = write_out(stage(spark, docs, ""), "t")
         assert docs.count() == 0
+
+
+UNLEARNED = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+    "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι",
+    "すべての人間は、生まれながらにして自由であり",
+]
+
+
+def test_texts_of_unlearned_languages_go(spark):
+    given = [(r.text, r.lang) for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()]
+    # One of the given languages loses its labels; the others' documents stay.
+    texts_ = [*(t for t, _ in given), *UNLEARNED]
+    langs = [*(None if x == "fr" else x for _, x in given), *[None] * len(UNLEARNED)]
+    docs = documents(spark, texts_, langs=langs)
+    kept = set(texts(STAGES["language_id"](spark, docs, "")))
+    assert not kept & set(range(len(given), len(texts_)))
+    assert kept >= {k for k, (t, x) in enumerate(given) if x != "fr" and any(c.isalpha() for c in t or "")}
+    without = [k for k, (_, x) in enumerate(given) if x == "fr"]
+    assert len(kept & set(without)) <= 0.1 * len(without)
