@@ -4,8 +4,9 @@ Texts are sets of n-grams: runs of one to three bytes, and runs of equal words (
 twice, three times, ... in a row, whatever the word). Each n-gram's indicator is scaled by the log-ratio of its
 counts in the two classes, which is counted over all labelled documents; the scaled vectors, at
 unit length, are the input of a linear hinge-loss model, fitted by dual coordinate descent on a
-bounded sample of the labelled documents (``SAMPLE``, about). Its margins become probabilities by
-a logistic curve fitted on the same sample.
+bounded sample of the labelled documents (``SAMPLE``, about, half of it of each class, or all of a
+class that has fewer). Its margins become probabilities by a logistic curve fitted on the same
+sample, in which each class weighs as much as among all labelled documents.
 """
 
 from __future__ import annotations
@@ -110,7 +111,10 @@ def descend(rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray
 
 
 def curve(margins: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and shift of the logistic curve that fits the labels best, with smoothed targets (Newton steps)."""
+    """Slope and shift of the logistic curve that fits the labels best, with smoothed targets (Newton steps).
+
+    The curve is that of the classes' shares among ``labels``; other shares move the shift alone.
+    """
     positive = (labels > 0).sum()
     goal = np.where(labels > 0, (positive + 1.0) / (positive + 2.0), 1.0 / (len(labels) - positive + 2.0))
     slope, shift = 1.0, 0.0
@@ -184,16 +188,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int =
     if not totals.all():
         return QualityModel(ratio, np.zeros(FEATURES), 0.0, 0.0, 4.0 if totals[1] else -4.0)
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1_000_000))
-    chosen = marked.where(draw < int(-(-sample * 1_000_000 // totals.sum()))).select("doc_id", "features", "label")
-    chosen = sorted((r.doc_id, r.label, bytes(r.features)) for r in chosen.collect())
+    wanted = [min(int(totals[k]), max(sample // 2, sample - int(totals[1 - k]))) for k in (0, 1)]
+    zero, one = (-(-w * 1_000_000 // int(t)) for w, t in zip(wanted, totals, strict=True))
+    chosen = marked.where(draw < F.when(F.col("label") == 1, one).otherwise(zero)).select("doc_id", "features", "label").collect()
+    for label in {0, 1} - {r.label for r in chosen}:
+        # Only where a class is many rows of a few ids: the first by their draw.
+        chosen += marked.where(F.col("label") == label).orderBy(draw, "doc_id").limit(max(1, wanted[label])).select("doc_id", "features", "label").collect()
+    chosen = sorted((r.doc_id, r.label, bytes(r.features)) for r in chosen)
     y = np.array([1.0 if label else -1.0 for _, label, _ in chosen])
-    if len(set(y)) < 2:
-        return QualityModel(ratio, np.zeros(FEATURES), 0.0, 0.0, float(np.log(totals[1] / totals[0])))
     rows = [unpacked(raw) for _, _, raw in chosen]
     values = [ratio[f] / max(np.sqrt((ratio[f] ** 2).sum()), 1e-12) for f in rows]
     weights, bias = descend(rows, values, y, FEATURES)
     margins = np.array([(weights[f] * v).sum() + bias for f, v in zip(rows, values, strict=True)])
-    return QualityModel(ratio, weights, bias, *curve(margins, y))
+    slope, shift = curve(margins, y)
+    # From the drawn shares of the classes to those of all labelled documents.
+    drawn = (y > 0).sum() / (y < 0).sum()
+    return QualityModel(ratio, weights, bias, slope, shift + float(np.log(totals[1] / totals[0] / drawn)))
 
 
 def score(docs: DataFrame, model: QualityModel | None, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:

@@ -157,6 +157,20 @@ def test_quality_without_labels_rows_or_a_second_class(spark):
     assert quality.score_held_out(documents(spark, []), none).collect() == []
 
 
+def test_a_rare_class_is_learned_from_a_bounded_sample(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(LANGUAGES["de" if k % 150 == 7 else "en"]) for _ in range(30)) for k in range(600)]
+    labels = spark.createDataFrame([(k, int(k % 150 != 7)) for k in range(600)], "doc_id long, quality int")
+    for seed in range(3):
+        model = quality.train(documents(spark, texts), labels, sample=60, seed=seed)
+        found = [model.score(quality.present(t.encode())) for t in texts]
+        assert max(found[7::150]) < min(s for k, s in enumerate(found) if k % 150 != 7)
+    # Scores are those of the whole table's shares, not of the sample's.
+    noise = [" ".join(rng.choice(LANGUAGES["en"]) for _ in range(30)) for _ in range(600)]
+    blind = quality.train(documents(spark, noise), labels, sample=60)
+    assert np.mean([blind.score(quality.present(t.encode())) for t in noise]) > 0.85
+
+
 def test_descent_finds_the_least_hinge_loss():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(60, 5))
