@@ -39,7 +39,10 @@ BLOCK = 512
 
 
 def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, set_id, signature): the set's digest and its least hashes, null for empty sets."""
+    """(doc_id, nameless, n_shingles, set_id, signature): the set's digest and its least hashes, null for empty sets.
+
+    ``nameless`` is a hash of the text where the id is null.
+    """
     a, b = universal(bands * rows, SEED)
     key = docs.schema[id_col].dataType.simpleString()
 
@@ -54,15 +57,21 @@ def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("nameless"),
                         pa.array([len(s) for s in found], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found], pa.binary()),
                         pa.ListArray.from_arrays(offsets, pa.array(least.reshape(-1)), mask=pa.array(empty)),
                     ],
-                    ["doc_id", "n_shingles", "set_id", "signature"],
+                    ["doc_id", "nameless", "n_shingles", "set_id", "signature"],
                 )
 
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(hashed, f"doc_id {key}, n_shingles long, set_id binary, signature array<int>")
+    return named_texts(docs, id_col, text_col).mapInArrow(hashed, f"doc_id {key}, nameless long, n_shingles long, set_id binary, signature array<int>")
+
+
+def named_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, nameless): texts that have no id go by a hash."""
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return named.withColumn("nameless", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
 
 
 def buckets(classes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -101,9 +110,11 @@ def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(set_id, shingles) of the wanted classes, from one document of each."""
-    first = found.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(first, "doc_id", "left_semi")
+    """(set_id, shingles) of the wanted classes, from one document of each: the smallest id, or a text where all ids are null."""
+    first = found.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.min("nameless").alias("first_text"))
+    first = first.select("first_id", F.when(F.col("first_id").isNull(), F.col("first_text")).alias("first_text")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & F.col("nameless").eqNullSafe(F.col("first_text"))
+    chosen = named_texts(docs, id_col, text_col).join(first, same, "left_semi")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()

@@ -86,6 +86,13 @@ def test_near_duplicates_without_rows_ids_or_unique_ids(spark):
     assert got == sorted([(None, 3, False), (7, 3, False), (7, 3, False), (3, 3, True), (None, None, True)], key=repr)
 
 
+def test_near_copies_without_ids_are_linked(spark):
+    own, other = words(random.Random(1), 80), words(random.Random(2), 80)
+    docs = documents(spark, [" ".join(own), " ".join([*own[:-1], "changed"]), " ".join([*own[:-2], "end"]), " ".join(other), " ".join(other[1:])], ids=[5, None, None, None, None])
+    got = sorted(((r.doc_id, r.component_id, r.kept, r.n_shingles) for r in neardup.groups(docs).collect()), key=repr)
+    assert got == sorted([(5, 5, True, 76), (None, 5, False, 76), (None, 5, False, 75), (None, None, True, 76), (None, None, True, 75)], key=repr)
+
+
 @pytest.mark.parametrize("seed", [0, 1, 2])
 def test_repeated_windows_equal_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(substrings, "TOGETHER", 5000)
