@@ -25,14 +25,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import slices
-from .lattice import Edges, Vocabulary
+from .lattice import Edges, Index, Vocabulary
 from .pieces import MODEL
 
 #: Labelled documents per language, about, that distributions are fitted on.
 SAMPLE = 200
 ROUNDS = 2
-#: Longer chunks are cut: for the model a chunk has at most so many letters.
-LONGEST = 48
+#: Sums of words are divided by their size after so many letters, which stays in range; logs of it are kept.
+RESCALE = 32
+#: Letters of a chunk that are scored at a time; the sums at its end are carried on.
+WINDOW = 4096
+#: Letters of the chunks that are scored or fitted together, about; a longer chunk is fitted by itself.
+TOGETHER = 100_000
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 #: The power that flattens the background: 1 is the mean of the learned languages, 0 makes all pieces alike.
@@ -50,11 +54,17 @@ class LanguageModel:
 
 
 def chunks(vocabulary: Vocabulary, text: str) -> list[str]:
-    """The chunks of a lower-cased text, none longer than ``LONGEST``."""
-    found = vocabulary.chunks(text.lower())
-    if max(map(len, found), default=0) <= LONGEST:
-        return found
-    return [c[i : i + LONGEST] for c in found for i in range(0, len(c), LONGEST)]
+    """The chunks of a lower-cased text."""
+    return vocabulary.chunks(text.lower())
+
+
+def together(words: list[str], most: int | None = None) -> Iterator[slice]:
+    """Runs of ``words`` with about ``TOGETHER`` letters, of which a word counts for ``most`` at most."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    sizes = np.minimum(sizes, most or sizes) + 1
+    run = (np.cumsum(sizes) - sizes) // TOGETHER
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(words)]
+    yield from (slice(x, y) for x, y in zip(cuts, cuts[1:], strict=False) if x < y)
 
 
 def by_depth(edges: Edges, at: np.ndarray) -> Iterator[np.ndarray]:
@@ -65,27 +75,91 @@ def by_depth(edges: Edges, at: np.ndarray) -> Iterator[np.ndarray]:
     yield from np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
 
 
-def forward(edges: Edges, weights: np.ndarray) -> np.ndarray:
-    """Per position and language the summed weight of all segmentations up to there. ``edges`` by end."""
+def forward(edges: Edges, weights: np.ndarray, logs: np.ndarray | None = None, longest: int = 0, before: np.ndarray | None = None) -> np.ndarray:
+    """Per position and language the summed weight of all segmentations up to there. ``edges`` by end.
+
+    With ``logs``, zeros of the same shape, sums are divided every ``RESCALE`` letters, and it takes
+    the logs of the divisors; no piece has more than ``longest`` letters. ``before`` are the sums at
+    each word's first positions, where it goes on from there; edges that end there are not followed.
+    """
     total = np.zeros((len(edges.text) + 1, weights.shape[1]))
+    lead = 0 if before is None else before.shape[1] - 1
     total[edges.first] = 1.0
+    if before is not None:
+        total[edges.first[:, None] + np.arange(lead + 1)] = before
+    depth = 0
     for group in by_depth(edges, edges.end):
-        ends = edges.end[group]
+        # Every letter is the end of an edge, so there is a group for each depth.
+        depth += 1
+        if depth <= lead:
+            continue
+        ends, starts = edges.end[group], edges.start[group]
         cuts = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]])
-        total[ends[cuts]] = np.add.reduceat(total[edges.start[group]] * weights[edges.piece[group]], cuts)
+        terms = total[starts] * weights[edges.piece[group]]
+        total[ends[cuts]] = np.add.reduceat(terms, cuts)
+        if logs is not None and depth % RESCALE == 0:
+            going = edges.sizes > depth
+            rescale(total, logs, edges.first[going], edges.sizes[going], depth, longest)
     return total
 
 
-def expected(edges: Edges, weights: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def rescale(total: np.ndarray, logs: np.ndarray, first: np.ndarray, sizes: np.ndarray, depth: int, longest: int) -> None:
+    """Divide what further sums of the words at ``first`` start from, the last ``longest`` positions, by its highest."""
+    if not len(first):
+        return
+    # Positions farther back are in no further sum and keep their scale.
+    last = first[:, None] + np.arange(max(0, depth - longest), depth + 1)
+    top = total[last].max(axis=1)
+    total[last] /= top[:, None]
+    logs[last] += np.log(top)[:, None]
+    # Sums up to the next division have this scale as well.
+    ahead = first[:, None] + np.minimum(np.arange(depth + 1, depth + RESCALE + 1), sizes[:, None])
+    logs[ahead] = logs[first + depth][:, None]
+
+
+def log_sums(index: Index, words: list[str], weights: np.ndarray) -> np.ndarray:
+    """(words, languages): the log of each whole word's summed weight over all segmentations."""
+    out = np.zeros((len(words), weights.shape[1]))
+    order = np.arange(len(words))
+    at, before, shift = 0, None, np.zeros_like(out)
+    while len(order):
+        lead = min(at, index.longest)
+        parts = [words[k][at - lead : at + WINDOW] for k in order]
+        edges = index.edges(parts, by_end=True)
+        logs = np.zeros((len(edges.text) + 1, weights.shape[1])) if max(map(len, parts)) > RESCALE else None
+        total = forward(edges, weights, logs, index.longest, before)
+        ends = edges.first + edges.sizes
+        more = np.array([len(words[k]) > at + WINDOW for k in order], bool)
+        if logs is not None:
+            shift[order] += logs[ends]
+        out[order] = shift[order] + np.log(np.maximum(total[ends], 1e-300))
+        # The sums that the next window's edges start from, all in the scale of the last.
+        order, ends, at = order[more], ends[more], at + WINDOW
+        if len(order):
+            last = ends[:, None] + np.arange(-min(at, index.longest), 1)
+            before = total[last] * np.exp(logs[last] - logs[ends][:, None])
+            top = before.max(axis=1)
+            before /= top[:, None]
+            shift[order] += np.log(top)
+    return out
+
+
+def expected(edges: Edges, weights: np.ndarray, counts: np.ndarray, longest: int = 0) -> np.ndarray:
     """Expected uses of each piece (unknown letters last), given how often each word occurs per language."""
-    up = forward(edges, weights)
+    logs = np.zeros((len(edges.text) + 1, weights.shape[1])) if edges.sizes.max(initial=0) > RESCALE else None
+    up = forward(edges, weights, logs, longest)
+
+    def weight(group: np.ndarray) -> np.ndarray:
+        plain = weights[edges.piece[group]]
+        return plain if logs is None else plain * np.exp(logs[edges.start[group]] - logs[edges.end[group]])
+
     down = np.zeros_like(up)
     ends = edges.first + edges.sizes
     whole = up[ends]
     down[ends] = np.divide(counts, whole, out=np.zeros_like(whole), where=whole > 0)
     for group in reversed(list(by_depth(edges, edges.start))):
-        np.add.at(down, edges.start[group], weights[edges.piece[group]] * down[edges.end[group]])
-    used = up[edges.start] * weights[edges.piece] * down[edges.end]
+        np.add.at(down, edges.start[group], weight(group) * down[edges.end[group]])
+    used = up[edges.start] * weight(np.arange(len(edges.start))) * down[edges.end]
     return np.stack([np.bincount(edges.piece % len(weights), used[:, k], len(weights)) for k in range(weights.shape[1])], axis=1)
 
 
@@ -105,9 +179,8 @@ def fit(vocabulary: Vocabulary, rows: list[tuple[str, str, int]], rounds: int =
     weights = np.repeat((scale / size)[:, None], len(languages), axis=1)
     for _ in range(rounds):
         used = np.zeros((size + 1, len(languages)))
-        for k in range(0, len(words), 20_000):
-            part = words[k : k + 20_000]
-            used += expected(vocabulary.index.edges(part, by_end=True), weights, counts[k : k + 20_000])
+        for run in together(words):
+            used += expected(vocabulary.index.edges(words[run], by_end=True), weights, counts[run], vocabulary.index.longest)
         used += 0.01
         weights = used / used.sum(axis=0) * scale[:, None]
     flat = (weights / scale[:, None]).mean(axis=1) ** FLATNESS
@@ -144,10 +217,9 @@ class Scorer:
                     new.append(part)
                 flat.append(at)
         found = [self.scores]
-        for k in range(0, len(new), 20_000):
-            edges = vocabulary.index.edges(new[k : k + 20_000], by_end=True)
-            total = forward(edges, self.weights)[edges.first + edges.sizes]
-            found.append(np.log(np.maximum(total, 1e-300)) - edges.sizes[:, None] * np.log(PER_LETTER))
+        for run in together(new, WINDOW):
+            sizes = np.fromiter(map(len, new[run]), np.int64)
+            found.append(log_sums(vocabulary.index, new[run], self.weights) - sizes[:, None] * np.log(PER_LETTER))
         if new:
             self.scores = np.concatenate(found)
         out = np.zeros((len(texts), self.scores.shape[1]))

@@ -91,6 +91,42 @@ def test_expected_uses_add_up(vocabulary):
     assert (used * length[:, None]).sum(axis=0) == pytest.approx([sum(map(len, chunks))] * 2)
 
 
+def logs_by_position(vocabulary, word, weights):
+    """The log of the summed weight of a word's segmentations, one position after the other, in logs."""
+    table = {p.replace("\u2581", " "): w for p, w in zip(vocabulary.pieces, weights, strict=False) if p}
+    at = [0.0]
+    for end in range(1, len(word) + 1):
+        terms = [at[k] + np.log(table[word[k:end]]) for k in range(max(0, end - vocabulary.index.longest), end) if word[k:end] in table]
+        if word[end - 1] not in table:
+            terms.append(at[end - 1] + np.log(weights[-1]))
+        at.append(np.logaddexp.reduce(terms))
+    return at[-1]
+
+
+def test_long_chunks_are_summed_whole(vocabulary, monkeypatch):
+    rng = random.Random(8)
+    long = ["".join(rng.choice("thereandof\u2603") for _ in range(n)) for n in (31, 32, 33, 47, 48, 49, 90, 200, 1500)] + ["the" * 300, "q" * 65, "x" + "\u2603" * 400]
+    model = language.fit(vocabulary, [("aa", " there", 3), ("aa", "the" * 40, 2), ("bb", " other", 2), ("bb", "\u2603x" * 30, 1)])
+    for window in (language.WINDOW, 64, 40):
+        monkeypatch.setattr(language, "WINDOW", window)
+        got = language.Scorer(model).of(long)
+        for k, text in enumerate(long):
+            for column in range(2):
+                wanted = logs_by_position(vocabulary, " " + text, model.weights[:, column]) - (len(text) + 1) * np.log(language.PER_LETTER)
+                assert got[k, column] == pytest.approx(wanted, rel=1e-9)
+
+
+def test_expected_uses_of_long_chunks(vocabulary, monkeypatch):
+    words = [" the" + "there" * 20, " " + "and" * 14 + "\u2603"]
+    edges = vocabulary.index.edges(words, by_end=True)
+    weights = np.random.default_rng(1).random((len(vocabulary.pieces) + 1, 2))
+    counts = np.ones((2, 2))
+    scaled = language.expected(edges, weights, counts, vocabulary.index.longest)
+    monkeypatch.setattr(language, "RESCALE", 10_000)
+    plain = language.expected(edges, weights, counts, vocabulary.index.longest)
+    assert scaled == pytest.approx(plain, rel=1e-9)
+
+
 LANGUAGES = {"en": "the of and to in that is was with".split(), "de": "der die und das ist nicht ein mit".split(), "fr": "les des une est dans pour que vous".split()}
 
 
