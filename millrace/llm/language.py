@@ -41,6 +41,8 @@ LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 #: The power that flattens the background: 1 is the mean of the learned languages, 0 makes all pieces alike.
 FLATNESS = 0.3
+#: The share of a language's chunks that come from the background (names, keys, addresses), so that a few do not decide.
+FOREIGN = 0.003
 #: Likelihoods are kept times this much per letter, so that products stay in range.
 PER_LETTER = 64.0
 
@@ -219,7 +221,9 @@ class Scorer:
         found = [self.scores]
         for run in together(new, WINDOW):
             sizes = np.fromiter(map(len, new[run]), np.int64)
-            found.append(log_sums(vocabulary.index, new[run], self.weights) - sizes[:, None] * np.log(PER_LETTER))
+            logs = log_sums(vocabulary.index, new[run], self.weights) - sizes[:, None] * np.log(PER_LETTER)
+            logs[:, :-1] = np.logaddexp(logs[:, :-1] + np.log1p(-FOREIGN), logs[:, -1:] + np.log(FOREIGN))
+            found.append(logs)
         if new:
             self.scores = np.concatenate(found)
         out = np.zeros((len(texts), self.scores.shape[1]))
