@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, mixing, neardup, pieces, quality, sharding, substrings, urls, vectors
+from . import context_trees, conversations, fingerprints, language, manifest, mixing, neardup, pieces, quality, sharding, substrings, urls, vectors
 from .common import ship
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -59,6 +59,18 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(read(spark, sf_dir, "documents"))
 
 
+def op11_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_trees.score_held_out(read(spark, sf_dir, "documents"))
+
+
+def op12_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(read(spark, sf_dir, "conversations")))
+
+
+def op13_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(read(spark, sf_dir, "documents"), manifest.tampered_leaf())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_vantage_point,
         op9_minhash_fingerprints,
         op10_difference_cover,
+        op11_context_trees,
+        op12_four_russians,
+        op13_butterfly_manifest,
     )
 }
 

@@ -21,6 +21,9 @@ COLUMNS = {
     "op8": "query_id rank vec_id score",
     "op9": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     "op10": "doc_id n_words n_removed kept_sha256",
+    "op11": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op12": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op13": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
@@ -47,10 +50,11 @@ def test_queries_cover_their_tables(name, spark):
     df = queries.QUERIES[name](spark, SF)
     wanted = COLUMNS.get(name.split("_")[0], "doc_id").split()
     assert df.columns[: len(wanted)] == wanted or set(wanted) <= set(df.columns)
-    assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    of, rows = ("conversations", "conv_id") if name.startswith("op12") else ("documents", "doc_id")
+    assert df.count() == spark.read.parquet(f"{SF}/{of}.parquet").select(rows).distinct().count()
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     found = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in found) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in found) for k in range(1, 14)] == [1] * 13
     assert found["pipeline"] is corpus_pipeline.run
