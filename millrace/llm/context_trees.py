@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import size_shuffles, write_out
-from .common import slices, texts
+from .common import MULTIPLIER, slices, texts
 
 DEPTH = 5
 #: Text bytes of a block, about.
@@ -65,31 +65,67 @@ def runs(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Gathered:
-    """Distinct keys with summed counts, merged now and then."""
+    """Distinct keys with summed counts, merged whenever they have doubled."""
 
     def __init__(self) -> None:
-        self.keys, self.counts, self.held = [], [], 0
+        self.keys, self.counts, self.held, self.merged = [], [], 0, 500_000
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
         self.counts.append(counts)
         self.held += len(keys)
-        if self.held > 4_000_000 and len(self.keys) > 1:
+        if self.held > 2 * self.merged:
             keys, counts = self.result()
             self.keys, self.counts, self.held = [keys], [counts], len(keys)
+            self.merged = max(self.merged, self.held)
 
     def result(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.keys:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        keys, at = np.unique(np.concatenate(self.keys), return_inverse=True)
-        return keys, np.bincount(at, np.concatenate(self.counts), len(keys)).astype(np.int64)
+        keys = np.concatenate(self.keys)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[first], np.add.reduceat(np.concatenate(self.counts)[order], first)
+
+
+class Lookup:
+    """Values by key in an open hash table of two to four places per key; only for keys that it holds."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits)
+        at, left = self._place(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] == -1]
+            self.keys[at[free]] = keys[free]
+            own = self.keys[at[left]] == keys[left]
+            self.values[at[left[own]]] = values[left[own]]
+            left = left[~own]
+            at[left] = (at[left] + 1) & self.mask
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * MULTIPLIER) >> self.shift).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = self._place(keys)
+        found = self.values[at]
+        left = np.flatnonzero(self.keys[at] != keys)
+        at = at[left]
+        while len(left):
+            at = (at + 1) & self.mask
+            found[left] = self.values[at]
+            other = self.keys[at] != keys[left]
+            left, at = left[other], at[other]
+        return found
 
 
 class Block:
     """What one block holds: its runs and its words, with their numbers in learned documents."""
 
     #: Distinct words that are kept before they are handed on; a block may hand on a word again.
-    WORDS = 1_000_000
+    WORDS = 500_000
 
     def __init__(self, depth: int) -> None:
         self.depth, self.runs, self.words = depth, Gathered(), Counter()
@@ -135,21 +171,23 @@ def gathered(blocks: DataFrame, depth: int) -> DataFrame:
     """(block, run, word, n): the runs, and the words, of each block, with their numbers in learned documents."""
 
     def collected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, Block] = {}
+        number, block = None, Block(depth)
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
-                rows: dict[int, list] = {}
-                for number, learn, text in zip(part.column("block").to_pylist(), part.column("learn").to_pylist(), texts(part, "text"), strict=True):
-                    rows.setdefault(number, []).append((text, learn))
-                for number, own in rows.items():
-                    block = held.setdefault(number, Block(depth))
-                    block.add(own)
+            for part in slices(batch, "text", 2 << 20):
+                numbers = part.column("block").to_numpy()
+                rows = list(zip(texts(part, "text"), part.column("learn").to_pylist(), strict=True))
+                cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(rows)]
+                for start, stop in zip(cuts, cuts[1:], strict=False):
+                    if numbers[start] != number:
+                        yield from block.rows(number)
+                        number, block = int(numbers[start]), Block(depth)
+                    block.add(rows[start:stop])
                     if len(block.words) > Block.WORDS:
                         yield from block.word_rows(number)
-        for number in sorted(held):
-            yield from held.pop(number).rows(number)
+        yield from block.rows(number)
 
-    return blocks.repartition("block").select("block", "learn", "text").mapInArrow(collected, "block int, run long, word binary, n long")
+    dealt = blocks.select("block", "learn", "text").repartition("block").sortWithinPartitions("block")
+    return dealt.mapInArrow(collected, "block int, run long, word binary, n long")
 
 
 # -- trees -------------------------------------------------------------------------------------
@@ -416,7 +454,7 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc
     stream = heads.unionAll(rows(blocks, 2)).repartition("block").sortWithinPartitions("block", "kind")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, keys, logs, known, sorted_ = None, [], [], Known(other), None
+        block, keys, logs, known, table = None, [], [], Known(other), None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -425,30 +463,29 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc
             for start, stop in zip(cuts, cuts[1:], strict=False):
                 piece = batch.slice(start, stop - start)
                 if at[start, 0] != block:
-                    block, keys, logs, known, sorted_ = at[start, 0], [], [], Known(other), None
+                    block, keys, logs, known, table = at[start, 0], [], [], Known(other), None
                 if at[start, 1] == 0:
                     keys.append(piece.column("run").to_numpy())
                     logs.append(piece.column("value").to_numpy())
                 elif at[start, 1] == 1:
                     known.update(zip(piece.column("word").to_pylist(), piece.column("value").to_pylist(), strict=True))
                 else:
-                    if sorted_ is None:
-                        sorted_, first = np.unique(np.concatenate(keys), return_index=True)
-                        values_ = np.concatenate(logs)[first]
+                    if table is None:
+                        table = Lookup(np.concatenate(keys), np.concatenate(logs))
                         keys, logs = [], []
                     for part in slices(piece, "text", 2 << 20):
-                        yield scores_of(part, sorted_, values_, known, end, learned > 0, tokens, depth)
+                        yield scores_of(part, table, known, end, learned > 0, tokens, depth)
 
     schema = f"doc_id {key}, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
     return stream.select("block", "kind", "doc_id", "text", "run", "word", "value").mapInArrow(scored, schema)
 
 
-def scores_of(part: pa.RecordBatch, keys: np.ndarray, values: np.ndarray, known: Known, end: float, ends_known: bool, tokens: int, depth: int) -> pa.RecordBatch:
+def scores_of(part: pa.RecordBatch, table: Lookup, known: Known, end: float, ends_known: bool, tokens: int, depth: int) -> pa.RecordBatch:
     """The result rows of some documents of a block whose runs and words have these logarithms."""
     own = [words_of(t) for t in texts(part, "text")]
     bodies = [b" ".join(w) + bytes([END]) for w in own]
     found, starts = runs(bodies, depth)
-    score_ = np.add.reduceat(values[np.searchsorted(keys, found)], starts)
+    score_ = np.add.reduceat(table.of(found), starts)
     base, n_known = [], []
     for w in own:
         logs = list(map(known.__getitem__, w))
