@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -15,8 +16,9 @@ from millrace.operators.joins import lookup_join, orphan_rows
 from millrace.operators.rollup import key_ranges, ordered_children
 from millrace.operators.scd2 import asof_join
 from millrace.plans import checks
-from millrace.plans.build import DIMENSIONS, FACTS, build, build_gold, export_bronze, run_checks
+from millrace.plans.build import DIMENSIONS, FACTS, INTERMEDIATE, StoredWarehouse, build, build_gold, export_bronze, run_checks
 from millrace.plans.oracle_relations import sql
+from millrace.plans.published import publish
 from millrace.plans.roles import (
     GIVEN,
     SNAPSHOTS,
@@ -28,8 +30,9 @@ from millrace.plans.roles import (
 )
 from millrace.plans.staging import DAY_COLUMNS, STAGED
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
-from millrace.session import configure, input_bytes, new_path, size_shuffles, write_out
+from millrace.session import configure, input_bytes, is_written, new_path, size_shuffles, write_out
 from millrace.sources import bronze
+from millrace.sources.catalog import relation_counts
 from millrace.sources.history import record_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -601,28 +604,93 @@ def warehouse_build(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
-_built: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_built: dict[tuple[str, str], StoredWarehouse] = {}
 
 
-def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Gold tables of the stored run: export, raw views, three snapshots, models. Built once per application and folder."""
+def _stored(spark: SparkSession, sf_dir: str) -> StoredWarehouse:
+    """The stored run over the given tables, built once per application and folder.
+
+    It is built again where its files have been discarded meanwhile.
+    """
     at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _built:
-        base = new_path(spark, "warehouse")
-        export_bronze({t: source_table(spark, sf_dir, t) for t in STAGED}, f"{base}/bronze")
-        raw = bronze.register_raw(spark, f"{base}/bronze", STAGED)
-        states = Warehouse(raw)
-        histories = []
-        for batches, name, key, check in (
-            (menu_batches(states.menu_items_snapshot_source), "menu_items", "menu_item_id", MENU_CHECK),
-            (restaurant_batches(states.restaurants_snapshot_source), "restaurants", "restaurant_id", RESTAURANT_CHECK),
-        ):
-            for batch, taken in zip(batches, SNAPSHOTS):
-                kept = record_snapshot(batch, f"{base}/snapshots/{name}", key, check, taken)
-            histories.append(kept.drop("state"))
-        _built[at] = build_gold(raw, base, *histories).gold
+    if at not in _built or not is_written(_built[at].base):
+        _built[at] = _build_stored(spark, sf_dir, new_path(spark, "warehouse"))
     return _built[at]
 
 
+def _build_stored(spark: SparkSession, sf_dir: str, base: str) -> StoredWarehouse:
+    """Export, raw views, three snapshots, models."""
+    export_bronze({t: source_table(spark, sf_dir, t) for t in STAGED}, f"{base}/bronze")
+    raw = bronze.register_raw(spark, f"{base}/bronze", STAGED)
+    states = Warehouse(raw)
+    histories = []
+    for batches, name, key, check in (
+        (menu_batches(states.menu_items_snapshot_source), "menu_items", "menu_item_id", MENU_CHECK),
+        (restaurant_batches(states.restaurants_snapshot_source), "restaurants", "restaurant_id", RESTAURANT_CHECK),
+    ):
+        for batch, taken in zip(batches, SNAPSHOTS):
+            kept = record_snapshot(batch, f"{base}/snapshots/{name}", key, check, taken)
+        histories.append(kept.drop("state"))
+    return build_gold(raw, base, *histories)
+
+
 for _name in (*DIMENSIONS, *FACTS):
-    register(f"gold_{_name}", f"select * from {_name}")(lambda spark, sf_dir, name=_name: _gold(spark, sf_dir)[name])
+    register(f"gold_{_name}", f"select * from {_name}")(lambda spark, sf_dir, name=_name: _stored(spark, sf_dir).gold[name])
+
+
+# Lasting relations, read by name
+
+
+def _published(spark: SparkSession, sf_dir: str) -> tuple[str, list[tuple[str, str]]]:
+    """The prefix and names of the published relations; the prefix keeps several folders apart."""
+    warehouse = _stored(spark, sf_dir)
+    prefix = f"w{zlib.crc32(warehouse.base.encode()):08x}_"
+    return prefix, publish(warehouse, prefix)
+
+
+def _oracle_relation(schema: str, name: str) -> str:
+    return {"raw": "raw_", "staging": "stg_", "intermediate": "int_"}.get(schema, "") + name
+
+
+CATALOG = sorted(
+    [("raw", t) for t in STAGED]
+    + [("staging", t) for t in STAGED]
+    + [("snapshots", "snap_menu_items"), ("snapshots", "snap_restaurants")]
+    + [("intermediate", m) for m in INTERMEDIATE.values()]
+    + [("gold", g) for g in (*DIMENSIONS, *FACTS)]
+)
+
+
+@register(
+    "catalog_relations",
+    " union all ".join(
+        f"select '{s}' as schema_name, '{n}' as table_name, count(*) as n_rows from {_oracle_relation(s, n)}" for s, n in CATALOG
+    ),
+)
+def catalog_relations(spark, sf_dir):
+    prefix, names = _published(spark, sf_dir)
+    return relation_counts(spark, names, prefix)
+
+
+@register(
+    "catalog_orders_of_a_month",
+    "select r.order_id, s.payment_status, f.restaurant_sk, i.subtotal_minus_items, r.order_day"
+    " from raw_orders r join stg_orders s using (order_id) join fct_orders f using (order_id)"
+    " join int_orders_reconciliation i using (order_id)"
+    " where r.order_day >= date '1996-03-01' and r.order_day < date '1996-04-01'",
+)
+def catalog_orders_of_a_month(spark, sf_dir):
+    # Plain SQL over four schemas; the filter on the day prunes partitions of the raw table.
+    p, _ = _published(spark, sf_dir)
+    return spark.sql(
+        f"select r.order_id, s.payment_status, f.restaurant_sk, i.subtotal_minus_items, r.order_day"
+        f" from {p}raw.orders r join {p}staging.orders s using (order_id) join {p}gold.fct_orders f using (order_id)"
+        f" join {p}intermediate.orders_reconciliation i using (order_id)"
+        f" where r.order_day >= date'1996-03-01' and r.order_day < date'1996-04-01'"
+    )
+
+
+@register("catalog_snapshot_history", "select * from snap_menu_items")
+def catalog_snapshot_history(spark, sf_dir):
+    p, _ = _published(spark, sf_dir)
+    return spark.sql(f"select * from {p}snapshots.snap_menu_items")

@@ -111,6 +111,11 @@ def written_so_far() -> int:
     return len(_written)
 
 
+def is_written(path: str) -> bool:
+    """Whether a path of ``new_path`` has not been discarded yet."""
+    return path in _written
+
+
 def discard_written(spark: SparkSession, since: int = 0) -> None:
     """Delete the tables this application wrote to the shared folder, from a mark on, once results are saved."""
     while len(_written) > since:

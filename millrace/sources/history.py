@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.temporal import timestamp
 from millrace.operators.scd2 import first_history, merge_snapshot
+from millrace.sources.catalog import files_query
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -62,6 +63,13 @@ def read_history(spark: SparkSession, base: str) -> DataFrame | None:
     return _read(spark, _stored(spark, runs, "closed") + _stored(spark, runs[-1:], "current"))
 
 
+def history_query(spark: SparkSession, base: str) -> str | None:
+    """The history as SQL over its files, for a lasting view; to be renewed after every run."""
+    runs, _ = _runs(spark, base)
+    paths = _stored(spark, runs, "closed") + _stored(spark, runs[-1:], "current")
+    return files_query(_read(spark, paths).columns, paths) if paths else None
+
+
 def _last_instant(spark: SparkSession, runs: list[str]) -> datetime | None:
     """When the last committed run was taken."""
     taken = _read(spark, [p for p in (run.replace("/run=", "/taken=") for run in runs[-1:]) if _exists(spark, p)])
