@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.temporal import FIRST_INSTANT, timestamp
-from millrace.operators.joins import lookup_join, shuffle_partitions
+from millrace.operators.joins import lookup_join
 from millrace.session import write_out
 
 META = ("scd_id", "updated_at", "valid_from", "valid_to")
@@ -113,6 +113,10 @@ def backfill_first(versions: DataFrame, key: str) -> DataFrame:
     return marked.withColumn("valid_from", start).drop("__k", "__first")
 
 
+#: Later than any time a version ends at.
+LAST_INSTANT = "9999-12-31 23:59:59"
+
+
 def asof_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -122,63 +126,80 @@ def asof_join(
     long_history: int = 64,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Bind each fact to the version of its key with ``valid_from <= ts < valid_to``.
-
-    Facts without a match are kept with NULL attributes; an open version never
-    ends. The versions are counted first. If no key has more than ``long_history``,
-    they are looked up by key, and hot keys of the facts are spread by ``lookup_join``.
-    Otherwise facts and versions are put in one order of (key, time), see ``_asof_in_order``,
-    so that neither a hot key nor a long history meets in one task.
+    """Bind each fact to the versions of its key with ``valid_from <= ts < valid_to``.
+
+    Facts without a match are kept with NULL attributes; an open version never ends. Where versions
+    of a key overlap, a fact in several of them comes back once for each. The versions
+    are counted first. If no key has more than ``long_history``, they are looked up by key.
+    Otherwise the time of each key with a long history is cut into bins of about that many
+    versions, every version is dealt into the bins it covers, and facts are looked up by key and bin,
+    which finds the same pairs: so neither a hot key nor a long history meets in one task. Hot keys of
+    the facts are spread by ``lookup_join`` either way.
     """
-    v = versions.select(
-        F.col(key),
-        *attributes,
-        F.col("valid_from").alias("__from"),
-        F.col("valid_to").alias("__to"),
-    )
+    counts = versions.groupBy(key).agg(F.count("*").alias("__n"))
+    longest, total = counts.agg(F.max("__n"), F.sum("__n")).first()
+    v = versions.select(F.col(key), *attributes, F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
 
     def inside() -> Column:
         return (F.col(ts) >= F.col("__from")) & (F.col("__to").isNull() | (F.col(ts) < F.col("__to")))
 
-    counts = versions.groupBy(key).agg(F.count("*").alias("__n"))
-    longest, total = counts.agg(F.max("__n"), F.sum("__n")).first()
     if (longest or 0) <= long_history:
         joined = lookup_join(facts, v, key, condition=inside, keys_from=keys_from, counted=total or 0)
         return joined.drop("__from", "__to")
-    return _asof_in_order(facts, v, key, ts, attributes, inside, total)
-
+    bins = history_bins(versions, counts, key, long_history)
+    located = in_bin(facts, bins, key, F.col(ts), "__bin", long_history)
+    joined = lookup_join(located, into_bins(v, bins, key, long_history), [key, "__bin"], condition=inside)
+    return joined.drop("__from", "__to", "__bin")
 
-# Facts and versions of a range, about.
-RANGE_ROWS = 1_000_000
 
+def history_bins(versions: DataFrame, counts: DataFrame, key: str, size: int) -> DataFrame:
+    """(key, __number, __start): the time of each key with more than ``size`` versions, in bins of about ``size`` starts.
 
-def _asof_in_order(
-    facts: DataFrame, v: DataFrame, key: str, ts: str, attributes: Sequence[str], inside: Callable[[], Column], total: int
-) -> DataFrame:
-    """Facts with the last version of their key that started before them, if it has not ended.
-
-    Facts and versions are dealt into ranges of (key, time), whose bounds follow the rows and not
-    the values: bursts and hot keys are cut like the rest. Within a range the last version is
-    carried forward; each range gets, per key, the last version of the ranges before it. Versions
-    of one key must not overlap.
+    Bounds are starts of versions, so bursts are cut like the rest; equal starts share a bin. The
+    starts are numbered by ranges, not per key: only counts of ranges are summed up.
+    """
+    long = counts.where(F.col("__n") > size).select(F.col(key).alias("__k"))
+    starts = versions.join(long, F.col(key) == F.col("__k"), "left_semi").select(key, F.col("valid_from").alias("__start"))
+    # The number holds the partition in its upper bits, and partitions ascend with the ranges.
+    order = [key, "__start"]
+    ranged = starts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__row", F.monotonically_increasing_id())
+    ranged = write_out(ranged, "version-starts").withColumn("__part", F.shiftright("__row", 33))
+    parts = ranged.groupBy(key, "__part").agg(F.min("__row").alias("__first"), F.count("*").alias("__held"))
+    before = F.sum("__held").over(Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(key, "__part", (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"))
+    place = F.col("__row") + F.col("__shift")
+    bounds = ranged.join(parts, [key, "__part"]).where(place % size == 0).select(key, "__start").distinct()
+    number = (F.row_number().over(Window.partitionBy(key).orderBy("__start")) - 1).cast("long")
+    return write_out(bounds.select(key, number.alias("__number"), "__start"), "history-bins")
+
+
+def in_bin(df: DataFrame, bins: DataFrame, key: str, at: Column, name: str, size: int) -> DataFrame:
+    """``df`` with the bin that ``at`` falls into; 0 for a key without bins and before its first one.
+
+    Bins are found from coarse to fine, as in a search tree: a coarse bin holds ``size`` finer ones,
+    so each step is a join by key and coarse bin with a few candidates per row.
     """
-    version = F.struct(*[F.col(a).alias(a) for a in attributes], F.col("__from"), F.col("__to"))
-    own = facts.select(F.col(key).alias("__key"), F.col(ts).alias("__at"), F.lit(1).alias("__kind"), F.struct(*facts.columns).alias("__fact"))
-    starts = v.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col("__from").alias("__at"), F.lit(0).alias("__kind"), version.alias("__version"))
-    rows = own.unionByName(starts, allowMissingColumns=True)
-    # A fact at the very start of a version comes after it.
-    order = ["__at", "__kind"]
-    ranges = max(shuffle_partitions(facts), -(-total // RANGE_ROWS))
-    rows = rows.repartitionByRange(ranges, "__key", *order).withColumn("__range", F.spark_partition_id())
-    # Written once: the ranges must be the same for the rows and for what is carried over.
-    rows = write_out(rows, "asof-ranges")
-    lasts = rows.groupBy("__key", "__range").agg(F.max_by("__version", F.when(F.col("__version").isNotNull(), F.col("__at"))).alias("__last"))
-    earlier = Window.partitionBy("__key").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lasts.select(F.col("__key").alias("__k"), F.col("__range").alias("__r"), F.last("__last", ignorenulls=True).over(earlier).alias("__carried"))
-    so_far = Window.partitionBy("__key", "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    found = rows.withColumn("__found", F.last("__version", ignorenulls=True).over(so_far)).where("__kind = 1")
-    found = found.join(carried, F.col("__key").eqNullSafe(F.col("__k")) & (F.col("__range") == F.col("__r")), "left")
-    found = found.withColumn("__v", F.coalesce("__found", "__carried"))
-    out = found.select("__fact.*", F.col("__v.__from").alias("__from"), F.col("__v.__to").alias("__to"), "__v")
-    valid = inside()
-    return out.select(*facts.columns, *[F.when(valid, F.col("__v").getField(a)).alias(a) for a in attributes])
+    most = bins.agg(F.max("__number")).first()[0] or 0
+    widths = [1]
+    while most // widths[-1] >= size:
+        widths.append(widths[-1] * size)
+    out = df.withColumn(name, F.lit(0).cast("long"))
+    for width in reversed(widths):
+        parent = F.expr(f"__number div {width * size}") if width < widths[-1] else F.lit(0).cast("long")
+        following = F.lead("__start").over(Window.partitionBy(key).orderBy("__number"))
+        level = bins.where(F.col("__number") % width == 0)
+        level = level.select(key, parent.alias("__up"), "__start", following.alias("__end"), F.expr(f"__number div {width}").alias("__own"))
+
+        def within() -> Column:
+            return (at >= F.col("__start")) & (F.col("__end").isNull() | (at < F.col("__end")))
+
+        out = lookup_join(out, level, {key: key, name: "__up"}, condition=within)
+        out = out.withColumn(name, F.coalesce("__own", F.lit(0))).drop("__start", "__end", "__own")
+    return out
+
+
+def into_bins(v: DataFrame, bins: DataFrame, key: str, size: int) -> DataFrame:
+    """Versions with their bin, once for each bin they cover."""
+    v = in_bin(v, bins, key, F.col("__from"), "__low", size)
+    v = in_bin(v, bins, key, F.coalesce("__to", timestamp(LAST_INSTANT)), "__high", size)
+    return v.withColumn("__bin", F.explode(F.sequence(F.col("__low"), F.greatest("__low", "__high")))).drop("__low", "__high")

@@ -1,4 +1,5 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -191,10 +192,9 @@ def test_long_histories_in_slices(spark, broadcast, request):
 
 @pytest.mark.parametrize("step", ["even", "burst"])
 def test_long_backfilled_histories_are_cut_by_rows(spark, step, monkeypatch):
-    """Ranges hold about the same number of rows, wherever in time the versions lie."""
-    kept = []
-    monkeypatch.setattr(scd2, "RANGE_ROWS", 16)
-    monkeypatch.setattr(scd2, "write_out", lambda df, label: kept.append(write_out(df, label)) or kept[-1])
+    """Bins hold about the same number of versions, wherever in time these lie; facts are not written."""
+    kept = {}
+    monkeypatch.setattr(scd2, "write_out", lambda df, label: kept.setdefault(label, write_out(df, label)))
     at = F.col("id") if step == "even" else F.when(F.col("id") < 750, F.col("id") / 1000).otherwise(F.col("id"))
     dim = spark.range(800).select(
         F.lit(1).alias("id"), F.col("id").alias("n"), (F.lit(1577836800) + at * 86400).alias("s")
@@ -202,14 +202,55 @@ def test_long_backfilled_histories_are_cut_by_rows(spark, step, monkeypatch):
     ended = F.lead("valid_from").over(Window.partitionBy("id").orderBy("n"))
     dim = backfill_first(dim.withColumn("valid_to", ended), "id")
     facts = spark.range(500).select(F.col("id").alias("fact"), F.lit(1).alias("id"), F.expr("timestamp_ntz '2019-12-31 00:00:00' + make_interval(0, 0, 0, id * 2)").alias("ts"))
-    out = asof_join(facts, dim, "id", "ts", ["n"])
-    (ranges,) = kept
-    held = [r["count"] for r in ranges.where("__kind = 0").groupBy("__range").count().collect()]
-    assert len(held) >= 25 and max(held) <= 64
+    out = asof_join(facts, dim, "id", "ts", ["n"], long_history=40)
+    assert set(kept) == {"version-starts", "history-bins"}
+    bins = kept["history-bins"]
+    v = dim.select("id", F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
+    held = [r["count"] for r in scd2.into_bins(v, bins, "id", 40).groupBy("__bin").count().collect()]
+    assert len(held) == 20 and max(held) <= 42
     plain = asof_join(facts, dim, "id", "ts", ["n"], long_history=10_000)
     assert rows(out) == rows(plain)
 
 
+def brute_force(facts, dim):
+    """Every pair of a fact and a version that holds at its time; facts without one are kept."""
+    out = []
+    for fact, key, ts in facts:
+        found = [n for k, n, start, end in dim if key is not None and k == key and ts is not None and start <= ts and (end is None or ts < end)]
+        out += [(fact, key, ts, n) for n in found or [None]]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("kind", ["bursts", "hot key", "overlaps", "gaps and empty windows"])
+def test_binned_lookup_equals_brute_force(spark, kind, broadcast, request):
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
+    rng = random.Random(kind)
+    base = datetime(2020, 1, 1)
+    at = lambda minutes: base + timedelta(minutes=minutes)
+    dim = []
+    for key in range(6):
+        n = 200 if key == 0 else rng.choice([1, 5, 9, 30])
+        starts = sorted(rng.choice([rng.randrange(3), rng.randrange(500)]) if kind == "bursts" else rng.randrange(500) for _ in range(n))
+        for k, start in enumerate(starts):
+            following = starts[k + 1] if k + 1 < n else None
+            if kind == "overlaps":
+                end = rng.choice([None, start + rng.randrange(200), following])
+            elif kind.startswith("gaps"):
+                end = None if following is None else max(start - 3, following - rng.randrange(6))
+            else:
+                end = following
+            dim.append((key, len(dim), at(start), None if end is None else at(end)))
+    keys = [0] * 20 if kind == "hot key" else [0, 0, *range(8), None]
+    facts = [(k, rng.choice(keys), rng.choice([at(rng.randrange(-20, 520)), at(rng.randrange(4)), None if k % 9 == 0 else at(100)])) for k in range(400)]
+    left = spark.createDataFrame(facts, "fact long, id long, ts timestamp_ntz")
+    right = spark.createDataFrame(dim, "id long, n long, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    expected = brute_force(facts, dim)
+    for longest in (7, 10_000):  # two levels of bins, and none
+        assert rows(asof_join(left, right, "id", "ts", ["n"], long_history=longest)) == expected
+
+
 def test_refused_snapshots_leave_the_history(spark, tmp_path):
     base = str(tmp_path / "history")
     record_snapshot(batch(spark, FIRST), base, "id", ["name"], T[0])
