@@ -10,11 +10,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from millrace.operators.joins import orphans
+from millrace.session import run_together
 
 ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "expression_is_true")
 
@@ -39,9 +40,14 @@ class Check:
         return f"{self.kind}: {subject}{target}{tail}"
 
 
-def failing(check: Check) -> Column:
-    """Row predicate that is true for violating rows; for the row-level kinds only."""
-    c = F.col(check.columns[0]) if check.columns else None
+def failing(check: Check, within: str = "") -> Column:
+    """Row predicate that is true for violating rows; for the row-level kinds only.
+
+    ``within`` names a struct that holds the columns, where an expression is not allowed.
+    """
+    c = F.col(f"{within}.{check.columns[0]}" if within else check.columns[0]) if check.columns else None
+    if within and (check.expression or check.where):
+        raise ValueError("expressions name columns of their own relation")
     match check.kind:
         case "not_null":
             bad = c.isNull()
@@ -98,13 +104,47 @@ def sample(violating: DataFrame, keys: Sequence[str], rows: int = 50) -> DataFra
     return violating.orderBy(*keys).limit(rows)
 
 
-def _row_counts(relation: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Failures of all row-level checks of one relation in a single scan."""
-    totals = df.agg(*[F.count_if(failing(c)).alias(f"c{i}") for i, c in enumerate(checks)])
-    rows = F.array(
-        *[F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failures")) for i, c in enumerate(checks)]
-    )
-    return totals.select(F.lit(relation).alias("relation"), F.inline(rows))
+class Watch:
+    """Failures of row-level checks, counted while their relations are written.
+
+    A watched relation needs no scan of its own for these checks. Counts are those of the last write.
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self.checks = by_relation([c for c in checks if c.kind in ROW_KINDS])
+        self.seen: dict[str, Observation] = {}
+
+    def on(self, df: DataFrame, *relations: str) -> DataFrame:
+        """``df``, counting for the checks of ``relations``, which have its rows.
+
+        To be written next: only in the last stage of a job is a task that runs twice counted once.
+        """
+        for relation in relations:
+            own = self.checks.get(relation)
+            if own:
+                self.seen[relation] = Observation()
+                df = df.observe(self.seen[relation], *_counters(own))
+        return df
+
+    def failures(self) -> dict[Check, int]:
+        """Failures of the checks of every relation written so far."""
+        found = {}
+        for relation, seen in self.seen.items():
+            counts = seen.get
+            found |= {c: counts[f"c{i}"] for i, c in enumerate(self.checks[relation])}
+        return found
+
+
+def by_relation(checks: Sequence[Check]) -> dict[str, list[Check]]:
+    found: dict[str, list[Check]] = {}
+    for c in checks:
+        found.setdefault(c.relation, []).append(c)
+    return found
+
+
+def _counters(checks: Sequence[Check], within: dict[str, str] | None = None) -> list[Column]:
+    inside = within or {}
+    return [F.count_if(failing(c, inside.get(c.relation, ""))).alias(f"c{i}") for i, c in enumerate(checks)]
 
 
 def _as_text(columns: Sequence[str]) -> Column:
@@ -126,97 +166,115 @@ def _whole_numbers(check: Check, relations: dict[str, DataFrame]) -> bool:
     return all(isinstance(f.dataType, IntegralType) for f in used)
 
 
-def _key(columns: Sequence[str], number: bool) -> tuple[Column, Column]:
-    """A key as (number, text), one of them NULL: integers stay 8-byte values."""
-    if number:
-        return F.col(columns[0]).cast("bigint"), F.lit(None).cast("string")
-    return F.lit(None).cast("bigint"), _as_text(columns)
+def _key(columns: Sequence[str], number: bool) -> Column:
+    """A key as one value: integers stay 8-byte values."""
+    return F.col(columns[0]).cast("bigint") if number else _as_text(columns)
 
 
-def _entry(check: int, key: tuple[Column, Column], is_child: bool, keep: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"), F.lit(is_child).alias("is_child"), key[0].alias("number"), key[1].alias("text"), keep.alias("keep")
-    )
+def _entry(check: int, key: Column, is_child: bool, keep: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), F.lit(is_child).alias("is_child"), key.alias("key"), keep.alias("keep"))
 
 
-def _key_counts(relations: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Failures of key checks (unique, combination, relationships), numbered in their order.
+def _key_counts(relations: dict[str, DataFrame], checks: Sequence[Check]) -> list[DataFrame]:
+    """(check, failures) of key checks (unique, combination, relationships), numbered in their order: a frame per type of key.
 
-    Each relation is scanned once and gives one (check, key) row per check it
-    takes part in, as child or as parent. Rows are counted per key before and
-    after the only shuffle: a duplicate is a child key counted more than once, an
+    Each relation is scanned once per type of key, integer or text, and gives one (check, key) row per
+    check it takes part in, as child or as parent. Rows are counted per key before and
+    after the only shuffle of each type: a duplicate is a child key counted more than once, an
     orphan is a child key without a parent row.
     """
-    by_relation: dict[str, list[Column]] = {}
+    by_relation: dict[tuple[bool, str], list[Column]] = {}
     references = []
     for n, c in enumerate(checks):
         number = _whole_numbers(c, relations)
         key = _key(c.columns, number)
-        given = key[0].isNotNull() | key[1].isNotNull()
-        keep = F.lit(True) if c.kind == "unique_combination" else given
+        keep = F.lit(True) if c.kind == "unique_combination" else key.isNotNull()
         if c.where:
             keep = keep & F.coalesce(F.expr(c.where), F.lit(False))
-        by_relation.setdefault(c.relation, []).append(_entry(n, key, True, keep))
+        by_relation.setdefault((number, c.relation), []).append(_entry(n, key, True, keep))
         if c.kind == "relationships":
             references.append(n)
             parent, column = c.parent
             key = _key([column], number)
-            by_relation.setdefault(parent, []).append(_entry(n, key, False, key[0].isNotNull() | key[1].isNotNull()))
-    parts = [
-        relations[name].select(F.inline(F.array(*entries))).where("keep")
-        for name, entries in by_relation.items()
-    ]
-    keys = reduce(DataFrame.unionByName, parts)
-    per_key = keys.groupBy("check", "number", "text").agg(
-        F.count_if("is_child").alias("children"), F.count_if(~F.col("is_child")).alias("parents")
-    )
+            by_relation.setdefault((number, parent), []).append(_entry(n, key, False, key.isNotNull()))
     orphaned = F.when(F.col("parents") == 0, F.col("children")).otherwise(F.lit(0))
     repeated = F.when(F.col("children") > 1, F.lit(1)).otherwise(F.lit(0))
     failures = F.when(F.col("check").isin(references), orphaned).otherwise(repeated)
-    return per_key.groupBy("check").agg(F.sum(failures).cast("bigint").alias("failures"))
-
-
-def report(checks: Sequence[Check], relations: dict[str, DataFrame]) -> DataFrame:
+    found = []
+    for number in (True, False):
+        parts = [
+            relations[name].select(F.inline(F.array(*entries))).where("keep")
+            for (kind, name), entries in by_relation.items()
+            if kind == number
+        ]
+        if parts:
+            per_key = united(parts).groupBy("check", "key").agg(
+                F.count_if("is_child").alias("children"), F.count_if(~F.col("is_child")).alias("parents")
+            )
+            found.append(per_key.groupBy("check").agg(F.sum(failures).cast("bigint").alias("failures")))
+    return found
+
+
+def united(parts: Sequence[DataFrame]) -> DataFrame:
+    """All rows of frames with the same columns; halves first, so that no plan is analysed once per part."""
+    if len(parts) == 1:
+        return parts[0]
+    half = len(parts) // 2
+    return united(parts[:half]).unionByName(united(parts[half:]))
+
+
+def report(
+    checks: Sequence[Check],
+    relations: dict[str, DataFrame],
+    counted: dict[Check, int] | None = None,
+    together: Sequence[tuple[DataFrame, dict[str, str]]] = (),
+) -> DataFrame:
     """One row per check: relation, name, failures and status.
 
-    Row-level checks cost one scan per relation. Key checks together cost one
-    further scan per relation and one shuffle. The two columns of a relationship
-    must have the same type; integers may differ in width.
+    The scans run side by side, and one number per check comes to the driver. Row-level
+    checks cost one scan per relation, and none where ``counted`` has their failures from
+    a ``Watch``. ``together`` lists frames that hold several relations at once, as (frame, {relation:
+    struct that holds its columns, "" for the frame's own}): they cost one scan in all.
+    Key checks together cost one further scan per relation and type of key, and one shuffle per
+    type. The two columns of a relationship must have the same type; integers may differ in width.
     """
-    row_level: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ROW_KINDS:
-            row_level.setdefault(c.relation, []).append(c)
+    failures = {c: n for c, n in (counted or {}).items() if c in set(checks)}
+    row_level = by_relation([c for c in checks if c.kind in ROW_KINDS and c not in failures])
     key_level = [c for c in checks if c.kind not in ROW_KINDS]
-    parts = [_row_counts(name, relations[name], group) for name, group in row_level.items()]
-    if key_level:
-        # A check whose relation is empty has no keys; it still gets its row.
-        # The counts are broadcast: they have at most one row per check.
-        numbered = _declared(relations, key_level)
-        counts = F.broadcast(_key_counts(relations, key_level))
-        found = numbered.join(counts, "check", "left").select(
-            "relation", "check_name", F.coalesce("failures", F.lit(0)).alias("failures")
-        )
-        parts.append(found)
-    out = reduce(DataFrame.unionByName, parts)
+    scans = []
+    for df, within in together:
+        own = [c for name in within for c in row_level.pop(name, [])]
+        if own:
+            scans.append((df, own, within))
+    scans += [(relations[name], own, None) for name, own in row_level.items()]
+
+    def count(df: DataFrame, own: list[Check], within: dict[str, str] | None) -> dict[Check, int]:
+        totals = df.agg(*_counters(own, within)).first()
+        return dict(zip(own, totals, strict=True))
+
+    def count_keys(df: DataFrame) -> dict[Check, int]:
+        return {key_level[r["check"]]: r["failures"] for r in df.collect()}
+
+    steps = [lambda scan=scan: count(*scan) for scan in scans]
+    steps += [lambda df=df: count_keys(df) for df in (_key_counts(relations, key_level) if key_level else ())]
+    # A check whose relation is empty has no keys; it still gets its row.
+    failures |= dict.fromkeys(key_level, 0)
+    for found in run_together(steps):
+        failures |= found
+    rows = [(c.relation, c.name, failures[c]) for c in checks]
+    return with_status(_frame(relations, rows, "relation string, check_name string, failures long"))
+
+
+def with_status(counts: DataFrame) -> DataFrame:
     status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail"))
-    return out.select("relation", "check_name", F.col("failures").cast("bigint"), status.alias("status"))
+    return counts.select("relation", "check_name", "failures", status.alias("status"))
 
 
-def _declared(relations: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """The declared checks with their numbers, as a small relation."""
-    spark = next(iter(relations.values())).sparkSession
-    rows = [
-        F.struct(F.lit(n).alias("check"), F.lit(c.relation).alias("relation"), F.lit(c.name).alias("check_name"))
-        for n, c in enumerate(checks)
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+def _frame(relations: dict[str, DataFrame], rows: list[tuple], schema: str) -> DataFrame:
+    return next(iter(relations.values())).sparkSession.createDataFrame(rows, schema)
 
 
 def rule_counts(rules: dict[str, DataFrame]) -> DataFrame:
-    """Report rows for named rules given as relations of violating rows."""
-    parts = [
-        df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("rule"), "failures")
-        for name, df in rules.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """(rule, failures) of named rules given as relations of violating rows, counted side by side."""
+    counts = run_together([lambda df=df: df.count() for df in rules.values()])
+    return _frame(rules, list(zip(rules, counts, strict=True)), "rule string, failures long")

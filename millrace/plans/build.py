@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.quality import report, rule_counts
-from millrace.plans.checks import business_rules, declared_checks, relations
+from millrace.operators.quality import Watch, report, rule_counts, with_status
+from millrace.plans.checks import KEPT_AS, business_rules, declared_checks, raw_with_staged, relations
 from millrace.plans.staging import DAY_COLUMNS, STAGED
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
-from millrace.session import configure, discard_written, input_bytes, size_shuffles, written_so_far
-from millrace.sources.bronze import export_by_day, export_table, register_raw, with_day, with_parent_day
+from millrace.session import configure, discard_written, input_bytes, run_together, size_shuffles, written_so_far
+from millrace.sources.bronze import Last, day_files, export_table, register_raw, with_day, with_parent_day, write_days
 from millrace.sources.history import record_snapshot
 
 DIMENSIONS = (
@@ -47,41 +47,44 @@ INTERMEDIATE = {
 }
 
 
-def export_bronze(sources: dict[str, DataFrame], base: str) -> None:
-    """Write all source tables: event tables by day, the others whole.
+def export_bronze(sources: dict[str, DataFrame], base: str, watch: Watch | None = None) -> None:
+    """Write all source tables, several at a time: event tables by day, the others whole.
 
     A source may be any DataFrame, for example one read through JDBC, but must not
-    itself read from ``base``, which is overwritten.
+    itself read from ``base``, which is overwritten. ``watch`` counts for the raw tables' row checks.
     """
-    for name, df in sources.items():
+
+    def export(name: str, df: DataFrame) -> None:
+        last = (lambda out: watch.on(out, f"raw_{name}")) if watch else (lambda out: out)
         if name not in DAY_COLUMNS:
-            export_table(df, f"{base}/{name}")
-            continue
+            export_table(df, f"{base}/{name}", last)
+            return
         ts, day = DAY_COLUMNS[name]
         if name == "order_items":
             dated = with_parent_day(df, sources["orders"], "order_id", ts, day)
         else:
             dated = with_day(df, ts, day)
-        export_by_day(dated, f"{base}/{name}", day)
+        write_days(dated, f"{base}/{name}", day, last)
+
+    with day_files(next(iter(sources.values())).sparkSession):
+        run_together([lambda name=name, df=df: export(name, df) for name, df in sources.items()])
 
 
 def take_snapshots(raw: dict[str, DataFrame], base: str, snapshot_ts: str) -> tuple[DataFrame, DataFrame]:
     """Record the current state of menu and restaurants; returns both histories."""
     staged = Warehouse(raw)
-    menu = record_snapshot(
-        staged.menu_items_snapshot_source, f"{base}/menu_items", "menu_item_id", MENU_CHECK, snapshot_ts
-    )
-    restaurants = record_snapshot(
-        staged.restaurants_snapshot_source,
-        f"{base}/restaurants",
-        "restaurant_id",
-        RESTAURANT_CHECK,
-        snapshot_ts,
+    menu, restaurants = staged.menu_items_snapshot_source, staged.restaurants_snapshot_source
+    return tuple(
+        run_together(
+            [
+                lambda: record_snapshot(menu, f"{base}/menu_items", "menu_item_id", MENU_CHECK, snapshot_ts),
+                lambda: record_snapshot(restaurants, f"{base}/restaurants", "restaurant_id", RESTAURANT_CHECK, snapshot_ts),
+            ]
+        )
     )
-    return menu, restaurants
 
 
-def write_gold(df: DataFrame, base: str, name: str) -> DataFrame:
+def write_gold(df: DataFrame, base: str, name: str, last: Last = lambda df: df) -> DataFrame:
     """Write one gold table and read it back.
 
     Rows of a fact are gathered by day, so that the statistics of a file cover few
@@ -89,46 +92,58 @@ def write_gold(df: DataFrame, base: str, name: str) -> DataFrame:
     """
     if name in FACTS:
         df = df.hint("rebalance", F.col(FACTS[name]))
-    export_table(df, f"{base}/{name}")
+    export_table(df, f"{base}/{name}", last)
     return df.sparkSession.read.parquet(f"{base}/{name}")
 
 
 def run_checks(warehouse: Warehouse) -> DataFrame:
-    """All declared checks and the business rules, one row each."""
+    """All declared checks and the business rules, one row each.
+
+    Row checks of relations that were watched while they were written cost nothing more; those of a
+    raw table and its staged form share a scan.
+    """
     declared = declared_checks()
-    counted = report(declared, relations(warehouse, *declared))
-    status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail"))
-    rules = rule_counts(business_rules(warehouse)).select(
-        F.lit("gold").alias("relation"), F.col("rule").alias("check_name"), "failures", status.alias("status")
-    )
-    return counted.unionByName(rules)
+    warehouse.prepare()
+    counted = warehouse.watch.failures() if warehouse.watch else {}
+    both = raw_with_staged(warehouse, [c for c in declared if c not in counted])
+    found = report(declared, relations(warehouse, *declared), counted, both)
+    rules = rule_counts(business_rules(warehouse)).withColumnsRenamed({"rule": "check_name"})
+    return found.unionByName(with_status(rules.withColumn("relation", F.lit("gold"))))
 
 
 class StoredWarehouse(Warehouse):
     """A warehouse whose shared nodes and gold tables are stored under one folder."""
 
-    def __init__(self, raw: dict[str, DataFrame], base: str, menu_history: DataFrame, restaurant_history: DataFrame):
-        super().__init__(raw, menu_history, restaurant_history, keep=self.store)
+    def __init__(self, raw: dict[str, DataFrame], base: str, menu_history: DataFrame, restaurant_history: DataFrame, watch: Watch | None = None):
+        super().__init__(raw, menu_history, restaurant_history, keep=self.store, watch=watch)
         self.base = base
         self.gold: dict[str, DataFrame] = {}
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write a node once and let all its readers start from the table."""
-        if name in DIMENSIONS or name in FACTS:
-            self.gold[name] = write_gold(df, f"{self.base}/gold", name)
+        gold = name in DIMENSIONS or name in FACTS
+        watched = KEPT_AS.get(name, (name,) if gold else ())
+        last = (lambda out: self.watch.on(out, *watched)) if self.watch else (lambda out: out)
+        if gold:
+            self.gold[name] = write_gold(df, f"{self.base}/gold", name, last)
             return self.gold[name]
         path = f"{self.base}/nodes/{name}"
-        export_table(df, path)
+        export_table(df, path, last)
         return df.sparkSession.read.parquet(path)
 
     def store_gold(self) -> None:
-        """Write every dimension and fact that is not stored yet."""
-        for name in (*DIMENSIONS, *FACTS):
+        """Write every dimension and fact that is not stored yet, several at a time."""
+        self.prepare()
+
+        def store(name: str) -> None:
             found = getattr(self, name)
             if name not in self.gold:
                 # From here on the attribute is the stored table.
                 setattr(self, name, self.store(found, name))
 
+        run_together([lambda name=name: store(name) for name in DIMENSIONS])
+        run_together([lambda name=name: store(name) for name in FACTS])
+
     def register_views(self) -> None:
         """A temporary view for every model: staging, intermediate and gold."""
         for table in STAGED:
@@ -139,9 +154,11 @@ class StoredWarehouse(Warehouse):
             df.createOrReplaceTempView(f"gold_{name}")
 
 
-def build_gold(raw: dict[str, DataFrame], base: str, menu_history: DataFrame, restaurant_history: DataFrame) -> StoredWarehouse:
+def build_gold(
+    raw: dict[str, DataFrame], base: str, menu_history: DataFrame, restaurant_history: DataFrame, watch: Watch | None = None
+) -> StoredWarehouse:
     """The models over stored raw tables and stored histories; neither exports nor takes a snapshot."""
-    warehouse = StoredWarehouse(raw, base, menu_history, restaurant_history)
+    warehouse = StoredWarehouse(raw, base, menu_history, restaurant_history, watch or Watch(declared_checks()))
     warehouse.store_gold()
     warehouse.register_views()
     return warehouse
@@ -158,10 +175,11 @@ def build(
     """
     configure(spark)
     before = written_so_far()
-    export_bronze(sources, f"{base}/bronze")
+    watch = Watch(declared_checks())
+    export_bronze(sources, f"{base}/bronze", watch)
     size_shuffles(spark, input_bytes(spark, f"{base}/bronze"))
     raw = register_raw(spark, f"{base}/bronze", STAGED)
-    warehouse = build_gold(raw, base, *take_snapshots(raw, f"{base}/snapshots", snapshot_ts))
+    warehouse = build_gold(raw, base, *take_snapshots(raw, f"{base}/snapshots", snapshot_ts), watch)
     # Intermediate tables outside ``base`` are of no more use: all gold tables are written.
     discard_written(spark, before)
     return warehouse

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import lookup_join
-from millrace.operators.quality import Check, duplicates, out_of_order, tolerance_mismatch
-from millrace.plans.staging import STAGED, source_of
+from millrace.operators.quality import ROW_KINDS, Check, duplicates, out_of_order, tolerance_mismatch
+from millrace.plans.staging import STAGED, source_of, staged_column
 
 # Domains of the categorical columns.
 LABELS = ("HOME", "WORK", "OTHER")
@@ -283,6 +283,30 @@ def relations(warehouse, *checks: Check) -> dict[str, DataFrame]:
     return found
 
 
+#: Nodes that a warehouse keeps, with the relations that have their rows and columns.
+KEPT_AS = {
+    "items_rollup": ("int_items_rollup",),
+    "status_rollup": ("int_status_rollup",),
+    "refunds_enriched": ("int_refunds_enriched",),
+    "fct_orders": ("fct_orders", "int_orders_enriched"),
+}
+
+
+def raw_with_staged(warehouse, checks: list[Check]) -> list[tuple[DataFrame, dict[str, str]]]:
+    """Raw tables with the staged columns that ``checks`` read beside them: both layers are checked in one scan."""
+    used: dict[str, set[str]] = {}
+    for c in checks:
+        if c.kind in ROW_KINDS:
+            used.setdefault(c.relation, set()).update(c.columns)
+    found = []
+    for table, entries in STAGED.items():
+        raw, wanted = warehouse.raw[table], used.get(f"stg_{table}")
+        if wanted:
+            staged = [staged_column(target, entry, raw) for target, entry in entries.items() if target in wanted]
+            found.append((raw.select("*", F.struct(*staged).alias("__staged")), {f"raw_{table}": "", f"stg_{table}": "__staged"}))
+    return found
+
+
 # Business rules across columns and tables. Each gives its violating rows.
 
 

@@ -356,12 +356,8 @@ def scd2_rerun(spark, sf_dir):
 # Checks
 
 
-def check_query(
-    name: str, oracle: str, build: Callable[[DerivedWarehouse], DataFrame], shared: bool = False
-) -> None:
-    """Register a check; ``shared`` writes the nodes that the check reads several times."""
-    options = {"keep": write_out} if shared else {}
-    register(name, oracle)(lambda spark, sf_dir: build(DerivedWarehouse(spark, sf_dir, **options)))
+def check_query(name: str, oracle: str, build: Callable[[DerivedWarehouse], DataFrame]) -> None:
+    register(name, oracle)(lambda spark, sf_dir: build(DerivedWarehouse(spark, sf_dir)))
 
 
 def one_check(kind: str, relation: str, *columns: str, where: str | None = None) -> Callable:
@@ -483,19 +479,24 @@ check_query(
     TOTALS + " order by order_id limit 50",
     lambda w: quality.sample(checks.total_mismatch(w.fct_orders), ["order_id"]),
 )
+
+
+def _headers(w: DerivedWarehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
+    # The facts hold these columns of refunds and orders as they are staged, one row each.
+    return w.staged("refunds"), w.staged("orders"), w.keys_of("refunds")
+
+
 check_query(
     "dq_cross_table",
     "select refund_id, order_id, refund_ts, order_placed_at from fct_refunds join"
     " (select order_id, order_placed_at from fct_orders) using (order_id) where refund_ts < order_placed_at",
-    lambda w: checks.refund_before_order(w.fct_refunds, w.fct_orders, w.staged("refunds")),
-    shared=True,
+    lambda w: checks.refund_before_order(*_headers(w)),
 )
 check_query(
     "dq_refund_above_total",
     "select refund_id, order_id, refund_amount, total_amount from fct_refunds join"
     " (select order_id, total_amount from fct_orders) using (order_id) where refund_amount > total_amount + 0.01",
-    lambda w: checks.refund_above_total(w.fct_refunds, w.fct_orders, w.staged("refunds")),
-    shared=True,
+    lambda w: checks.refund_above_total(*_headers(w)),
 )
 
 
@@ -569,7 +570,12 @@ check_query(
 
 @register("dq_report", suite_sql(checks.declared_checks(), RULES_SQL))
 def dq_report(spark, sf_dir):
-    return run_checks(DerivedWarehouse(spark, sf_dir, keep=write_out))
+    watch = quality.Watch(checks.declared_checks())
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return write_out(watch.on(df, *checks.KEPT_AS.get(name, ())), name)
+
+    return run_checks(DerivedWarehouse(spark, sf_dir, keep=keep, watch=watch))
 
 
 @register(

@@ -315,8 +315,8 @@ class DerivedWarehouse(Warehouse):
     The histories are written once and read back, as a persisted snapshot table is.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, keep=None):
-        super().__init__(RawTables(spark, sf_dir), keep=keep)
+    def __init__(self, spark: SparkSession, sf_dir: str, keep=None, watch=None):
+        super().__init__(RawTables(spark, sf_dir), keep=keep, watch=watch)
 
     def keys_of(self, table: str) -> DataFrame:
         # The day columns are not needed here, and the lines take theirs from a join.

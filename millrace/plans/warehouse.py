@@ -18,9 +18,11 @@ from millrace.operators.enrich import (
     role_playing,
 )
 from millrace.operators.joins import lookup_join
+from millrace.operators.quality import Watch
 from millrace.operators.rollup import line_rollup, milestone_rollup
 from millrace.operators.scd2 import asof_join, backfill_first, version_dimension
 from millrace.plans.staging import STAGED, stage
+from millrace.session import run_together
 
 # Milestone columns and the status each one records, flags,
 # durations, and the columns whose changes open a new version.
@@ -53,6 +55,15 @@ RESTAURANT_CHECK = (
 MENU_CHECK = ("item_name", "category")
 
 
+# Nodes that readers share, in an order in which each level needs earlier ones only.
+KEPT_TOGETHER = (
+    ("menu_history", "restaurant_history", "items_rollup", "status_rollup", "lines_with_order"),
+    ("dim_menu_items_backfill", "dim_restaurants_backfill"),
+    ("fct_orders",),
+    ("refunds_enriched",),
+)
+
+
 def menu_snapshot_source(menu_items: DataFrame) -> DataFrame:
     return menu_items.select("menu_item_id", "restaurant_id", "item_name", "category")
 
@@ -89,6 +100,7 @@ class Warehouse:
         menu_history: DataFrame | None = None,
         restaurant_history: DataFrame | None = None,
         keep: Callable[[DataFrame, str], DataFrame] | None = None,
+        watch: Watch | None = None,
     ):
         self.raw = raw
         if menu_history is not None:
@@ -96,6 +108,7 @@ class Warehouse:
         if restaurant_history is not None:
             self.restaurant_history = restaurant_history
         self.shared = keep is not None
+        self.watch = watch
         self.keep = keep or (lambda df, name: df)
         self._staged: dict[str, DataFrame] = {}
 
@@ -108,6 +121,12 @@ class Warehouse:
         """A staged table for scans of its keys only, to find hot ones."""
         return self.staged(table)
 
+    def prepare(self) -> None:
+        """Compute the kept nodes, those that do not need each other side by side."""
+        if self.shared:
+            for level in KEPT_TOGETHER:
+                run_together([lambda name=name: getattr(self, name) for name in level])
+
     # Intermediate models
 
     @cached_property
@@ -273,22 +292,18 @@ class Warehouse:
 
     @cached_property
     def fct_refunds(self) -> DataFrame:
-        # The order fact holds the whole order context and the line rollup, so one
-        # lookup brings both and the dimension key.
-        orders = self.fct_orders.select(
-            "order_id",
-            "customer_id",
-            "restaurant_id",
-            "restaurant_sk",
-            "total_amount",
-            "payment_method",
-            "payment_status",
-            "items_subtotal",
-            "items_total_qty",
-            "item_lines",
-            "distinct_menu_items",
-        )
-        joined = lookup_join(self.staged("refunds"), orders, "order_id")
+        refunds = self.staged("refunds")
+        context = ["order_id", "customer_id", "restaurant_id", "total_amount", "payment_method", "payment_status"]
+        if self.shared:
+            # The kept order fact holds the order context, the line rollup and the dimension key.
+            rollup = ["items_subtotal", "items_total_qty", "item_lines", "distinct_menu_items"]
+            joined = lookup_join(refunds, self.fct_orders.select(*context, "restaurant_sk", *rollup), "order_id")
+        else:
+            # Refunds meet their orders first, so only theirs are bound to a version.
+            headers = self.staged("orders").select(*context, "order_placed_at")
+            joined = lookup_join(refunds, [headers, self.items_rollup], "order_id", keys_from=self.keys_of("refunds"))
+            versions = self.dim_restaurants_backfill
+            joined = asof_join(joined, versions, "restaurant_id", "order_placed_at", ["restaurant_sk"], keys_from=self.keys_of("orders"))
         within = F.col("refund_amount") <= F.col("total_amount")
         joined = joined.withColumn("is_refund_not_exceed_total", within)
         return joined.select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +48,23 @@ def setting(spark: SparkSession, key: str, value: str):
         spark.conf.set(key, before)
 
 
+#: Jobs of one application that run side by side.
+TOGETHER = 8
+
+
+def run_together(steps: Iterable[Callable[[], object]]) -> list:
+    """Run independent steps, each with Spark jobs of its own, side by side; results in their order.
+
+    A small job leaves most of a cluster idle, a large one takes what is free: the scheduler hands
+    out the tasks of all. The first failure is raised once the other steps have ended.
+    """
+    steps = list(steps)
+    if not steps:
+        return []
+    with ThreadPoolExecutor(min(TOGETHER, len(steps))) as pool:
+        return [found.result() for found in [pool.submit(step) for step in steps]]
+
+
 # Shuffle partitions are sized for inputs of this many bytes each, up to a number
 # that the driver can still track for every map task. The session setting below raises
 # that number for larger inputs; reaching it is reported.

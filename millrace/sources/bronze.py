@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,13 @@ from millrace.operators.joins import lookup_join
 from millrace.session import EXPORT_FILE_BYTES, setting
 
 
-def export_table(df: DataFrame, path: str) -> None:
+#: What is done to a table as the last step before it is written, e.g. to watch its rows.
+Last = Callable[[DataFrame], DataFrame]
+
+
+def export_table(df: DataFrame, path: str, last: Last = lambda df: df) -> None:
     """Write a whole table as one Parquet dataset."""
-    df.write.mode("overwrite").parquet(path)
+    last(df).write.mode("overwrite").parquet(path)
 
 
 def with_day(df: DataFrame, ts: str, day: str) -> DataFrame:
@@ -30,20 +35,32 @@ def with_parent_day(
     return lookup_join(children, days, key, how="inner")
 
 
-def export_by_day(df: DataFrame, path: str, day: str, file_bytes: int = EXPORT_FILE_BYTES) -> None:
-    """Write a table as one directory per day.
+@contextmanager
+def day_files(spark: SparkSession, file_bytes: int = EXPORT_FILE_BYTES):
+    """Settings under which the rebalance step of day exports makes files of about ``file_bytes``.
 
-    The rebalance step gathers each day into few files and lets AQE split a day
-    that is much larger than the others, so that no single task writes it alone.
-    The cost of a small export is its number of files, not its bytes, so it is
-    kept on all cores; files of a large one hold about ``file_bytes``.
+    The cost of a small export is its number of files, not its bytes, so it is kept on all cores.
     """
-    spark, gathered = df.sparkSession, df.hint("rebalance", F.col(day))
     with (
         setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB"),
         setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)),
     ):
-        gathered.write.mode("overwrite").partitionBy(day).parquet(path)
+        yield
+
+
+def write_days(df: DataFrame, path: str, day: str, last: Last = lambda df: df) -> None:
+    """Write one directory per day, within ``day_files``.
+
+    The rebalance step gathers each day into few files and lets AQE split a day
+    that is much larger than the others, so that no single task writes it alone.
+    """
+    last(df.hint("rebalance", F.col(day))).write.mode("overwrite").partitionBy(day).parquet(path)
+
+
+def export_by_day(df: DataFrame, path: str, day: str, file_bytes: int = EXPORT_FILE_BYTES) -> None:
+    """Write a table as one directory per day."""
+    with day_files(df.sparkSession, file_bytes):
+        write_days(df, path, day)
 
 
 def register_raw(spark: SparkSession, base: str, tables: Iterable[str], prefix: str = "raw_") -> dict[str, DataFrame]:

@@ -1,3 +1,4 @@
+import threading
 from collections import Counter
 
 import pytest
@@ -7,6 +8,7 @@ from conftest import rows
 from millrace.operators import quality
 from millrace.operators.quality import Check
 from millrace.plans import checks
+from millrace.session import run_together, write_out
 
 
 def test_declared_checks_are_complete():
@@ -63,11 +65,67 @@ def test_violations_agree_with_the_report(tables, check, failures):
     assert n == failures
 
 
-def test_report_shuffles_keys_once(tables):
-    plan = quality.report(list(CHECKS), tables)._jdf.queryExecution().executedPlan().toString()
-    # One shuffle of (check, key) pairs, and one of the few counts per check.
-    assert plan.count("hashpartitioning(check") == 2
-    assert "SortMergeJoin" not in plan
+def test_report_shuffles_keys_once_per_type(tables):
+    keyed = [c for c in CHECKS if c.kind not in quality.ROW_KINDS]
+    frames = quality._key_counts(tables, keyed)
+    assert 1 <= len(frames) <= 2
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # One shuffle of (check, key) pairs, and one of the few counts per check.
+        assert plan.count("hashpartitioning(check") == 2
+        assert "SortMergeJoin" not in plan
+
+
+@pytest.fixture
+def scanned(monkeypatch):
+    """The relations whose rows the report counts in scans of their own."""
+    seen = []
+    real = quality._counters
+    monkeypatch.setattr(quality, "_counters", lambda checks, *rest: seen.extend(c.relation for c in checks) or real(checks, *rest))
+    return seen
+
+
+def test_watched_writes_need_no_scan(tables, scanned):
+    watch = quality.Watch(list(CHECKS))
+    for name, df in tables.items():
+        write_out(watch.on(df, name), "watched")
+    counted = watch.failures()
+    assert counted == {c: n for c, n in CHECKS.items() if c.kind in quality.ROW_KINDS}
+    scanned.clear()
+    got = {(r.relation, r.check_name): r.failures for r in quality.report(list(CHECKS), tables, counted).collect()}
+    assert got == {(c.relation, c.name): n for c, n in CHECKS.items()}
+    assert not scanned
+
+
+def test_watch_counts_the_last_write_and_several_relations(spark):
+    checks_ = [Check("not_null", "a", ("id",)), Check("accepted_range", "b", ("id",), (0, 5))]
+    watch = quality.Watch(checks_)
+    for n in (3, 9):
+        df = spark.range(n).selectExpr("nullif(id, 2) as id").hint("rebalance", F.col("id"))
+        write_out(watch.on(df, "a", "b", "unknown"), "watched")
+    assert watch.failures() == {checks_[0]: 1, checks_[1]: 3}
+
+
+def test_relations_in_one_frame_are_checked_in_one_scan(spark, scanned):
+    base = spark.range(10).select(F.when(F.col("id") > 2, F.col("id")).alias("v"))
+    both = base.select("*", F.struct((F.col("v") * 2).alias("v")).alias("s"))
+    checks_ = [Check("not_null", "raw", ("v",)), Check("accepted_range", "staged", ("v",), (0, 10)), Check("unique", "raw", ("v",))]
+    relations = {"raw": base, "staged": both.select("s.v")}
+    got = quality.report(checks_, relations, together=[(both, {"raw": "", "staged": "s"})]).collect()
+    assert [r.failures for r in got] == [3, 4, 0]
+    assert scanned == ["raw", "staged"]
+    with pytest.raises(ValueError, match="own relation"):
+        quality.failing(Check("expression_is_true", "raw", expression="v > 0"), "s")
+
+
+def test_steps_run_together():
+    met = threading.Barrier(3, timeout=20)
+    assert run_together([lambda k=k: (met.wait(), k)[1] for k in range(3)]) == [0, 1, 2]
+    assert run_together([]) == []
+    done = []
+    with pytest.raises(ZeroDivisionError):
+        run_together([lambda: 1 // 0, lambda: done.append(1)])
+    assert done == [1]
 
 
 def frame(spark, data, schema):
