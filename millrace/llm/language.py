@@ -13,13 +13,13 @@ text that it explains better than any learned language gets a score near 0.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -37,7 +37,7 @@ RESCALE = 32
 WINDOW = 4096
 #: Letters of the chunks that are scored or fitted together, about; a longer chunk is fitted by itself.
 TOGETHER = 100_000
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 #: The power that flattens the background: 1 is the mean of the learned languages, 0 makes all pieces alike.
 FLATNESS = 0.3
