@@ -2,8 +2,8 @@
 
 A fingerprint holds, for each of ``PERMUTATIONS`` universal hash functions, one byte of the least
 hash of the text's five-word shingles, in hexadecimal. Likeness is the share of agreeing bytes,
-less what chance gives. ``similar`` finds alike fingerprints by joining bands of them in Spark
-and verifies the Jaccard similarity on full shingle sets.
+less what chance gives. ``similar`` joins bands of the same minima in Spark and verifies the
+Jaccard similarity on full shingle sets, at any percentage.
 
 A document's edited text takes the beginning of the next document by id. Documents are dealt
 into ranges of ids; a range also gets the first document of the next one, so that neighbours
@@ -18,9 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import write_out
 from . import neardup
 from .common import WordHashes, minima, shingles, slices, texts, universal
 
@@ -120,6 +122,44 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return with_following(own).select("range", "tail", "doc_id", "text").mapInArrow(printed, schema)
 
 
-def similar(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, class_id, component_id: bands of signatures joined, Jaccard verified on full sets."""
-    return neardup.groups(docs, percent, id_col, text_col).select("doc_id", "class_id", "component_id")
+def signatures(docs: DataFrame, permutations: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, nameless, n_shingles, set_id, signature): two bytes of each least hash; null for empty sets.
+
+    The lower byte is the one the fingerprint holds.
+    """
+    a, b = universal(permutations, SEED)
+    key = docs.schema[id_col].dataType.simpleString()
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [shingles(t, words) for t in texts(part, "text")]
+                least = (minima(found, a, b) & np.uint32(0xFFFF)).astype(np.uint16).view(np.int16)
+                offsets = pa.array(np.arange(0, least.size + 1, permutations, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("nameless"),
+                        pa.array([len(s) for s in found], pa.int64()),
+                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found], pa.binary()),
+                        pa.ListArray.from_arrays(offsets, pa.array(least.reshape(-1)), mask=pa.array([not len(s) for s in found], pa.bool_())),
+                    ],
+                    ["doc_id", "nameless", "n_shingles", "set_id", "signature"],
+                )
+
+    return neardup.named_texts(docs, id_col, text_col).mapInArrow(signed, f"doc_id {key}, nameless long, n_shingles long, set_id binary, signature array<smallint>")
+
+
+def similar(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", permutations: int = PERMUTATIONS) -> DataFrame:
+    """Per document: doc_id, class_id, component_id, of documents with Jaccard similarity ``percent`` or more.
+
+    The signatures are made by the fingerprints' own hash functions. Bands of them, as many and as long
+    as ``percent`` needs, are joined in Spark; pairs are verified on full shingle sets.
+    A percent that so many permutations cannot find surely is refused. Null ids, empty texts and
+    repeated rows are as in ``neardup.groups``.
+    """
+    neardup.banding(percent, permutations)
+    found = write_out(signatures(docs, permutations, id_col, text_col), "signatures")
+    groups = neardup.groups(docs, percent, id_col, text_col, found=found, minima=permutations)
+    return groups.select("doc_id", "class_id", "component_id")

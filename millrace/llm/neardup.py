@@ -10,7 +10,8 @@ sets. So a large group of copies costs one comparison per member, and no link be
 share a bucket is lost.
 
 With ``BANDS`` bands of ``ROWS`` minima, a pair at similarity 0.75 shares no bucket with
-probability (1 - 0.75 ** ROWS) ** BANDS, about 3e-7; from 0.8 on less than 1e-9.
+probability (1 - 0.75 ** ROWS) ** BANDS, about 3e-7; from 0.8 on less than 1e-9. Other
+similarities get bands of their own (``banding``).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_out
@@ -28,16 +29,34 @@ from .common import WordHashes, minima, shingles, slices, texts, universal
 
 BANDS, ROWS = 40, 4
 SEED = 1
-#: Pairs whose signatures agree in fewer places are not compared further: five deviations below 0.75 of 160.
-LEAST_AGREEING = 0.57
-#: Further minima, a byte of each, for classes that are compared pair by pair, and the share of all
-#: minima in which such a pair must agree: five deviations below 0.75 of 640.
+#: A pair at the least similarity shares no bucket with a probability of at most this.
+MISSED = 4e-7
+#: Pairs whose signatures agree in fewer places are not compared further: so many deviations below the least similarity.
+DEVIATIONS = 5.26
+#: Further minima, a byte of each, for classes that are compared pair by pair.
 SKETCH = 480
-LEAST_IN_SKETCH = 0.664
 #: Members of a bucket that are compared within one task at a time.
 BLOCK = 512
 
 
+def banding(percent: int, minima: int = BANDS * ROWS) -> tuple[int, int]:
+    """(bands, rows) that ``minima`` make: rows as long as a pair at ``percent`` is ``MISSED`` seldom enough.
+
+    75 gives ``BANDS`` and ``ROWS``. Below some similarity no banding of so few minima is safe.
+    """
+    share = percent / 100
+    safe = [r for r in range(1, minima + 1) if (1 - share**r) ** (minima // r) <= MISSED]
+    if not safe or percent > 100:
+        raise ValueError(f"{minima} minima cannot find pairs at {percent} percent")
+    return minima // safe[-1], safe[-1]
+
+
+def least_agreeing(percent: int, places: int) -> float:
+    """The share of places in which the signatures of a pair at ``percent`` agree nearly surely."""
+    share = percent / 100
+    return share - DEVIATIONS * (share * (1 - share) / places) ** 0.5
+
+
 def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, nameless, n_shingles, set_id, signature): the set's digest and its least hashes, null for empty sets.
 
@@ -78,7 +97,9 @@ def buckets(classes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
     """(bucket, band, set_id, members): classes by band, where a band is shared by two or more."""
     hashes = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("signature", i * rows + 1, F.lit(rows))))
     dealt = classes.select("set_id", F.posexplode(hashes).alias("band", "bucket"))
-    return dealt.withColumn("members", F.count("*").over(Window.partitionBy("bucket"))).where("members > 1")
+    # Counted before the shuffle; members then meet only the buckets of several, in a join that can be split.
+    shared = dealt.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    return dealt.join(shared, "bucket")
 
 
 def leader_pairs(shared: DataFrame) -> DataFrame:
@@ -101,12 +122,12 @@ def agreeing(x, y):
     return same / F.size(x)
 
 
-def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def alike(pairs: DataFrame, classes: DataFrame, percent: int = 75, places: int = BANDS * ROWS) -> DataFrame:
     """Signature verification: the (a, b) pairs whose signatures agree often enough."""
     signed = classes.select("set_id", "signature")
     for side in ("a", "b"):
         pairs = pairs.join(signed.toDF(side, f"signature_{side}"), side)
-    return pairs.where(agreeing(F.col("signature_a"), F.col("signature_b")) >= LEAST_AGREEING).select("a", "b")
+    return pairs.where(agreeing(F.col("signature_a"), F.col("signature_b")) >= least_agreeing(percent, places)).select("a", "b")
 
 
 def full_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -254,7 +275,9 @@ def pairs_within(table: pa.Table, group: list[str], percent: int, bands: int, ch
     signature = table.column("signature").combine_chunks().flatten().to_numpy().reshape(rows, -1)
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(rows, -1)
     ids = table.column("set_id").combine_chunks()
-    least = LEAST_IN_SKETCH * (signature.shape[1] + sketch.shape[1])
+    places = signature.shape[1]
+    least_signed = least_agreeing(percent, places) * places
+    least = least_agreeing(percent, places + sketch.shape[1]) * (places + sketch.shape[1])
     longest = int(np.diff(np.append(starts, rows)).max())
     for apart in range(1, longest):
         i = np.flatnonzero(number[:-apart] == number[apart:])
@@ -270,7 +293,7 @@ def pairs_within(table: pa.Table, group: list[str], percent: int, bands: int, ch
             # Earlier bands that agree already have the pair.
             first = same.reshape(len(x), bands, -1).all(axis=2).argmax(axis=1)
             agree = same.sum(axis=1)
-            near = (agree >= LEAST_AGREEING * signature.shape[1]) & (first == column["band"][x])
+            near = (agree >= least_signed) & (first == column["band"][x])
             x, y, agree = x[near], y[near], agree[near]
             near = agree + (sketch[x] == sketch[y]).sum(axis=1) >= least
             x, y = x[near], y[near]
@@ -278,21 +301,25 @@ def pairs_within(table: pa.Table, group: list[str], percent: int, bands: int, ch
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)), ids.take(pa.array(y))], ["a", "b"])
 
 
-def groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def groups(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", found: DataFrame | None = None, minima: int = BANDS * ROWS) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept, class_id.
 
     Null, empty and wordless texts have no shingles and are linked with nothing. Repeated rows and
     documents with equal sets share a class. A null doc_id is never a component's id, unless no
     other document is in it; such a document is kept. Other columns are not looked at, whatever
-    their names. An empty table gives an empty result.
+    their names. An empty table gives an empty result. ``percent`` decides the bands and how many places
+    must agree; one that is too low for the signatures is refused. ``found`` are the rows of ``sets`` of these documents
+    where they exist already, with signatures of ``minima`` places.
     """
-    found = write_out(sets(docs, id_col, text_col, bands, rows), "sets")
+    bands, rows = banding(percent, minima)
+    if found is None:
+        found = write_out(sets(docs, id_col, text_col, bands, rows), "sets")
     classes = found.where("set_id is not null").groupBy("set_id").agg(F.any_value("signature").alias("signature"))
     shared = write_out(buckets(classes, bands, rows), "buckets")
     wanted = shared.select("set_id").distinct()
     classes = write_out(found.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]).select("set_id", "signature"), "classes")
     full = write_out(full_sets(docs, found, wanted, id_col, text_col), "full-sets")
-    links = write_out(linked(alike(leader_pairs(shared), classes), full, percent), "links")
+    links = write_out(linked(alike(leader_pairs(shared), classes, percent, bands * rows), full, percent), "links")
     roots = components(links)
     more = write_out(linked(open_pairs(shared, roots, classes, full, percent, bands), full, percent), "links")
     if not more.isEmpty():

@@ -150,7 +150,26 @@ def test_fingerprints_without_rows_or_with_one_or_repeated(spark):
     assert len(got) == 4 and sorted(r.n_chars for r in got) == [0, 1, 3, 3]
 
 
-def test_similar_fingerprints_are_verified(spark):
-    texts = corpus(5)
-    got = {r.doc_id: r.component_id for r in fingerprints.similar(documents(spark, texts)).collect()}
-    assert got == {d: c for d, (_, c) in near_components(list(enumerate(texts))).items()}
+@pytest.mark.parametrize("percent", [50, 75, 90])
+def test_similar_fingerprints_are_verified(spark, percent):
+    rng = random.Random(percent)
+    texts = corpus(5, 30)
+    for _ in range(40):  # pairs around the percentage
+        own = words(rng, 100, 5000)
+        edits = rng.choice([1, 2, 4, 6, 8])
+        texts += [" ".join(own), " ".join(w if k % (100 // edits) else f"x{k}" for k, w in enumerate(own))]
+    got = {r.doc_id: r.component_id for r in fingerprints.similar(documents(spark, texts), percent).collect()}
+    expected = {d: c for d, (_, c) in near_components(list(enumerate(texts)), percent).items()}
+    assert got == expected
+    assert {r.doc_id: r.component_id for r in neardup.groups(documents(spark, texts), percent).collect()} == expected
+
+
+def test_bands_follow_the_percentage():
+    assert neardup.banding(75) == (neardup.BANDS, neardup.ROWS)
+    for percent in (30, 50, 60, 75, 90, 100):
+        for minima in (128, 160):
+            bands, rows = neardup.banding(percent, minima)
+            assert bands * rows <= minima and (1 - (percent / 100) ** rows) ** bands <= neardup.MISSED
+    with pytest.raises(ValueError, match="cannot find"):
+        neardup.banding(3)
+    assert neardup.least_agreeing(75, 160) < 0.571 < neardup.least_agreeing(80, 160)
