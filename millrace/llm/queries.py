@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import new_path
 from . import context_trees, conversations, fingerprints, language, manifest, mixing, neardup, pieces, quality, sharding, substrings, urls, vectors
 from .common import ship
 
@@ -27,7 +28,7 @@ def op2_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
+    return sharding.shard(read(spark, sf_dir, "documents"), shards=8, store=new_path(spark, "slot-map"))
 
 
 def op4_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,11 +12,14 @@ from __future__ import annotations
 
 import heapq
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Fixed: changing it would move records between slots.
 SLOTS = 4096
+#: Shards whose sizes differ by no more than this share of their mean stay as they are.
+EVEN = 0.0005
 
 
 def slot_of(doc_id: Column, text: Column, slots: int = SLOTS) -> Column:
@@ -105,9 +108,9 @@ def per_slot(spark: SparkSession, values: list[int], name: str) -> DataFrame:
     return spark.range(1).select(F.posexplode(F.split(text, ",")).alias("virtual_slot", name)).withColumn(name, F.col(name).cast("long"))
 
 
-def map_table(spark: SparkSession, versions: list[list[int]]) -> DataFrame:
-    """The versioned map as a table: (version, virtual_slot, shard), versions from 1."""
-    tables = [per_slot(spark, v, "shard").select(F.lit(n).alias("version"), "virtual_slot", F.col("shard").cast("int")) for n, v in enumerate(versions, 1)]
+def map_table(spark: SparkSession, versions: list[list[int]], first: int = 1) -> DataFrame:
+    """The versioned map as a table: (version, virtual_slot, shard)."""
+    tables = [per_slot(spark, v, "shard").select(F.lit(n).alias("version"), "virtual_slot", F.col("shard").cast("int")) for n, v in enumerate(versions, first)]
     table = tables[0]
     for more in tables[1:]:
         table = table.unionAll(more)
@@ -131,26 +134,67 @@ def positions(found: DataFrame, counted: DataFrame, slot_map: DataFrame) -> Data
     )
 
 
+def newest_map(spark: SparkSession, store: str, slots: int = SLOTS) -> tuple[int, list[int]] | None:
+    """(version, shard of each slot) of the last complete version under ``store``; None if there is none.
+
+    A version is a row per slot. One that a lost job left incomplete does not count, and its number is not used again.
+    """
+    try:
+        table = spark.read.schema("version int, virtual_slot int, shard int").parquet(store)
+        counts = {r.version: r["count"] for r in table.groupBy("version").count().collect()}
+    except AnalysisException:  # nothing is stored yet
+        return None
+    done = [v for v, n in counts.items() if n == slots]
+    if not done:
+        return (max(counts, default=0), first_map(1, slots)) if counts else None
+    rows = table.where(F.col("version") == max(done)).collect()  # a row per slot: a fixed number
+    found = [0] * slots
+    for r in rows:
+        found[r.virtual_slot] = r.shard
+    return max(counts), found
+
+
+def next_map(known: list[int] | None, sizes: dict[int, int], shards: int, slots: int = SLOTS) -> list[int]:
+    """The map for these slot sizes: the known one edited, or the first one.
+
+    With one more shard than before, slots move only into it. Otherwise the map is left as it is while its
+    shards are within ``EVEN`` of each other, and rebalanced if not.
+    """
+    if known is None:
+        return rebalance(first_map(shards, slots), sizes, shards)
+    held = max(known) + 1
+    if shards == held + 1:
+        return grow(known, sizes, held)
+    if shards == held:
+        totals = [0] * shards
+        for slot, at in enumerate(known):
+            totals[at] += sizes.get(slot, 0)
+        if max(totals) - min(totals) <= EVEN * sum(totals) / shards:
+            return list(known)
+    return rebalance(known, sizes, shards)
+
+
 def shard(docs: DataFrame, shards: int, store: str | None = None, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All records with size, text_crc32, law, shard, slot (place in the shard) and virtual_slot.
 
     Null texts have size 1 and the checksum of the empty text; null ids are dealt by their text;
     repeated rows share a slot and get places one after the other. Other columns are not looked
-    at. An empty table gives an empty result. With ``store`` the map's versions are written there.
+    at. An empty table gives an empty result. ``store`` is a folder with the versions of the map: the
+    newest one is edited for the records at hand, and what changed becomes the next version.
     """
+    spark = docs.sparkSession
     found = records(docs, slots, id_col, text_col)
     # One row per slot: a fixed number, whatever the data.
     sums = found.transform(slot_sizes).collect()
     sizes = {r.virtual_slot: r.slot_bytes for r in sums}
-    versions = [first_map(shards, slots)]
-    versions.append(rebalance(versions[0], sizes, shards))
-    table = map_table(docs.sparkSession, versions)
-    if store:
-        table.write.parquet(store)
-    current = table.where(F.col("version") == len(versions)).drop("version")
+    last = newest_map(spark, store, slots) if store else None
+    version, known = last or (0, None)
+    current = next_map(known, sizes, shards, slots)
+    if store and current != known:
+        map_table(spark, [current], version + 1).write.mode("append").parquet(store)
     rows = {r.virtual_slot: r.slot_rows for r in sums}
-    counted = per_slot(docs.sparkSession, [rows.get(s, 0) for s in range(slots)], "slot_rows")
-    return positions(found, counted, current).select(
+    counted = per_slot(spark, [rows.get(s, 0) for s in range(slots)], "slot_rows")
+    return positions(found, counted, map_table(spark, [current]).drop("version")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long"),
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
     )
