@@ -165,19 +165,13 @@ def mix(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, mos
 def copies(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mix itself: documents (doc_id, text, source, ...) as often as they are taken, with all their columns.
 
-    The document at the end of a quota is cut after the words taken; its words are then joined by
-    single spaces and ``n_chars`` (where there is one) counts what is left. Documents without
-    words stay as often as their source is taken whole.
+    Documents are taken whole: the one at the end of a source's quota comes once more if at least half
+    of it is within, so a source is off its target by half a document at most. Documents without words
+    stay as often as their source is taken whole. Null ids and sources and repeated rows are
+    documents like others. Columns may have any names. Empty tables stay empty.
     """
-    kept = docs.columns
-    lined = placed(drawn(docs, seed, "doc_id", "text", "source"), weights, share, most)
-    lined = lined.withColumn("__times", (F.col("__passes") + F.when(F.col("__part") > 0, 1).otherwise(0)).cast("int"))
-    out = lined.where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times")))
-    short = (F.col("__copy") > F.col("__passes")) & (F.col("__part") < F.col("__size"))
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    cut = F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("__part").cast("int"), F.lit(1))), " ")
-    out = out.withColumn("__short", short).withColumn("text", F.when(F.col("__short"), cut).otherwise(F.col("text")))
-    if "n_chars" in kept:
-        left = F.when(F.col("__short"), F.char_length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", left.cast(docs.schema["n_chars"].dataType))
-    return out.select(*kept)
+    own = docs.select("doc_id", "text", "source", F.struct("*").alias("row"))
+    lined = placed(drawn(own, seed, "doc_id", "text", "source").drop("doc_id", "text", "source"), weights, share, most)
+    once_more = F.when((F.col("__part") > 0) & (2 * F.col("__part") >= F.col("__size")), 1).otherwise(0)
+    times = (F.col("__passes") + once_more).cast("int")
+    return lined.where(times > 0).select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")

@@ -273,16 +273,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with the repeated words taken out, where there are any.
+    """``docs`` (doc_id, text, ...) with the repeated words taken out, where there are any, and all their columns.
 
     What is left of such a text is joined by single spaces, and ``n_chars`` (where there is one)
-    counts it; texts without a repeat stay as they are.
+    counts it; texts without a repeat stay as they are. Null ids come first; null, empty and wordless texts
+    stay; repeated rows stay, each with the same text. Columns may have any names. Empty tables stay empty.
     """
-    tie = tie_of(docs, "doc_id", "text")
-    changed = judge(docs, tie)[1].where("n_removed > 0").select("doc_id", "tie", "kept").dropDuplicates(["doc_id", "tie"])
-    tied = docs.withColumn("__own", tie)
-    found = tied.join(changed.toDF("__id", "__tie", "__kept"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tie")), "left")
-    new = {"text": F.coalesce("__kept", "text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.char_length("__kept")).cast(docs.schema["n_chars"].dataType)
-    return found.withColumns(new).select(docs.columns)
+    own = docs.select("doc_id", "text", F.struct("*").alias("row")).withColumn("own", tie_of(docs, "doc_id", "text"))
+    changed = judge(own, F.col("own"))[1].where("n_removed > 0").select("doc_id", "tie", "kept").dropDuplicates(["doc_id", "tie"])
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("tie"))
+    found = own.join(changed.toDF("id", "tie", "kept"), same, "left")
+    columns = {f.name: F.col("row").getField(f.name) for f in docs.schema}
+    columns["text"] = F.coalesce(F.col("kept"), columns["text"])
+    if "n_chars" in columns:
+        counted = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("kept").isNull(), columns["n_chars"]).otherwise(counted)
+    return found.select([c.alias(name) for name, c in columns.items()])

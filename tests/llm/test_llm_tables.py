@@ -56,6 +56,49 @@ def test_shards_without_rows_or_ids(spark):
     assert {r.text_crc32 for r in got if r.size == 1} == {0}
 
 
+def law_holds(rows, texts):
+    """Sizes and places as the law ``bytes`` wants them, counted by hand."""
+    load, places = Counter(), defaultdict(list)
+    for r in rows:
+        assert r.size == len((texts[r.doc_id] or "").encode()) + 1
+        load[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    return load
+
+
+def test_three_runs_edit_the_stored_map(spark, tmp_path):
+    store, rng = str(tmp_path / "map"), random.Random(4)
+    texts = ["x" * rng.randrange(1, 400) for _ in range(6000)]
+    versions = lambda: {r.version: r["count"] for r in spark.read.parquet(store).groupBy("version").count().collect()}
+    first = {r.doc_id: r for r in sharding.shard(documents(spark, texts), 8, store).collect()}
+    load = law_holds(first.values(), texts)
+    assert versions() == {1: 4096} and max(load.values()) - min(load.values()) <= 400
+
+    again = sharding.shard(documents(spark, texts), 8, store).collect()
+    assert versions() == {1: 4096} and all(r.shard == first[r.doc_id].shard for r in again)
+
+    # A tenth of the texts grows: few slots move, and sizes are even again.
+    texts = [t + "y" * 300 if k % 10 == 0 and k < 3000 else t for k, t in enumerate(texts)]
+    second = {r.doc_id: r for r in sharding.shard(documents(spark, texts), 8, store).collect()}
+    load = law_holds(second.values(), texts)
+    assert versions() == {1: 4096, 2: 4096} and max(load.values()) - min(load.values()) <= 800
+    moved = {r.virtual_slot for d, r in second.items() if r.shard != first[d].shard}
+    assert 0 < len(moved) < 4096 / 3
+
+    # One more shard: slots go only there.
+    third = sharding.shard(documents(spark, texts), 9, store).collect()
+    assert versions() == {1: 4096, 2: 4096, 3: 4096}
+    assert all(r.shard in (8, second[r.doc_id].shard) for r in third) and any(r.shard == 8 for r in third)
+    load = law_holds(third, texts)
+    assert max(load.values()) / min(load.values()) < 1.1
+
+    # A version that was left incomplete does not count, and its number is not used again.
+    sharding.map_table(spark, [[0] * 100], 4).write.mode("append").parquet(store)
+    version, known = sharding.newest_map(spark, store)
+    assert version == 4 and known == [m for _, m in sorted({r.virtual_slot: r.shard for r in spark.read.parquet(store).where("version = 3").collect()}.items())]
+
+
 def seats_one_by_one(votes, seats):
     held = [0] * len(votes)
     for _ in range(seats):
@@ -106,7 +149,8 @@ def test_mix_comes_near_its_targets(spark):
     got = Counter()
     for r in copies.collect():
         got[r.doc_id] += len((r.text or "").split())
-    assert all(got[r.doc_id] == r.taken for r in rows)
+    # Copies are whole documents: the one at a quota's end comes or goes.
+    assert all(abs(got[r.doc_id] - r.taken) <= r.size / 2 and (not r.size or got[r.doc_id] % r.size == 0) for r in rows)
 
 
 def test_mix_without_rows_words_or_ids(spark):
