@@ -19,34 +19,45 @@ LEAST_CERTAIN = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language that is known from the corpus's own labels; those of others and undetermined ones go."""
+    """Documents of a language that is known from the corpus's own labels; those of others and undetermined ones go.
+
+    Null, empty and letterless texts are undetermined. Null labels teach nothing; without any label all go.
+    Repeated rows stay. Columns may have any names. Empty tables stay empty.
+    """
     ship(spark)
-    said = language.identify(docs, language.train(docs), pred_col="__lang", score_col="__score")
-    return said.where((F.col("__lang") != language.UNDETERMINED) & (F.col("__score") >= LEAST_CERTAIN)).select(docs.columns)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    said = language.identify(docs.toDF(*names), language.train(docs), text_col=names[docs.columns.index("text")])
+    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_CERTAIN)
+    return said.where(known).select(names).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id. Repeated rows are one."""
+    """One document of each group of near-duplicates: the one with the smallest id. Repeated rows are one.
+
+    Null ids come first, equal ids by a hash of their text. Null, empty and wordless texts are in no group,
+    but rows with one id and text are one. Columns may have any names. Empty tables stay empty.
+    """
     ship(spark)
-    own = docs.withColumn("__id", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
-    stays = neardup.groups(own, id_col="__id").where("kept").select(F.col("doc_id").alias("__id"))
-    return own.join(stays, "__id", "left_semi").dropDuplicates(["__id"]).select(docs.columns)
+    key = F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+    stays = neardup.groups(docs.select(key.alias("id"), "text"), id_col="id").where("kept").select(F.col("doc_id").alias("id"))
+    rows = docs.select(key.alias("id"), F.struct("*").alias("row"))
+    return rows.join(stays, "id", "left_semi").dropDuplicates(["id"]).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that an earlier one has."""
+    """All documents, without the passages that an earlier one has: see ``substrings.without_repeats``."""
     ship(spark)
     return substrings.without_repeats(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them: see ``mixing.copies``."""
     ship(spark)
     return mixing.copies(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of every document."""
+    """The tokens of every document: see ``pieces.encode``."""
     ship(spark)
     return pieces.encode(docs)
 

@@ -5,9 +5,10 @@ from collections import Counter
 import corpus_pipeline
 from conftest import DATA
 from llm_cases import corpus, documents, near_components, repeats_removed
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from millrace.llm import pieces
+from millrace.llm import language, mixing, pieces
 from millrace.session import write_out
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -64,6 +65,41 @@ def test_odd_documents_pass_all_stages(spark):
     assert STAGES["encode"](spark, docs, "").where("round_trip is null or not round_trip").count() == 0
 
 
+def test_columns_of_any_name_are_kept(spark):
+    """Every stage returns the columns it was given, also those named like its own."""
+    names = ["__id", "__own", "__kept", "__tie", "__size", "__source", "__draw", "__at", "__copy", "__times", "__range", "__lang", "__score", "lang_pred", "score", "row", "id", "own", "tie", "kept", "a.b"]
+    docs = documents(spark, corpus(8, 25)).drop("score", "tie")
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{k}:"), F.col("doc_id").cast("string")))
+    for stage_name, stage in corpus_pipeline.STAGES[:-1]:
+        out = write_out(stage(spark, docs, ""), "t")
+        assert out.columns == docs.columns, stage_name
+        for r in out.collect():
+            assert [r[n] for n in names] == [f"{k}:{r.doc_id}" for k in range(len(names))], stage_name
+        assert out.count() > 0
+        docs = out
+
+
+def test_the_mix_takes_whole_documents(spark):
+    docs = documents(spark, corpus(9, 80))
+    given = texts(docs)
+    mixed = STAGES["mix_sources"](spark, docs, "").collect()
+    assert all(r.text == given[r.doc_id] for r in mixed)
+    taken = Counter(r.doc_id for r in mixed)
+    plan = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    for d, r in plan.items():
+        assert abs(taken[d] * r.size - r.taken) <= r.size / 2
+
+
+def test_signs_that_are_no_letters_are_undetermined(spark):
+    given = [(r.text, r.lang) for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()]
+    odd = ["½", "² 3", "①②", "Ⅷ", "_ 7"]
+    docs = documents(spark, [*(t for t, _ in given), *odd], langs=[*(x for _, x in given), *[None] * len(odd)])
+    said = {r.doc_id: (r.lang_pred, r.score) for r in language.identify_held_out(docs.drop("score")).collect()}
+    assert [said[len(given) + k] for k in range(len(odd))] == [("und", 0.0)] * len(odd)
+    assert not set(range(len(given), len(given) + len(odd))) & set(texts(STAGES["language_id"](spark, docs, "")))
+
+
 def test_repeated_and_nameless_rows(spark):
     text = " ".join(f"w{k}" for k in range(40))
     docs = documents(spark, [text, text, text, "other text", "other text"], ids=[3, 3, None, None, 9])
