@@ -7,13 +7,16 @@ Five schemas: ``raw`` and ``gold`` are external tables over the stored exports a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, StringType, StructType, TimestampNTZType
 
 from millrace.functions.cleaning import ANY_TIME, EPOCH, PLAIN_TIME, SPACES
 from millrace.plans.build import DIMENSIONS, FACTS, StoredWarehouse
 from millrace.plans.staging import DAY_COLUMNS, STAGED, source_of
-from millrace.sources.catalog import create_schema, create_view, quoted, register_table, relation_names, text
+from millrace.session import write_out
+from millrace.sources.catalog import create_schema, create_view, quoted, register_table, relation_names, store_bucketed, text
 from millrace.sources.history import history_query
 
 SCHEMAS = ("raw", "staging", "snapshots", "intermediate", "gold")
@@ -112,6 +115,28 @@ def intermediate_queries(relation) -> dict[str, str]:
     }
 
 
+# -- nodes by order ------------------------------------------------------------------------------
+
+# Kept nodes at the grain of an order; each is the result of a shuffle by it.
+BY_ORDER = ("items_rollup", "status_rollup")
+
+
+def keep_by_order(spark: SparkSession, schema: str, base: str, buckets: int | None = None) -> Callable[[DataFrame, str], DataFrame]:
+    """``keep`` for a warehouse that stores order nodes as bucketed tables of the catalog and others as plain ones.
+
+    The order fact, and whatever else joins these nodes by order, then shuffles its other side only,
+    in this run and in later ones. There are as many buckets as shuffle partitions.
+    """
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if name in BY_ORDER:
+            return store_bucketed(df, schema, name, f"{base}/{name}", "order_id", count, dealt=True)
+        return write_out(df, name)
+
+    return keep
+
+
 # -- publishing --------------------------------------------------------------------------------
 
 

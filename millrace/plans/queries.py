@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from millrace.functions import cleaning
 from millrace.functions.temporal import minutes_between
 from millrace.operators import quality
-from millrace.operators.joins import lookup_join, orphan_rows
+from millrace.operators.enrich import enrich_orders
+from millrace.operators.joins import orphan_rows
 from millrace.operators.rollup import key_ranges, ordered_children
 from millrace.operators.scd2 import asof_join
 from millrace.plans import checks
 from millrace.plans.build import DIMENSIONS, FACTS, INTERMEDIATE, StoredWarehouse, build, build_gold, export_bronze, run_checks
 from millrace.plans.oracle_relations import sql
-from millrace.plans.published import publish
+from millrace.plans.published import keep_by_order, publish
 from millrace.plans.roles import (
     GIVEN,
     SNAPSHOTS,
@@ -33,7 +34,7 @@ from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
 from millrace.session import configure, input_bytes, is_written, new_path, size_shuffles, write_out
 from millrace.sources import bronze
 from millrace.sources.catalog import relation_counts
-from millrace.sources.history import record_snapshot
+from millrace.sources.history import compact, drop_replaced, read_history, record_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -696,6 +697,28 @@ def catalog_orders_of_a_month(spark, sf_dir):
     )
 
 
+@register("orders_by_bucketed_nodes", "select * from int_orders_enriched")
+def orders_by_bucketed_nodes(spark, sf_dir):
+    # The order rollups are stored once as bucketed tables; the header alone is shuffled to meet them.
+    base = new_path(spark, "by-order")
+    keep = keep_by_order(spark, f"b{zlib.crc32(base.encode()):08x}_intermediate", base)
+    w = DerivedWarehouse(spark, sf_dir, keep=keep)
+    return enrich_orders(w.staged("orders"), w.items_rollup, w.status_rollup, w.delivery_enriched)
+
+
+@register("history_compacted", "select * from snap_restaurants")
+def history_compacted(spark, sf_dir):
+    # Three runs, gathered after the second and after the third, and what they replace deleted.
+    source = DerivedWarehouse(spark, sf_dir).restaurants_snapshot_source
+    base = new_path(spark, "history")
+    for k, (batch, at) in enumerate(zip(restaurant_batches(source), SNAPSHOTS)):
+        record_snapshot(batch, base, "restaurant_id", RESTAURANT_CHECK, at)
+        if k:
+            compact(spark, base)
+            drop_replaced(spark, base)
+    return read_history(spark, base)
+
+
 @register("catalog_snapshot_history", "select * from snap_menu_items")
 def catalog_snapshot_history(spark, sf_dir):
     p, _ = _published(spark, sf_dir)

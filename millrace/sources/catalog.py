@@ -105,20 +105,20 @@ def relation_counts(spark: SparkSession, names: Iterable[tuple[str, str]], cut:
     return out
 
 
-def store_bucketed(df: DataFrame, schema: str, name: str, path: str, key: str, buckets: int) -> DataFrame:
+def store_bucketed(df: DataFrame, schema: str, name: str, path: str, key: str, buckets: int, dealt: bool = False) -> DataFrame:
     """Write ``df`` as an external table dealt into ``buckets`` by ``key``, sorted within each, and return it.
 
     Joins and aggregates by the key then need no exchange on this side, and two such tables with
     equally many buckets none at all. Rows are dealt by the same hash before they are written, so
-    that a bucket is one file.
+    that a bucket is one file; ``dealt`` says that they come from a shuffle by the key already.
     """
-    create_schema(df.sparkSession, schema)
     spark, full = df.sparkSession, quoted(schema, name)
+    create_schema(spark, schema)
     known = described(spark, schema, name)
     if known is not None:
         if known.get("Type") != "EXTERNAL":
             raise ValueError(f"{schema}.{name} is not an external table")
         spark.sql(f"DROP TABLE {full}")
-    dealt = df.repartition(buckets, key)
-    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(full)
+    rows = df if dealt else df.repartition(buckets, key)
+    rows.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(full)
     return spark.table(full)

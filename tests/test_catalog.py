@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA, rows
+from millrace.operators.enrich import enrich_orders
 from millrace.plans import published, queries
 from millrace.plans.build import INTERMEDIATE
 from millrace.plans.queries import CATALOG, _stored
+from millrace.plans.roles import DerivedWarehouse
 from millrace.plans.staging import STAGED, stage
 from millrace.session import discard_written, setting, written_so_far
 from millrace.sources import catalog
@@ -87,6 +89,21 @@ def test_bucketed_tables_join_without_an_exchange(spark, schema, tmp_path):
     assert catalog.store_bucketed(df.limit(7), schema, "a", f"{tmp_path}/a", "k", 3).count() == 7
 
 
+def test_order_fact_joins_bucketed_nodes_without_an_exchange(spark, schema, tmp_path):
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        keep = published.keep_by_order(spark, schema, str(tmp_path), 8)
+        w = DerivedWarehouse(spark, SF, keep=keep)
+        fact = enrich_orders(w.staged("orders"), w.items_rollup, w.status_rollup, w.delivery_enriched)
+        plan = plan_of(fact)
+        # The header and the deliveries are shuffled; the stored rollups are read bucket by bucket.
+        assert plan.count("Bucketed: true") == 2
+        assert plan.count("Exchange hashpartitioning(order_id") == 2
+        assert rows(fact) == rows(DerivedWarehouse(spark, SF).orders_enriched)
+    for name in published.BY_ORDER:
+        buckets = [f.name.split("_")[1].split(".")[0] for f in (tmp_path / name).glob("*.parquet")]
+        assert len(buckets) == len(set(buckets)) <= 8  # one file each
+
+
 def test_every_model_is_published(spark, models):
     warehouse, names = models
     assert names == [(PREFIX + s, n) for s, n in CATALOG]

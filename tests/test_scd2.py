@@ -11,6 +11,7 @@ from conftest import rows
 from millrace.operators import scd2
 from millrace.operators.scd2 import asof_join, backfill_first, first_history, merge_snapshot, version_dimension
 from millrace.session import write_out
+from millrace.sources import history
 from millrace.sources.history import current_versions, read_history, record_snapshot
 
 T = [f"2024-0{m}-01 00:00:00" for m in range(1, 7)]
@@ -251,6 +252,53 @@ def test_binned_lookup_equals_brute_force(spark, kind, broadcast, request):
         assert rows(asof_join(left, right, "id", "ts", ["n"], long_history=longest)) == expected
 
 
+def many_runs(spark, base, runs, **options):
+    """Snapshots of 20 keys, of which a few change each time."""
+    for n in range(runs):
+        data = [(k, f"{k}-{n // 2 if k % 3 else n // (k + 1)}", "x") for k in range(20)]
+        at = (datetime(2024, 1, 1) + timedelta(hours=n)).isoformat(sep=" ")
+        record_snapshot(batch(spark, data), base, "id", ["name"], at, **options)
+
+
+def test_compacted_history_is_the_same_in_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "FAN_IN", 2)
+    plain, small = str(tmp_path / "plain"), str(tmp_path / "small")
+    many_runs(spark, plain, 9)
+    many_runs(spark, small, 9, compact_every=2)
+    expected = rows(read_history(spark, plain))
+    assert rows(read_history(spark, small)) == expected
+    assert rows(current_versions(spark, small)) == rows(current_versions(spark, plain))
+    closed = [len(history._parts(spark, base)[0]) for base in (plain, small)]
+    assert closed[0] >= 4 and closed[1] <= 2
+    assert history.compact(spark, small) <= 2 and history.compact(spark, small) <= 2  # nothing new: nothing done
+    assert rows(read_history(spark, small)) == expected
+    assert history.drop_replaced(spark, small) > 0 and history.drop_replaced(spark, small) == 0
+    assert rows(read_history(spark, small)) == expected
+    many_runs_after = [(k, "new", "x") for k in range(20)]
+    for base in (plain, small):
+        record_snapshot(batch(spark, many_runs_after), base, "id", ["name"], "2024-02-01 00:00:00")
+    assert rows(read_history(spark, small)) == rows(read_history(spark, plain))
+
+
+def test_a_crash_before_the_manifest_loses_nothing(spark, tmp_path):
+    base = str(tmp_path / "history")
+    many_runs(spark, base, 4)
+    before = rows(read_history(spark, base))
+    # The segment is written, its manifest is not, or only without _SUCCESS.
+    batch(spark, FIRST).write.parquet(f"{base}/segment=00000004")
+    assert rows(read_history(spark, base)) == before
+    spark.createDataFrame([(0, 0, "segment=00000004")], history.MANIFEST).write.parquet(f"{base}/manifest=00000004")
+    (tmp_path / "history" / "manifest=00000004" / "_SUCCESS").unlink()
+    assert rows(read_history(spark, base)) == before
+    assert history.compact(spark, base) == 1
+    assert rows(read_history(spark, base)) == before
+    # A failed run after the manifest is ignored as well.
+    batch(spark, FIRST).write.parquet(f"{base}/run=00000005/state=current")
+    assert rows(read_history(spark, base)) == before
+    assert history.drop_replaced(spark, base) > 0
+    assert rows(read_history(spark, base)) == before
+
+
 def test_refused_snapshots_leave_the_history(spark, tmp_path):
     base = str(tmp_path / "history")
     record_snapshot(batch(spark, FIRST), base, "id", ["name"], T[0])
