@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
-from . import context_trees, conversations, fingerprints, language, manifest, mixing, neardup, pieces, quality, sharding, substrings, urls, vectors
+from . import context_trees, conversations, fingerprints, language, manifest, mixing, neardup, oracles, pieces, quality, sharding, substrings, urls, vectors
 from .common import ship
 
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -92,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op12_four_russians": oracles.REPAIR,
+    "op13_butterfly_manifest": oracles.MANIFEST,
     "op6_minhash_bands": r"""
         with recursive words as (
             select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
