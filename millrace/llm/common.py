@@ -25,8 +25,16 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 _shipped: set[str] = set()
 
 
+#: Bytes of an Arrow batch that a worker gets, about; one longer row is a batch of its own.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package, where their PYTHONPATH does not name it: as with --py-files."""
+    """Let Python workers import this package, where their PYTHONPATH does not name it: as with --py-files.
+
+    Workers get rows in batches of bounded bytes, so that 10,000 long texts are never in memory together.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     named = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     app = spark.sparkContext.applicationId
     if app in _shipped or ROOT in map(os.path.abspath, filter(None, named)):
