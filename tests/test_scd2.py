@@ -222,8 +222,10 @@ def brute_force(facts, dim):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-@pytest.mark.parametrize("kind", ["bursts", "hot key", "overlaps", "gaps and empty windows"])
+@pytest.mark.parametrize(
+    "kind, broadcast",
+    [("bursts", True), ("hot key", True), ("overlaps", True), ("gaps and empty windows", True), ("hot key", False), ("overlaps", False)],
+)
 def test_binned_lookup_equals_brute_force(spark, kind, broadcast, request):
     if not broadcast:
         request.getfixturevalue("no_broadcast")
