@@ -118,6 +118,21 @@ def raw_partitioned_scan(spark, sf_dir):
     )
 
 
+@register(
+    "bronze_changed_days",
+    "select * replace (total_amount::decimal(12,2) as total_amount) from raw_orders",
+)
+def bronze_changed_days(spark, sf_dir):
+    # An earlier state, without some orders of one year, is brought up to date: their days alone are written again.
+    ts, day = DAY_COLUMNS["orders"]
+    orders = bronze.with_day(source_table(spark, sf_dir, "orders"), ts, day)
+    path = f"{new_path(spark, 'bronze')}/orders"
+    late = (F.year(day) == 1996) & (F.col("order_id") % 7 == 0)
+    bronze.export_changed_days(orders.where(~late), path, day)
+    bronze.export_changed_days(orders, path, day)
+    return spark.read.parquet(path).withColumn("total_amount", cleaning.money("total_amount"))
+
+
 @register("bronze_child_export", "select * replace (unit_price::decimal(10,2) as unit_price) from raw_order_items")
 def bronze_child_export(spark, sf_dir):
     ts, day = DAY_COLUMNS["order_items"]

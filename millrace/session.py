@@ -138,9 +138,13 @@ def is_written(path: str) -> bool:
 def discard_written(spark: SparkSession, since: int = 0) -> None:
     """Delete the tables this application wrote to the shared folder, from a mark on, once results are saved."""
     while len(_written) > since:
-        where = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-        fs.delete(where, True)
+        delete(spark, _written.pop())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def write_out(df: DataFrame, label: str) -> DataFrame:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import utc_day
 from millrace.operators.joins import lookup_join
-from millrace.session import EXPORT_FILE_BYTES, setting
+from millrace.session import EXPORT_FILE_BYTES, delete, setting
 
 
 #: What is done to a table as the last step before it is written, e.g. to watch its rows.
@@ -63,6 +66,65 @@ def export_by_day(df: DataFrame, path: str, day: str, file_bytes: int = EXPORT_F
         write_days(df, path, day)
 
 
+def day_digests(df: DataFrame, day: str) -> DataFrame:
+    """(day, n_rows, low, high): what tells a day's rows from others, whatever their order; equal rows count each."""
+    columns = sorted(c for c in df.columns if c != day)
+    one, two = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    halves = [F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))) for h in (one, F.shiftrightunsigned(one, 32), two)]
+    return df.groupBy(F.col(day).alias("day")).agg(
+        F.count("*").alias("n_rows"), halves[0].alias("low"), halves[1].alias("high"), halves[2].alias("other")
+    )
+
+
+#: Where an export by day keeps what it wrote; readers of the dataset do not see it.
+DAYS = "_days"
+
+
+def written_days(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
+    """(run, digests) of the last export to ``path`` that ended; 0 and None before the first."""
+    try:
+        runs = spark.read.option("basePath", f"{path}/{DAYS}").parquet(f"{path}/{DAYS}")
+    except AnalysisException:  # nothing is there yet
+        return 0, None
+    last = runs.agg(F.max("run")).first()[0]
+    return (last, runs.where(F.col("run") == last).drop("run")) if last else (0, None)
+
+
+def export_changed_days(df: DataFrame, path: str, day: str, file_bytes: int = EXPORT_FILE_BYTES) -> list:
+    """Bring the dataset at ``path`` up to date: days whose rows changed are written, vanished ones deleted, others not touched.
+
+    Returns the days that were written. Days are compared by number and checksums of their rows with those of
+    the last export. The digests are written after the data: where a run ends in between, the
+    next one writes the same days again. Rows without a day are a day of their own.
+    """
+    spark = df.sparkSession
+    run, before = written_days(spark, path)
+    now = day_digests(df, day)
+    if before is None:
+        export_by_day(df, path, day, file_bytes)
+        changed, gone = [r["day"] for r in now.select("day").collect()], []
+    else:
+        same = F.col("n.day").eqNullSafe(F.col("b.day"))
+        values = [c for c in now.columns if c != "day"]
+        equal = reduce(and_, [F.col(f"n.{c}") == F.col(f"b.{c}") for c in values])
+        both = now.alias("n").join(before.alias("b"), same, "full")
+        state = F.when(F.col("n.n_rows").isNull(), "gone").when(F.coalesce(equal, F.lit(False)), "same").otherwise("changed")
+        # One row per day comes to the driver.
+        found = both.select(F.coalesce("n.day", "b.day").alias("day"), state.alias("state")).where("state != 'same'").collect()
+        changed, gone = ([r["day"] for r in found if r["state"] == s] for s in ("changed", "gone"))
+        if changed:
+            days = F.broadcast(spark.createDataFrame([(d,) for d in changed], "__day date"))
+            rows = df.join(days, F.col(day).eqNullSafe(F.col("__day")), "left_semi")
+            with day_files(spark, file_bytes):
+                gathered = rows.hint("rebalance", F.col(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                gathered.partitionBy(day).parquet(path)
+        for d in gone:
+            delete(spark, f"{path}/{day}={'__HIVE_DEFAULT_PARTITION__' if d is None else d}")
+    if before is None or changed or gone:
+        now.coalesce(1).write.parquet(f"{path}/{DAYS}/run={run + 1}")
+    return sorted(changed, key=str)
+
+
 def register_raw(spark: SparkSession, base: str, tables: Iterable[str], prefix: str = "raw_") -> dict[str, DataFrame]:
     """Read exported tables and (re)create one temporary view for each.
 

@@ -31,6 +31,51 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/hot").count() == 200_000
 
 
+def day_files_of(path):
+    return {p.parent.name: p.name for p in path.glob("d=*/*.parquet")}
+
+
+def test_only_changed_days_are_written_again(spark, tmp_path):
+    path = tmp_path / "events"
+    data = [(i, f"v{i % 3}", date(2024, 1, 1 + i % 4)) for i in range(40)] + [(99, None, None)] * 2
+    frame = lambda data: spark.createDataFrame(data, "id long, v string, d date")
+    back = lambda: sorted(map(repr, map(tuple, spark.read.parquet(str(path)).select("id", "v", "d").collect())))
+    assert len(bronze.export_changed_days(frame(data), str(path), "d")) == 5
+    assert back() == sorted(map(repr, data))
+    first = day_files_of(path)
+    assert bronze.export_changed_days(frame(data[::-1]).repartition(3), str(path), "d") == []
+    assert day_files_of(path) == first
+
+    late = [*data, (100, "late", date(2024, 1, 2))]
+    assert bronze.export_changed_days(frame(late), str(path), "d") == [date(2024, 1, 2)]
+    second = day_files_of(path)
+    assert {k for k in second if second[k] != first[k]} == {"d=2024-01-02"}
+    assert back() == sorted(map(repr, late))
+
+    # A changed cell, a row that goes and comes twice elsewhere, a new day, and days that vanish.
+    left = [(i, "new" if i == 2 else v, d) for i, v, d in late if d and d != date(2024, 1, 4)]
+    left = [r for r in left if r[0] != 8] + [left[1], (7, "x", date(2024, 2, 1))]
+    written = bronze.export_changed_days(frame(left), str(path), "d")
+    assert written == [date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3), date(2024, 2, 1)]
+    assert back() == sorted(map(repr, left))
+    assert not (path / "d=2024-01-04").exists()
+
+
+def test_an_export_that_ended_before_its_digests_is_made_good(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "events"), "id long, d date"
+    one = spark.createDataFrame([(i, date(2024, 1, 1 + i % 3)) for i in range(9)], schema)
+    bronze.export_changed_days(one, path, "d")
+    two = one.unionAll(spark.createDataFrame([(100, date(2024, 1, 1))], schema))
+    with monkeypatch.context() as m:
+        m.setattr(bronze, "day_digests", lambda df, day: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            bronze.export_changed_days(two, path, "d")
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):  # the data alone arrived
+        two.where("d = '2024-01-01'").write.mode("overwrite").partitionBy("d").parquet(path)
+    assert bronze.export_changed_days(two, path, "d") == [date(2024, 1, 1)]
+    assert rows(spark.read.parquet(path)) == rows(two)
+
+
 def test_children_take_the_day_of_their_parent(spark):
     parents = spark.createDataFrame([(1, datetime(2024, 1, 1, 23)), (2, datetime(2024, 1, 2))], "k long, ts timestamp_ntz")
     children = spark.createDataFrame([(10, 1), (11, 1), (12, 2), (13, 3), (14, None)], "id long, k long")
