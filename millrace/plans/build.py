@@ -10,7 +10,7 @@ from millrace.plans.checks import KEPT_AS, business_rules, declared_checks, raw_
 from millrace.plans.staging import DAY_COLUMNS, STAGED
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
 from millrace.session import configure, discard_written, input_bytes, run_together, size_shuffles, written_so_far
-from millrace.sources.bronze import Last, day_files, export_table, register_raw, with_day, with_parent_day, write_days
+from millrace.sources.bronze import Last, day_files, export_table, register_raw, stored_days, with_day, with_parent_day, write_days
 from millrace.sources.history import record_snapshot
 
 DIMENSIONS = (
@@ -119,6 +119,13 @@ class StoredWarehouse(Warehouse):
         self.base = base
         self.gold: dict[str, DataFrame] = {}
 
+    def days_of(self, table: str, day: str) -> DataFrame:
+        # The raw day column names the directories, and staging takes it as it is.
+        raw = DAY_COLUMNS[table][1]
+        if not any(f"/{raw}=" in f for f in self.raw[table].inputFiles()):
+            return super().days_of(table, day)
+        return stored_days(self.raw[table], raw).withColumnRenamed(raw, day)
+
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write a node once and let all its readers start from the table."""
         gold = name in DIMENSIONS or name in FACTS

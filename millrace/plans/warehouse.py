@@ -218,14 +218,17 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return date_dimension(
-            [
-                (self.staged("orders"), "order_date_utc"),
-                (self.staged("order_status_events"), "event_date_utc"),
-                (self.staged("refunds"), "refund_date_utc"),
-                (self.staged("fx_rates"), "rate_date_utc"),
-            ]
-        )
+        tables = {
+            "orders": "order_date_utc",
+            "order_status_events": "event_date_utc",
+            "refunds": "refund_date_utc",
+            "fx_rates": "rate_date_utc",
+        }
+        return date_dimension([(self.days_of(table, day), day) for table, day in tables.items()])
+
+    def days_of(self, table: str, day: str) -> DataFrame:
+        """A relation with the staged days of a table."""
+        return self.staged(table)
 
     @cached_property
     def dim_restaurants(self) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
+from datetime import date
 from functools import reduce
 from operator import and_
 
@@ -139,6 +140,16 @@ def register_raw(spark: SparkSession, base: str, tables: Iterable[str], prefix:
     return found
 
 
+def stored_days(df: DataFrame, day: str) -> DataFrame:
+    """(day,) of the day directories that ``df``, a plain read of a dataset, consists of; no row is read.
+
+    Exports write no directory without rows, so these are the days of the rows. The driver lists the files.
+    """
+    found = {part.split("=", 1)[1] for f in df.inputFiles() for part in f.split("/") if part.startswith(f"{day}=")}
+    days = [(None if d == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(d),) for d in sorted(found)]
+    return df.sparkSession.createDataFrame(days, f"`{day}` date")
+
+
 def view_counts(spark: SparkSession, tables: Iterable[str], prefix: str = "raw_") -> DataFrame:
     """Row count of every registered view."""
     out = None

@@ -61,6 +61,15 @@ def test_only_changed_days_are_written_again(spark, tmp_path):
     assert not (path / "d=2024-01-04").exists()
 
 
+def test_days_come_from_the_directories(spark, tmp_path):
+    path = f"{tmp_path}/events"
+    df = spark.createDataFrame([(1, date(2024, 1, 2)), (2, None), (3, date(2023, 12, 31)), (4, date(2024, 1, 2))], "id long, d date")
+    bronze.export_by_day(df, path, "d")
+    days = bronze.stored_days(spark.read.parquet(path), "d")
+    assert rows(days) == rows(df.select("d").distinct())
+    assert "FileScan" not in days._jdf.queryExecution().executedPlan().toString()
+
+
 def test_an_export_that_ended_before_its_digests_is_made_good(spark, tmp_path, monkeypatch):
     path, schema = str(tmp_path / "events"), "id long, d date"
     one = spark.createDataFrame([(i, date(2024, 1, 1 + i % 3)) for i in range(9)], schema)
