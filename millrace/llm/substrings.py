@@ -249,13 +249,17 @@ def removed(docs: DataFrame, key: str) -> DataFrame:
 
 
 def judge(docs: DataFrame, tie: Column, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Settled documents, and those with shared anchors as ``removed`` gives them."""
+    """Settled documents, and those with shared anchors as ``removed`` gives them.
+
+    Positions and starts are written by themselves: the shuffles of anchors and windows, the largest of all,
+    are gone before texts are shuffled.
+    """
     key = docs.schema[id_col].dataType.simpleString()
     own = keyed(docs, id_col, text_col, tie)
-    shared = shared_positions(anchors(own, key))
+    shared = write_out(shared_positions(anchors(own, key)), "shared-anchors")
     looked = write_out(settle(beside(own, shared, "positions"), key), "anchored")
     still_open = looked.where("positions is not null")
-    starts = later_starts(windows(still_open.select("doc_id", "tie", "text", "positions"), key))
+    starts = write_out(later_starts(windows(still_open.select("doc_id", "tie", "text", "positions"), key)), "later-windows")
     return looked.where("positions is null"), removed(beside(still_open.select("doc_id", "tie", "text"), starts, "starts"), key)
 
 

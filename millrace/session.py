@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import warnings
 from collections.abc import Callable, Iterable
@@ -147,12 +148,38 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning: dict = {"lock": threading.Lock(), "writers": 0, "before": None}
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Let Spark delete the shuffle files of a write as soon as it ends, not when the driver collects garbage.
+
+    Writes may overlap in several threads: the first one in sets it, the last one out sets it back.
+    """
+    with _cleaning["lock"]:
+        if not _cleaning["writers"]:
+            _cleaning["before"] = spark.conf.get(CLEANUP_SETTING, "false")
+            spark.conf.set(CLEANUP_SETTING, "true")
+        _cleaning["writers"] += 1
+    try:
+        yield
+    finally:
+        with _cleaning["lock"]:
+            _cleaning["writers"] -= 1
+            if not _cleaning["writers"]:
+                spark.conf.set(CLEANUP_SETTING, _cleaning["before"])
+
+
 def write_out(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Used for nodes with several readers: it cuts lineage, and a lost executor
-    costs a re-read of the files instead of a recomputation.
+    costs a re-read of the files instead of a recomputation. The shuffles behind the table
+    are of no more use and take no disk beside it.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

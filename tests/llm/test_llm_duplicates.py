@@ -117,6 +117,15 @@ def test_repeats_without_rows_ids_or_unique_rows(spark):
     assert [r.n_removed for r in got] == [0, 0]
 
 
+def test_anchors_and_windows_are_settled_before_texts_are_joined(spark):
+    passage = " ".join(words(random.Random(4), 30))
+    docs = documents(spark, [passage, f"x {passage}", "y"])
+    changed = substrings.judge(docs, substrings.tie_of(docs, "doc_id", "text"))[1]
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.n_removed) for r in changed.collect()) == [(0, 0), (1, 30)]
+
+
 def test_texts_without_repeats_stay_as_they_are(spark):
     passage = " ".join(words(random.Random(3), 25))
     texts = ["a\n\n b", passage, f"x {passage}  y", None]
