@@ -24,15 +24,20 @@ def line_rollup(
 ) -> DataFrame:
     """Amount, quantity, line count and distinct items per parent.
 
-    Lines are normally gathered by parent in one shuffle, which also serves the
-    distinct count and later joins on the parent. If some parent holds a large
-    part of the lines, Spark's two-step distinct plan is kept instead: it reduces
-    to (parent, item) first and so spreads that parent over its items.
+    Lines are normally gathered and sorted by parent in one shuffle, which also serves the
+    distinct count and later joins on the parent: items are counted where they differ from the
+    line before, so that a task holds a sorted partition, which may spill, and no table of all (parent, item). If
+    some parent holds a large part of the lines, Spark's two-step distinct plan is kept instead: it
+    reduces to (parent, item) first and so spreads that parent over its items.
     ``keys_from`` is a relation with the parents of ``lines`` that is cheaper to scan.
     """
     parents = (lines if keys_from is None else keys_from).select(parent)
+    items = F.count_distinct(item)
     if fits_broadcast(parents) or not hot_hashes(parents, [parent]):
-        lines = lines.repartition(parent)
+        before = F.lag(item).over(Window.partitionBy(parent).orderBy(F.asc_nulls_first(item)))
+        first = F.col(item).isNotNull() & ~F.col(item).eqNullSafe(before)
+        lines = lines.repartition(parent).withColumn("__first", first)
+        items = F.count_if("__first")
     kind = lines.schema[amount].dataType
     if isinstance(kind, DecimalType) and kind.scale == 2 and kind.precision <= 12:
         subtotal = from_cents(F.sum(cents(amount)))
@@ -42,7 +47,7 @@ def line_rollup(
         subtotal.alias("items_subtotal"),
         F.sum(quantity).cast("bigint").alias("items_total_qty"),
         F.count("*").alias("item_lines"),
-        F.count_distinct(item).alias("distinct_menu_items"),
+        items.alias("distinct_menu_items"),
     )
 
 

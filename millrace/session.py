@@ -16,11 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 # ANSI: strict casts must raise on bad values.
 # Skew join is forced so that AQE may add a shuffle rather than leave one task
 # with a hot partition.
+# Shuffled rows take some fifteen times their compressed bytes where a task sorts or
+# aggregates them, so AQE merges partitions to half of Spark's size only.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32MB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
@@ -69,7 +72,7 @@ def run_together(steps: Iterable[Callable[[], object]]) -> list:
 # Shuffle partitions are sized for inputs of this many bytes each, up to a number
 # that the driver can still track for every map task. The session setting below raises
 # that number for larger inputs; reaching it is reported.
-PARTITION_BYTES = 256 * 1024 * 1024
+PARTITION_BYTES = 64 * 1024 * 1024
 MAX_PARTITIONS = 50_000
 MAX_PARTITIONS_SETTING = "spark.millrace.maxShufflePartitions"
 # What a file of an export should hold.

@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -62,6 +63,17 @@ def test_line_rollup(spark):
     assert (out[2].item_lines, out[2].distinct_menu_items) == (2, 1)
 
 
+def test_items_of_even_parents_are_counted_without_a_table_of_them(spark):
+    data = [(None, 5, 1, "1.00"), (None, 5, 1, "1.00"), (None, 6, 1, "1.00"), (3, None, 1, "1.00"), (4, 0, 1, "1.00"), (4, None, 1, "1.00"), (4, 0, 2, "1.00")]
+    even = [(k, k, 1, "1.00") for k in range(10, 2000)]
+    out = line_rollup(lines(spark, LINES + data + even), "order_id", "item", "qty", "amount")
+    # The aggregates have the parent as their only key: no task holds all pairs of parent and item.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert {k for k in re.findall(r"HashAggregate\(keys=\[([^]]*)\]", plan) if "item" in k} == set()
+    found = {r.order_id: (r.item_lines, r.distinct_menu_items) for r in out.where("order_id is null or order_id < 10").collect()}
+    assert found == {1: (3, 2), 2: (2, 1), None: (3, 2), 3: (1, 0), 4: (3, 1)}
+
+
 def test_line_rollup_of_wide_amounts(spark):
     wide = lines(spark).withColumn("amount", F.col("amount").cast("decimal(20,4)"))
     narrow = line_rollup(lines(spark), "order_id", "item", "qty", "amount")

@@ -1,7 +1,7 @@
 import os
 from concurrent.futures import ThreadPoolExecutor
 
-from millrace.session import CLEANUP_SETTING, write_out
+from millrace.session import CLEANUP_SETTING, size_shuffles, setting, write_out
 
 
 def shuffle_files(spark):
@@ -22,3 +22,10 @@ def test_writes_side_by_side_set_the_session_back(spark):
         kept = list(pool.map(lambda n: write_out(spark.range(n).repartition(2, "id"), "kept"), range(100, 108)))
     assert [df.count() for df in kept] == list(range(100, 108))
     assert spark.conf.get(CLEANUP_SETTING) == "false"
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    with setting(spark, "spark.sql.shuffle.partitions", "8"):
+        assert size_shuffles(spark, 100 << 20) == 8
+        assert size_shuffles(spark, 6 << 30) == 96
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32MB"
