@@ -113,6 +113,9 @@ def backfill_first(versions: DataFrame, key: str) -> DataFrame:
     return marked.withColumn("valid_from", start).drop("__k", "__first")
 
 
+#: Finer bins that a coarse bin holds, at the least: each level of bins is one more shuffle of the rows looked up.
+FAN_OUT = 64
+
 #: Later than any time a version ends at.
 LAST_INSTANT = "9999-12-31 23:59:59"
 
@@ -176,9 +179,11 @@ def history_bins(versions: DataFrame, counts: DataFrame, key: str, size: int) ->
 def in_bin(df: DataFrame, bins: DataFrame, key: str, at: Column, name: str, size: int) -> DataFrame:
     """``df`` with the bin that ``at`` falls into; 0 for a key without bins and before its first one.
 
-    Bins are found from coarse to fine, as in a search tree: a coarse bin holds ``size`` finer ones,
-    so each step is a join by key and coarse bin with a few candidates per row.
+    Bins are found from coarse to fine, as in a search tree: a coarse bin holds ``size`` finer ones, or ``FAN_OUT``
+    if that is more, so each step is a join by key and coarse bin with a few candidates per row, and most
+    histories need one step.
     """
+    size = max(size, FAN_OUT)
     most = bins.agg(F.max("__number")).first()[0] or 0
     widths = [1]
     while most // widths[-1] >= size:

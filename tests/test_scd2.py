@@ -312,3 +312,15 @@ def test_refused_snapshots_leave_the_history(spark, tmp_path):
         with pytest.raises(ValueError, match=said):
             record_snapshot(batch(spark, data), base, "id", ["name"], ts)
     assert rows(read_history(spark, base)) == before
+
+
+def test_most_histories_need_one_step_to_find_a_bin(no_broadcast, monkeypatch):
+    spark = no_broadcast
+    bins = spark.createDataFrame([(k, n, datetime(2024, 1, 1, 1, n % 60)) for k in range(300) for n in range(40)], "id long, __number long, __start timestamp_ntz")
+    facts = spark.createDataFrame([(k, datetime(2024, 1, 1, 1, k % 60)) for k in range(300)], "id long, ts timestamp_ntz")
+    expected = [(k, datetime(2024, 1, 1, 1, k % 60), min(k % 60, 39)) for k in range(300)]
+    out = scd2.in_bin(facts, bins, "id", F.col("ts"), "bin", 4)
+    assert out._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1
+    assert rows(out) == sorted(expected, key=repr)
+    monkeypatch.setattr(scd2, "FAN_OUT", 2)
+    assert rows(scd2.in_bin(facts, bins, "id", F.col("ts"), "bin", 4)) == sorted(expected, key=repr)
