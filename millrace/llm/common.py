@@ -6,7 +6,7 @@ import os
 import shutil
 import sys
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+_kept: list = []
+
+
+def kept(make: Callable, source: object) -> object:
+    """The worker process's ``make(source)``: what it remembers serves the next task too.
+
+    There is one of them at a time. Spark reuses a worker from job to job, where those of earlier
+    operators would stay in memory beside it.
+    """
+    if not _kept or _kept[0] is not make or _kept[1] is not source:
+        _kept.clear()
+        _kept[:] = [make, source, make(source)]
+    return _kept[2]
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``limit`` text bytes, so that work memory stays bounded.
 

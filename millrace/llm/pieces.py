@@ -10,6 +10,7 @@ pass over the edges finds the very pieces that merging pair by pair would give.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -17,17 +18,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from .common import slices
+from .common import MULTIPLIER, kept, slices
 from .lattice import SPACE, Edges, Vocabulary, ragged
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+class Numbers(dict):
+    """Numbers the keys that are asked for, from 0 in the order of asking."""
+
+    def __missing__(self, key: str) -> int:
+        found = self[key] = len(self)
+        return found
+
+
 class Encoder:
     """Encodes batches of texts; chunks seen before are looked up, up to a bound."""
 
     BOUND = 200_000
     PAIRS = 600_000
+    SLOT_BITS = 19
+    #: Letters of new chunks whose edges are in memory together, but for one longer chunk.
+    LETTERS = 1 << 17
+    #: Chunks of more letters, and the last few of a batch, are walked one by one.
+    LONG = 64
+    FEW = 32
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
@@ -38,6 +53,7 @@ class Encoder:
         self.tied = {r for r, _ in self.rank.values() if r in seen or seen.add(r)}
         self.symbols: dict[int, tuple[list, list] | None] = {}
         self.fits: dict[int, bool] = {}
+        self.lately = np.full(1 << self.SLOT_BITS, -4, np.int64)  # 2 * pair + whether it goes
         self.clear()
         self.bytes = [p.encode("utf-8", "surrogatepass") if p else b"" for p in self.text]
         for b, i in enumerate(vocabulary.byte_ids):
@@ -45,7 +61,7 @@ class Encoder:
         self.bytes[vocabulary.unknown] = " ⁇ ".encode()
 
     def clear(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code = Numbers()
         self.ids = np.empty(0, np.int32)
         self.sizes = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
@@ -114,27 +130,80 @@ class Encoder:
                 return True
             i, j = (i + 1, j) if ahead <= beyond else (i, j + 1)
 
-    def relax(self, edges: Edges) -> tuple[np.ndarray, np.ndarray]:
-        """Per chunk the ids on its path, and their number.
+    def good(self, pairs: np.ndarray) -> np.ndarray:
+        """``goes`` for many pairs, each (left + 2) * size + right: a table holds what was asked lately."""
+        slots = (pairs.view(np.uint64) * MULTIPLIER) >> np.uint64(64 - self.SLOT_BITS)
+        known = self.lately[slots]
+        missing = np.flatnonzero((known >> 1) != pairs)
+        if len(missing):
+            asked, at = np.unique(pairs[missing], return_inverse=True)
+            fits, size = self.fits, self.size
+            found = []
+            for pair in asked.tolist():
+                good = fits.get(pair)
+                if good is None:
+                    left, right = divmod(pair + 1, size)  # right is -1 or a piece
+                    good = fits[pair] = self.goes(left - 2, right - 1)
+                found.append(2 * pair + good)
+            known[missing] = self.lately[slots[missing]] = np.array(found, np.int64)[at]
+        return (known & 1).astype(bool)
+
+    def walk(self, edges: Edges, begin: np.ndarray, chunks: np.ndarray, path: np.ndarray, steps: np.ndarray) -> None:
+        """Find the path of each chunk: its edges go to ``path``, from the chunk's first position on, their number to ``steps``.
 
         From each position the longest edge that goes with the piece before is followed; a position
         from which no edge goes on is left for good, since what leads to it is the only way there.
+        All chunks take one step at a time.
         """
-        if len(self.fits) > self.PAIRS:
-            self.fits.clear()
-        n = len(edges.text)
-        begin = memoryview(np.searchsorted(edges.start, np.arange(n + 2)))
-        ends, pieces = memoryview(edges.end), memoryview(edges.piece)
+        stop = edges.first[chunks] + edges.sizes[chunks]
+        first = edges.first[chunks]
+        at = first.copy()
+        last = np.full(len(chunks), -1)
+        k, depth = begin[at], np.zeros(len(chunks), np.int64)
+        dead = np.zeros(len(edges.text) + 1, bool)
+        while len(chunks):
+            if len(chunks) < self.FEW:
+                self.walk_each(edges, begin, chunks, path, steps)
+                return
+            back = np.flatnonzero(k >= begin[at + 1])
+            if len(back):
+                dead[at[back]] = True
+                depth[back] -= 1
+                top = first[back] + depth[back]
+                taken = path[top]
+                at[back], k[back] = edges.start[taken], taken + 1
+                before = edges.piece[path[np.maximum(top - 1, 0)]]
+                last[back] = np.where(depth[back] > 0, np.where(before < 0, -2, before), -1)
+            on = np.flatnonzero(k < begin[at + 1])
+            edge = k[on]
+            end, piece = edges.end[edge], edges.piece[edge]
+            good = ~dead[end]
+            tried = np.flatnonzero(good)
+            good[tried] = self.good((last[on[tried]] + 2) * self.size + piece[tried])
+            k[on] += 1
+            taken, end, piece = edge[good], end[good], piece[good]
+            on = on[good]
+            path[first[on] + depth[on]] = taken
+            depth[on] += 1
+            at[on], k[on], last[on] = end, begin[end], np.where(piece < 0, -2, piece)
+            ended = at == stop
+            if ended.any():
+                steps[chunks[ended]] = depth[ended]
+                stay = ~ended
+                chunks, stop, first, at, last, k, depth = (x[stay] for x in (chunks, stop, first, at, last, k, depth))
+
+    def walk_each(self, edges: Edges, begin: np.ndarray, chunks: np.ndarray, path: np.ndarray, steps: np.ndarray) -> None:
+        """What ``walk`` finds, one chunk after the other: for few chunks, which may be long."""
+        begins, ends, pieces = memoryview(begin), memoryview(edges.end), memoryview(edges.piece)
         dead: set[int] = set()
         fits, size, goes = self.fits, self.size, self.goes
-        to_bytes, unknown, text = self.vocabulary.byte_ids, self.vocabulary.unknown, edges.text
-        ids, sizes = [], []
-        for first, length in zip(edges.first.tolist(), edges.sizes.tolist(), strict=True):
-            at, last, stop = first, -1, first + length
-            k = begin[at]
-            path: list[tuple[int, int, int]] = []
+        for chunk in chunks.tolist():
+            first = at = int(edges.first[chunk])
+            last, stop = -1, first + int(edges.sizes[chunk])
+            k = begins[at]
+            taken: list[tuple[int, int, int]] = []
             while at != stop:
-                for k in range(k, begin[at + 1]):  # noqa: B020
+                for k in range(k, begins[at + 1]):  # noqa: B020
                     end = ends[k]
                     if end in dead:
                         continue
@@ -144,48 +213,62 @@ class Encoder:
                     if good is None:
                         good = fits[pair] = goes(last, piece)
                     if good:
-                        path.append((at, last, k))
+                        taken.append((at, last, k))
                         at, last = end, piece if piece >= 0 else -2
-                        ids.append(piece)
-                        k = begin[at]
+                        k = begins[at]
                         break
                 else:
                     dead.add(at)
-                    at, last, k = path.pop()
+                    at, last, k = taken.pop()
                     k += 1
-                    ids.pop()
-            sizes.append(len(path))
-            if -1 in ids[len(ids) - len(path) :]:
-                # Unknown letters: the pieces of their bytes.
-                own = ids[len(ids) - len(path) :]
-                del ids[len(ids) - len(path) :]
-                before = len(ids)
-                for (start, _, _), piece in zip(path, own, strict=True):
-                    if piece >= 0:
-                        ids.append(piece)
-                    else:
-                        raw = chr(text[start]).encode("utf-8", "surrogatepass")
-                        ids.extend([to_bytes[b] for b in raw] if to_bytes else [unknown])
-                sizes[-1] = len(ids) - before
-        return np.array(ids, np.int32), np.array(sizes, np.int64)
+            path[first : first + len(taken)] = [k for _, _, k in taken]
+            steps[chunk] = len(taken)
+
+    def relax(self, edges: Edges) -> tuple[np.ndarray, np.ndarray]:
+        """Per chunk the ids on its path, and their number."""
+        if len(self.fits) > self.PAIRS:
+            self.fits.clear()
+        n = len(edges.text)
+        begin = np.searchsorted(edges.start, np.arange(n + 2))
+        path, steps = np.zeros(n + 1, np.int64), np.zeros(len(edges.first), np.int64)
+        long = edges.sizes > self.LONG
+        self.walk(edges, begin, np.flatnonzero(~long), path, steps)
+        self.walk_each(edges, begin, np.flatnonzero(long), path, steps)
+        taken = path[ragged(edges.first, steps)]
+        ids = edges.piece[taken].astype(np.int32)
+        alone = np.flatnonzero(ids < 0)
+        if len(alone):
+            # Unknown letters: the pieces of their bytes.
+            to_bytes, unknown = self.vocabulary.byte_ids, self.vocabulary.unknown
+            raws = [chr(c).encode("utf-8", "surrogatepass") for c in edges.text[edges.start[taken[alone]]].tolist()]
+            own = [[to_bytes[b] for b in raw] if to_bytes else [unknown] for raw in raws]
+            times = np.ones(len(ids), np.int64)
+            times[alone] = list(map(len, own))
+            ids = np.repeat(ids, times)
+            ids[ids < 0] = [i for some in own for i in some]
+            total = np.concatenate([[0], np.cumsum(times)])
+            ends = np.cumsum(steps)
+            steps = total[ends] - total[ends - steps]
+        return ids, steps
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and the number of each text's; none for null and empty texts."""
         if len(self.code) > self.BOUND:
             self.clear()
-        code, new, chunks = self.code, [], self.vocabulary.chunks
+        code, chunks = self.code, self.vocabulary.chunks
+        known = len(code)
         flat, counts = [], []
         for text in texts:
             parts = chunks(text) if text else []
             counts.append(len(parts))
-            for part in parts:
-                at = code.get(part)
-                if at is None:
-                    at = code[part] = len(code)
-                    new.append(part)
-                flat.append(at)
+            flat.extend(map(code.__getitem__, parts))
+        new = list(islice(reversed(code), len(code) - known))[::-1]
         if new:
-            ids, sizes = self.relax(self.vocabulary.index.edges(new))
+            # Some at a time: the edges of a slice's new chunks may take a hundred times its bytes.
+            size = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+            cuts = [0, *(np.flatnonzero(np.diff(size // self.LETTERS)) + 1).tolist(), len(new)]
+            done = [self.relax(self.vocabulary.index.edges(new[a:b])) for a, b in pairwise(cuts)]
+            ids, sizes = (np.concatenate([x[k] for x in done]) for k in (0, 1))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
         at = np.array(flat, np.int64)
@@ -200,16 +283,6 @@ class Encoder:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-_kept: list[Encoder] = []
-
-
-def encoder(vocabulary: Vocabulary) -> Encoder:
-    """The worker process's encoder: what it remembers serves the next task too."""
-    if not _kept or _kept[0].vocabulary is not vocabulary:
-        _kept[:] = [Encoder(vocabulary)]
-    return _kept[0]
-
-
 def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, ids, n_tokens, and round_trip: whether decoding the ids gives the text again.
 
@@ -226,9 +299,9 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
     )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = encoder(shared.value)
+        work = kept(Encoder, shared.value)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 21):
+            for part in slices(batch, "text", 1 << 20):
                 texts = part.column("text").to_pylist()
                 ids, sizes = work.encode(texts)
                 ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -247,7 +320,7 @@ def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_c
     key = encoded.schema[id_col].dataType.simpleString()
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = encoder(shared.value)
+        work = kept(Encoder, shared.value)
         for batch in batches:
             found = [None if ids is None else work.decode(ids) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.string())], ["doc_id", "text"])

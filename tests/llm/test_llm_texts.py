@@ -1,6 +1,7 @@
 """Tokens, languages and quality: against the library, sums over all segmentations, and held-out accuracy."""
 
 import random
+import weakref
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from llm_cases import corpus, documents
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from millrace.llm import language, pieces, quality
+from millrace.llm import common, language, lattice, pieces, quality
 from millrace.llm.lattice import Vocabulary
 
 ODD = ["", None, " ", "  a  b\n\tc ", "\n\n", "é\x00b", "e\u0301 ﬁ ﷺ", "a" * 700, " " * 90, "日本語 text 😀😀", "x\r\n  y", "\u2581x", "</s><unk><0x41>", "ÀÉÎ" * 50]
@@ -55,6 +56,49 @@ def test_memory_is_bounded_without_changing_ids(vocabulary, monkeypatch):
     assert whole.encode(texts)[0].tolist() == [i for t in texts for i in parts.encode([t])[0].tolist()]
 
 
+def test_chunks_take_their_steps_together(vocabulary, monkeypatch):
+    rng = random.Random(7)
+    texts = [*ODD, *(noise(rng, rng.randrange(400)) for _ in range(200))]
+    together = pieces.Encoder(vocabulary)
+    ids, sizes = together.encode(texts)
+    monkeypatch.setattr(pieces.Encoder, "LONG", 0)
+    each = pieces.Encoder(vocabulary).encode(texts)
+    assert (ids == each[0]).all() and (sizes == each[1]).all()
+    # A full table of pairs forgets, and asks again.
+    monkeypatch.undo()
+    monkeypatch.setattr(pieces.Encoder, "SLOT_BITS", 4)
+    again = pieces.Encoder(vocabulary).encode(texts)
+    assert (ids == again[0]).all() and (sizes == again[1]).all()
+
+
+def test_edges_of_a_bounded_number_of_letters_at_once(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces.Encoder, "LETTERS", 50)
+    asked, plain = [], lattice.Index.edges
+
+    def edges(index, words, by_end=False):
+        asked.append(list(words))
+        return plain(index, words, by_end)
+
+    monkeypatch.setattr(lattice.Index, "edges", edges)
+    rng = random.Random(8)
+    texts = [noise(rng, 300) for _ in range(20)]
+    ids, _ = pieces.Encoder(vocabulary).encode(texts)
+    assert len(asked) > 5 and all(sum(map(len, words[1:])) <= 50 for words in asked)
+    assert ids.tolist() == [i for t in texts for i in SentencePieceProcessor(model_file=pieces.MODEL).encode(t)]
+
+
+def test_a_worker_keeps_one_model(vocabulary):
+    # Spark reuses a worker: what an earlier operator remembered goes when the next one begins.
+    first = common.kept(pieces.Encoder, vocabulary)
+    assert common.kept(pieces.Encoder, vocabulary) is first
+    gone = weakref.ref(first)
+    del first
+    model = language.fit(vocabulary, [("en", " the", 2), ("de", " der", 1)], rounds=1)
+    second = common.kept(language.Scorer, model)
+    assert gone() is None and common.kept(language.Scorer, model) is second
+    common._kept.clear()
+
+
 def segmentations(word, table):
     """The summed weight of all ways to cut a word into pieces, by recursion."""
     if not word:
