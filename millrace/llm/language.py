@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import slices
+from .common import kept, slices
 from .lattice import Edges, Index, Vocabulary
 from .pieces import MODEL
 
@@ -266,16 +266,6 @@ def train(docs: DataFrame, vocabulary: Vocabulary | None = None, sample: int = S
     return fit(vocabulary, [(r.lang, r.chunk, r.n) for r in rows])
 
 
-_kept: list[Scorer] = []
-
-
-def scorer(model: LanguageModel) -> Scorer:
-    """The worker process's scorer: what it remembers serves the next task too."""
-    if not _kept or _kept[0].model is not model:
-        _kept[:] = [Scorer(model)]
-    return _kept[0]
-
-
 def predict(model: LanguageModel | None, work: Scorer | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Per text the likeliest learned language and its posterior (all of them and the background alike beforehand)."""
     if model is None:
@@ -306,7 +296,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
 
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        work = None if known is None else scorer(known)
+        work = None if known is None else kept(Scorer, known)
         for batch in batches:
             for part in slices(batch, text_col, 1 << 21):
                 languages, scores = predict(known, work, part.column(text_col).to_pylist())
