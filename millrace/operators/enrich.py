@@ -93,8 +93,32 @@ def enrich_lines(
     )
 
 
-def enrich_refunds(refunds: DataFrame, enriched_orders: DataFrame) -> DataFrame:
-    """Refunds with the context of their order."""
+#: Columns of the enriched refunds.
+REFUND_COLUMNS = (
+    "refund_id",
+    "order_id",
+    "customer_id",
+    "restaurant_id",
+    "courier_id",
+    "refund_ts",
+    "refund_reason",
+    "refund_amount",
+    "currency_id",
+    "refund_date_utc",
+    "order_placed_at",
+    "order_date_utc",
+    "latest_status",
+    "delivered_at",
+    "canceled_at",
+    "total_amount",
+    "items_subtotal",
+    "expected_total_minus_total_amount",
+    "is_refund_not_exceed_total",
+)
+
+
+def enrich_refunds(refunds: DataFrame, enriched_orders: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Refunds with the context of their order; ``also`` names further columns of the order."""
     context = enriched_orders.select(
         "order_id",
         "customer_id",
@@ -108,23 +132,11 @@ def enrich_refunds(refunds: DataFrame, enriched_orders: DataFrame) -> DataFrame:
         "total_amount",
         "items_subtotal",
         "expected_total_minus_total_amount",
+        *also,
     )
     joined = lookup_join(refunds, context, "order_id")
     within = money("refund_amount") <= F.col("total_amount")
-    return joined.select(
-        "refund_id",
-        "order_id",
-        "customer_id",
-        "restaurant_id",
-        "courier_id",
-        "refund_ts",
-        "refund_reason",
-        "refund_amount",
-        "currency_id",
-        "refund_date_utc",
-        *context.columns[4:],
-        within.alias("is_refund_not_exceed_total"),
-    )
+    return joined.withColumn("is_refund_not_exceed_total", within).select(*REFUND_COLUMNS, *also)
 
 
 def role_playing(facts: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str], attributes: Sequence[str]) -> DataFrame:

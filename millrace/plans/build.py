@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.enrich import enrich_lines
 from millrace.operators.quality import Watch, report, rule_counts, with_status
 from millrace.plans.checks import KEPT_AS, business_rules, declared_checks, raw_with_staged, relations
 from millrace.plans.staging import DAY_COLUMNS, STAGED
@@ -126,8 +129,19 @@ class StoredWarehouse(Warehouse):
             return super().days_of(table, day)
         return stored_days(self.raw[table], raw).withColumnRenamed(raw, day)
 
+    @cached_property
+    def order_items_enriched(self) -> DataFrame:
+        # The stored line fact without its dimension key holds the lines with their order, as the order fact does the orders.
+        lines = self.fct_order_items.select(*self.lines_with_order.columns)
+        return enrich_lines(lines, self.staged("menu_items"), self.keys_of("order_items"))
+
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a node once and let all its readers start from the table."""
+        """Write a node once and let all its readers start from the table.
+
+        The lines with their order have one reader beside the line fact, which starts from that.
+        """
+        if name == "lines_with_order":
+            return df
         gold = name in DIMENSIONS or name in FACTS
         watched = KEPT_AS.get(name, (name,) if gold else ())
         last = (lambda out: self.watch.on(out, *watched)) if self.watch else (lambda out: out)

@@ -289,6 +289,8 @@ KEPT_AS = {
     "status_rollup": ("int_status_rollup",),
     "refunds_enriched": ("int_refunds_enriched",),
     "fct_orders": ("fct_orders", "int_orders_enriched"),
+    "fct_order_items": ("fct_order_items",),
+    "fct_refunds": ("fct_refunds",),
 }
 
 

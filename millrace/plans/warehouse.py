@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.calendar import date_dimension
 from millrace.operators.enrich import (
+    REFUND_COLUMNS,
     enrich_lines,
     enrich_orders,
     enrich_refunds,
@@ -59,8 +60,9 @@ MENU_CHECK = ("item_name", "category")
 KEPT_TOGETHER = (
     ("menu_history", "restaurant_history", "items_rollup", "status_rollup", "lines_with_order"),
     ("dim_menu_items_backfill", "dim_restaurants_backfill"),
-    ("fct_orders",),
-    ("refunds_enriched",),
+    ("fct_orders", "fct_order_items"),
+    ("refunds_in_context",),
+    ("fct_refunds",),
 )
 
 
@@ -196,7 +198,15 @@ class Warehouse:
 
     @cached_property
     def refunds_enriched(self) -> DataFrame:
-        return self.keep(enrich_refunds(self.staged("refunds"), self.orders_enriched), "refunds_enriched")
+        if self.shared:
+            return self.refunds_in_context.select(*REFUND_COLUMNS)
+        return enrich_refunds(self.staged("refunds"), self.orders_enriched)
+
+    @cached_property
+    def refunds_in_context(self) -> DataFrame:
+        """Refunds with all that the enriched refunds and the refund fact take from their order, for kept nodes: one join serves both."""
+        also = ["payment_method", "payment_status", "restaurant_sk", "items_total_qty", "item_lines", "distinct_menu_items"]
+        return self.keep(enrich_refunds(self.staged("refunds"), self.fct_orders, also), "refunds_enriched")
 
     # Dimensions
 
@@ -277,7 +287,7 @@ class Warehouse:
             ["menu_item_sk", "is_current_menu_item_details"],
             keys_from=self.keys_of("order_items"),
         )
-        return bound.select(
+        fact = bound.select(
             "order_item_id",
             "order_id",
             "menu_item_id",
@@ -292,16 +302,16 @@ class Warehouse:
             "unit_price",
             "line_total",
         )
+        return self.keep(fact, "fct_order_items")
 
     @cached_property
     def fct_refunds(self) -> DataFrame:
-        refunds = self.staged("refunds")
         context = ["order_id", "customer_id", "restaurant_id", "total_amount", "payment_method", "payment_status"]
         if self.shared:
-            # The kept order fact holds the order context, the line rollup and the dimension key.
-            rollup = ["items_subtotal", "items_total_qty", "item_lines", "distinct_menu_items"]
-            joined = lookup_join(refunds, self.fct_orders.select(*context, "restaurant_sk", *rollup), "order_id")
+            # The kept refunds hold the order context, the line rollup and the dimension key.
+            joined = self.refunds_in_context
         else:
+            refunds = self.staged("refunds")
             # Refunds meet their orders first, so only theirs are bound to a version.
             headers = self.staged("orders").select(*context, "order_placed_at")
             joined = lookup_join(refunds, [headers, self.items_rollup], "order_id", keys_from=self.keys_of("refunds"))
@@ -309,7 +319,7 @@ class Warehouse:
             joined = asof_join(joined, versions, "restaurant_id", "order_placed_at", ["restaurant_sk"], keys_from=self.keys_of("orders"))
         within = F.col("refund_amount") <= F.col("total_amount")
         joined = joined.withColumn("is_refund_not_exceed_total", within)
-        return joined.select(
+        fact = joined.select(
             "refund_id",
             "order_id",
             "customer_id",
@@ -328,6 +338,7 @@ class Warehouse:
             "distinct_menu_items",
             "is_refund_not_exceed_total",
         )
+        return self.keep(fact, "fct_refunds")
 
     @cached_property
     def fct_fx_rates(self) -> DataFrame:

@@ -75,6 +75,8 @@ def run_together(steps: Iterable[Callable[[], object]]) -> list:
 PARTITION_BYTES = 64 * 1024 * 1024
 MAX_PARTITIONS = 50_000
 MAX_PARTITIONS_SETTING = "spark.millrace.maxShufflePartitions"
+# Stored layers are written once and read many times.
+STORED_CODEC = "zstd"
 # What a file of an export should hold.
 EXPORT_FILE_BYTES = 512 * 1024 * 1024
 
@@ -175,14 +177,14 @@ def shuffles_removed(spark: SparkSession):
                 spark.conf.set(CLEANUP_SETTING, _cleaning["before"])
 
 
-def write_out(df: DataFrame, label: str) -> DataFrame:
+def write_out(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Used for nodes with several readers: it cuts lineage, and a lost executor
     costs a re-read of the files instead of a recomputation. The shuffles behind the table
-    are of no more use and take no disk beside it.
+    are of no more use and take no disk beside it. ``codec`` replaces the session's Parquet codec.
     """
     path = new_path(df.sparkSession, label)
     with shuffles_removed(df.sparkSession):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
