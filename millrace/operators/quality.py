@@ -171,47 +171,61 @@ def _key(columns: Sequence[str], number: bool) -> Column:
     return F.col(columns[0]).cast("bigint") if number else _as_text(columns)
 
 
-def _entry(check: int, key: Column, is_child: bool, keep: Column) -> Column:
-    return F.struct(F.lit(check).alias("check"), F.lit(is_child).alias("is_child"), key.alias("key"), keep.alias("keep"))
+def _entry(check: int, role: int, key: Column, keep: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), F.lit(role).alias("role"), key.alias("key"), keep.alias("keep"))
 
 
 def _key_counts(relations: dict[str, DataFrame], checks: Sequence[Check]) -> list[DataFrame]:
     """(check, failures) of key checks (unique, combination, relationships), numbered in their order: a frame per type of key.
 
-    Each relation is scanned once per type of key, integer or text, and gives one (check, key) row per
-    check it takes part in, as child or as parent. Rows are counted per key before and
-    after the only shuffle of each type: a duplicate is a child key counted more than once, an
-    orphan is a child key without a parent row.
+    Each relation is scanned once per type of key, integer or text. Checks on the same column share its
+    rows: its own uniqueness and all references to it are one group, named by the first check of it, in which
+    a row has role 0 if it is the column's own and another number for each reference. Rows are counted per
+    key and role before and after the only shuffle of each type: a duplicate is an own key counted more than once,
+    an orphan is a referring key without an own row.
     """
-    by_relation: dict[tuple[bool, str], list[Column]] = {}
-    references = []
+    groups: dict[tuple, list[int]] = {}
     for n, c in enumerate(checks):
-        number = _whole_numbers(c, relations)
-        key = _key(c.columns, number)
-        keep = F.lit(True) if c.kind == "unique_combination" else key.isNotNull()
-        if c.where:
-            keep = keep & F.coalesce(F.expr(c.where), F.lit(False))
-        by_relation.setdefault((number, c.relation), []).append(_entry(n, key, True, keep))
-        if c.kind == "relationships":
-            references.append(n)
-            parent, column = c.parent
-            key = _key([column], number)
-            by_relation.setdefault((number, parent), []).append(_entry(n, key, False, key.isNotNull()))
-    orphaned = F.when(F.col("parents") == 0, F.col("children")).otherwise(F.lit(0))
-    repeated = F.when(F.col("children") > 1, F.lit(1)).otherwise(F.lit(0))
-    failures = F.when(F.col("check").isin(references), orphaned).otherwise(repeated)
+        owner = (*c.parent, None) if c.kind == "relationships" else (c.relation, *c.columns, c.where)
+        groups.setdefault((_whole_numbers(c, relations), *owner), []).append(n)
     found = []
     for number in (True, False):
-        parts = [
-            relations[name].select(F.inline(F.array(*entries))).where("keep")
-            for (kind, name), entries in by_relation.items()
-            if kind == number
-        ]
-        if parts:
-            per_key = united(parts).groupBy("check", "key").agg(
-                F.count_if("is_child").alias("children"), F.count_if(~F.col("is_child")).alias("parents")
-            )
-            found.append(per_key.groupBy("check").agg(F.sum(failures).cast("bigint").alias("failures")))
+        by_relation: dict[str, list[Column]] = {}
+        results = F.when(F.lit(False), F.lit(None).cast("array<struct<check:int,failures:bigint>>"))
+        most = 0
+        for (kind, owner, *columns, where), members in groups.items():
+            if kind != number:
+                continue
+            group, references = members[0], [n for n in members if checks[n].kind == "relationships"]
+            most = max(most, len(references))
+            key = _key(columns, number)
+            # NULL keys are a group of their own for a combination only.
+            combined = any(checks[n].kind == "unique_combination" for n in members)
+            entries = [(owner, 0, key, F.lit(True) if combined else key.isNotNull(), where)]
+            for role, n in enumerate(references, 1):
+                child = _key(checks[n].columns, number)
+                entries.append((checks[n].relation, role, child, child.isNotNull(), checks[n].where))
+            for name, role, value, keep, condition in entries:
+                if condition:
+                    keep = keep & F.coalesce(F.expr(condition), F.lit(False))
+                by_relation.setdefault(name, []).append(_entry(group, role, value, keep))
+            failures = []
+            for n in members:
+                kind_of = {"unique": "repeated", "unique_combination": "combined"}.get(checks[n].kind)
+                failures.append(F.struct(F.lit(n).alias("check"), F.col(kind_of or f"orphans{references.index(n) + 1}").alias("failures")))
+            results = results.when(F.col("check") == group, F.array(*failures))
+        if not by_relation:
+            continue
+        parts = [relations[name].select(F.inline(F.array(*entries))).where("keep") for name, entries in by_relation.items()]
+        roles = [F.count_if(F.col("role") == r).alias(f"n{r}") for r in range(most + 1)]
+        per_key = united(parts).groupBy("check", "key").agg(*roles)
+        repeated = F.col("n0") > 1
+        totals = per_key.groupBy("check").agg(
+            F.count_if(repeated & F.col("key").isNotNull()).alias("repeated"),
+            F.count_if(repeated).alias("combined"),
+            *[F.coalesce(F.sum(F.when(F.col("n0") == 0, F.col(f"n{r}"))), F.lit(0).cast("bigint")).alias(f"orphans{r}") for r in range(1, most + 1)],
+        )
+        found.append(totals.select(F.inline(results)))
     return found
 
 

@@ -31,7 +31,7 @@ from millrace.plans.roles import (
 )
 from millrace.plans.staging import DAY_COLUMNS, STAGED
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
-from millrace.session import configure, input_bytes, is_written, new_path, size_shuffles, write_out
+from millrace.session import STORED_CODEC, configure, input_bytes, is_written, new_path, size_shuffles, write_out
 from millrace.sources import bronze
 from millrace.sources.catalog import relation_counts
 from millrace.sources.history import compact, drop_replaced, read_history, record_snapshot
@@ -590,9 +590,12 @@ def dq_report(spark, sf_dir):
     watch = quality.Watch(checks.declared_checks())
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        return write_out(watch.on(df, *checks.KEPT_AS.get(name, ())), name)
+        return write_out(watch.on(df, *checks.KEPT_AS.get(name, ())), name, STORED_CODEC)
 
-    return run_checks(DerivedWarehouse(spark, sf_dir, keep=keep, watch=watch))
+    warehouse = DerivedWarehouse(spark, sf_dir, keep=keep, watch=watch)
+    # Raw lines take their day from a join with the orders, which every scan of them would run again.
+    warehouse.raw["order_items"] = keep(warehouse.raw["order_items"], "raw_order_items")
+    return run_checks(warehouse)
 
 
 @register(

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from millrace.operators import quality
+from millrace.operators.quality import Check
 from millrace.plans.build import StoredWarehouse
 from millrace.plans.warehouse import Warehouse
 from millrace.sources.bronze import export_by_day, export_table
@@ -67,3 +69,23 @@ def test_stored_tables_are_zstd(spark, tmp_path):
     for folder in ("whole", "days"):
         files = list((tmp_path / folder).rglob("*.parquet"))
         assert files and all(".zstd." in f.name for f in files)
+
+
+def test_checks_on_one_column_share_its_rows(spark, monkeypatch):
+    parent = spark.sql("select * from values (1), (2), (2), (null), (null) t(pk)")
+    children = {name: spark.sql(f"select * from values {v} t(fk)") for name, v in {"a": "(1), (3), (3), (null)", "b": "(2), (4)"}.items()}
+    checks = {
+        Check("unique", "parent", ("pk",)): 1,
+        Check("unique_combination", "parent", ("pk",)): 2,
+        Check("unique_combination", "parent", ("pk",), where="pk > 2"): 0,
+        Check("relationships", "a", ("fk",), parent=("parent", "pk")): 2,
+        Check("relationships", "b", ("fk",), parent=("parent", "pk")): 1,
+        Check("relationships", "b", ("fk",), parent=("parent", "pk"), where="fk < 4"): 0,
+    }
+    entries = []
+    real = quality._entry
+    monkeypatch.setattr(quality, "_entry", lambda *args: entries.append(args) or real(*args))
+    got = {(r.relation, r.check_name): r.failures for r in quality.report(list(checks), {"parent": parent, **children}).collect()}
+    assert got == {(c.relation, c.name): n for c, n in checks.items()}
+    # The parent's own rows once, and once more for the condition; each reference once.
+    assert len(entries) == 5
