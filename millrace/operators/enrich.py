@@ -11,6 +11,10 @@ from millrace.functions.cleaning import money
 from millrace.operators.joins import lookup_join
 
 
+#: Columns that ``reconcile`` adds.
+RECONCILED = ("subtotal_minus_items", "expected_total_from_items", "expected_total_minus_total_amount")
+
+
 def reconcile(orders: DataFrame) -> DataFrame:
     """Add the differences between header amounts and the items subtotal.
 

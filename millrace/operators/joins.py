@@ -196,3 +196,25 @@ def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFr
     """
     missing = orphans(child, fk, parent, pk).select(F.col(fk).alias(_KEY + fk))
     return child.join(missing, F.col(fk) == F.col(_KEY + fk), "left_semi")
+
+
+_BYTES, _TEXT = "__bytes_", "__text_"
+
+
+def packed(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with md5 texts as their 16 bytes, for the way through a shuffle; ``unpacked`` gives the texts back.
+
+    Half of a hexadecimal text is redundant, which the codec of the shuffle does not find. Other texts stay
+    as they are.
+    """
+    for c in names:
+        md5 = F.col(c).rlike(r"\A[0-9a-f]{32}\z")
+        df = df.select("*", F.when(md5, F.unhex(c)).alias(_BYTES + c), F.when(~md5, F.col(c)).alias(_TEXT + c)).drop(c)
+    return df
+
+
+def unpacked(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the texts that ``packed`` took, at its end."""
+    for c in names:
+        df = df.select("*", F.coalesce(F.lower(F.hex(_BYTES + c)), F.col(_TEXT + c)).alias(c)).drop(_BYTES + c, _TEXT + c)
+    return df

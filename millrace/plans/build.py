@@ -7,7 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.enrich import enrich_lines
+from millrace.operators.enrich import RECONCILED, enrich_lines, reconcile
+from millrace.operators.joins import packed, unpacked
 from millrace.operators.quality import Watch, report, rule_counts, with_status
 from millrace.plans.checks import KEPT_AS, business_rules, declared_checks, raw_with_staged, relations
 from millrace.plans.staging import DAY_COLUMNS, STAGED
@@ -34,6 +35,11 @@ FACTS = {
     "fct_refunds": "refund_date_utc",
     "fct_fx_rates": "rate_date_utc",
 }
+# Facts with the key of a dimension version, which is an md5 text, and the columns that follow from others of a row.
+VERSION_KEYS = {"fct_orders": ("restaurant_sk",), "fct_order_items": ("menu_item_sk",), "fct_refunds": ("restaurant_sk",)}
+DERIVED = {"fct_orders": (RECONCILED, reconcile)}
+# Rows of one order repeat its columns, so they are kept together within a day.
+SORTED_BY = {"fct_order_items": "order_id", "fct_refunds": "order_id"}
 
 
 # Views of the intermediate models.
@@ -87,14 +93,23 @@ def take_snapshots(raw: dict[str, DataFrame], base: str, snapshot_ts: str) -> tu
     )
 
 
-def write_gold(df: DataFrame, base: str, name: str, last: Last = lambda df: df) -> DataFrame:
-    """Write one gold table and read it back.
+def gather_by_day(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a fact by day, so that the statistics of a file cover few days and day filters skip files.
 
-    Rows of a fact are gathered by day, so that the statistics of a file cover few
-    days and day filters skip files; AQE splits a day that is too large for one.
+    AQE splits a day that is too large for one file. Columns that follow from others do not go through the
+    shuffle, and version keys do as bytes.
     """
+    derived, derive = DERIVED.get(name, ((), lambda df: df))
+    keys, day = VERSION_KEYS.get(name, ()), FACTS[name]
+    gathered = packed(df.drop(*derived), *keys).hint("rebalance", F.col(day))
+    out = derive(unpacked(gathered, *keys)).select(*df.columns)
+    return out.sortWithinPartitions(day, SORTED_BY[name]) if name in SORTED_BY else out
+
+
+def write_gold(df: DataFrame, base: str, name: str, last: Last = lambda df: df) -> DataFrame:
+    """Write one gold table, a fact gathered by day, and read it back."""
     if name in FACTS:
-        df = df.hint("rebalance", F.col(FACTS[name]))
+        df = gather_by_day(df, name)
     export_table(df, f"{base}/{name}", last)
     return df.sparkSession.read.parquet(f"{base}/{name}")
 

@@ -18,7 +18,7 @@ from millrace.operators.enrich import (
     reconciliation,
     role_playing,
 )
-from millrace.operators.joins import lookup_join
+from millrace.operators.joins import lookup_join, packed, unpacked
 from millrace.operators.quality import Watch
 from millrace.operators.rollup import line_rollup, milestone_rollup
 from millrace.operators.scd2 import asof_join, backfill_first, version_dimension
@@ -206,7 +206,10 @@ class Warehouse:
     def refunds_in_context(self) -> DataFrame:
         """Refunds with all that the enriched refunds and the refund fact take from their order, for kept nodes: one join serves both."""
         also = ["payment_method", "payment_status", "restaurant_sk", "items_total_qty", "item_lines", "distinct_menu_items"]
-        return self.keep(enrich_refunds(self.staged("refunds"), self.fct_orders, also), "refunds_enriched")
+        orders = packed(self.fct_orders, "restaurant_sk")
+        carried = [c for c in orders.columns if c in also or c not in self.fct_orders.columns]
+        found = unpacked(enrich_refunds(self.staged("refunds"), orders, carried), "restaurant_sk")
+        return self.keep(found.select(*REFUND_COLUMNS, *also), "refunds_enriched")
 
     # Dimensions
 
@@ -273,7 +276,10 @@ class Warehouse:
             ["restaurant_sk", "is_current_restaurant_details"],
             keys_from=self.keys_of("orders"),
         )
-        return self.keep(self._enriched(bound), "fct_orders")
+        narrow = packed(bound, "restaurant_sk")
+        enriched = self._enriched(narrow)
+        added = [c for c in enriched.columns if c not in narrow.columns]
+        return self.keep(unpacked(enriched, "restaurant_sk").select(*bound.columns, *added), "fct_orders")
 
     @cached_property
     def fct_order_items(self) -> DataFrame:

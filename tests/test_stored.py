@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millrace.operators import quality
 from millrace.operators.quality import Check
-from millrace.plans.build import StoredWarehouse
+from millrace.operators.enrich import RECONCILED
+from millrace.operators.joins import packed, unpacked
+from millrace.plans.build import StoredWarehouse, gather_by_day
 from millrace.plans.warehouse import Warehouse
 from millrace.sources.bronze import export_by_day, export_table
 
@@ -89,3 +91,38 @@ def test_checks_on_one_column_share_its_rows(spark, monkeypatch):
     assert got == {(c.relation, c.name): n for c, n in checks.items()}
     # The parent's own rows once, and once more for the condition; each reference once.
     assert len(entries) == 5
+
+
+def test_md5_texts_are_carried_as_bytes(spark):
+    texts = ["0" * 32, "0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "a" * 31, "a" * 32 + "\n", "g" * 32, "m1", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, key string")
+    narrow = packed(df, "key")
+    held = {r["id"]: (r["__bytes_key"], r["__text_key"]) for r in narrow.collect()}
+    assert held[1] == (bytes.fromhex(texts[1]), None)
+    assert {i for i, (found, _) in held.items() if found is not None} == {0, 1}
+    assert rows(unpacked(narrow, "key")) == rows(df)
+
+
+def plan_below_gathering(df):
+    """The columns of the shuffle that gathers a fact by day."""
+    lines = df._jdf.queryExecution().optimizedPlan()
+    while lines.nodeName() != "RebalancePartitions":
+        lines = lines.children().head()
+    return {lines.output().apply(i).name() for i in range(lines.output().size())}
+
+
+def test_facts_are_gathered_narrow(spark, raw, tmp_path):
+    """Version keys go by day as bytes, what reconciliation derives not at all, and lines of an order end up side by side."""
+    menu, restaurants = histories(spark)
+    stored = StoredWarehouse(raw, str(tmp_path), menu, restaurants.withColumn("scd_id", F.md5("scd_id")))
+    plain = Warehouse(raw, menu, restaurants.withColumn("scd_id", F.md5("scd_id")))
+    gathered = gather_by_day(plain.fct_orders, "fct_orders")
+    columns = plan_below_gathering(gathered)
+    assert "__bytes_restaurant_sk" in columns and not columns & {"restaurant_sk", *RECONCILED}
+    for name in ("fct_orders", "fct_order_items", "fct_refunds"):
+        one, other = getattr(stored, name), getattr(plain, name)
+        assert (one.columns, rows(one)) == (other.columns, rows(other))
+    order = [F.spark_partition_id(), "order_date_utc", "order_id"]
+    lines = spark.range(400).selectExpr("id % 90 as order_id", "date_add(date'2024-01-01', cast(id % 3 as int)) as order_date_utc", "'m' as menu_item_sk")
+    found = [tuple(r) for r in gather_by_day(lines, "fct_order_items").select(*order).collect()]
+    assert len(found) == 400 and found == sorted(found)
