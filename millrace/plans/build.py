@@ -13,7 +13,7 @@ from millrace.operators.quality import Watch, report, rule_counts, with_status
 from millrace.plans.checks import KEPT_AS, business_rules, declared_checks, raw_with_staged, relations
 from millrace.plans.staging import DAY_COLUMNS, STAGED
 from millrace.plans.warehouse import MENU_CHECK, RESTAURANT_CHECK, Warehouse
-from millrace.session import configure, discard_written, input_bytes, run_together, size_shuffles, written_so_far
+from millrace.session import configure, delete, discard_written, input_bytes, run_together, size_shuffles, written_so_far
 from millrace.sources.bronze import Last, day_files, export_table, register_raw, stored_days, with_day, with_parent_day, write_days
 from millrace.sources.history import record_snapshot
 
@@ -40,6 +40,9 @@ VERSION_KEYS = {"fct_orders": ("restaurant_sk",), "fct_order_items": ("menu_item
 DERIVED = {"fct_orders": (RECONCILED, reconcile)}
 # Rows of one order repeat its columns, so they are kept together within a day.
 SORTED_BY = {"fct_order_items": "order_id", "fct_refunds": "order_id"}
+# The fact with the most rows is written down before it is gathered: else the shuffles of its joins and of the
+# gathering, several times the table itself, lie on disk together.
+IN_STEPS = ("fct_order_items",)
 
 
 # Views of the intermediate models.
@@ -93,24 +96,32 @@ def take_snapshots(raw: dict[str, DataFrame], base: str, snapshot_ts: str) -> tu
     )
 
 
-def gather_by_day(df: DataFrame, name: str) -> DataFrame:
+def gather_by_day(df: DataFrame, name: str, step: str | None = None) -> DataFrame:
     """Rows of a fact by day, so that the statistics of a file cover few days and day filters skip files.
 
     AQE splits a day that is too large for one file. Columns that follow from others do not go through the
-    shuffle, and version keys do as bytes.
+    shuffle, and version keys do as bytes. With ``step`` the rows are first written to that path and read
+    back, and the shuffles behind them are gone before they are gathered.
     """
     derived, derive = DERIVED.get(name, ((), lambda df: df))
     keys, day = VERSION_KEYS.get(name, ()), FACTS[name]
-    gathered = packed(df.drop(*derived), *keys).hint("rebalance", F.col(day))
+    narrow = packed(df.drop(*derived), *keys)
+    if step:
+        export_table(narrow, step)
+        narrow = df.sparkSession.read.schema(narrow.schema).parquet(step)
+    gathered = narrow.hint("rebalance", F.col(day))
     out = derive(unpacked(gathered, *keys)).select(*df.columns)
     return out.sortWithinPartitions(day, SORTED_BY[name]) if name in SORTED_BY else out
 
 
 def write_gold(df: DataFrame, base: str, name: str, last: Last = lambda df: df) -> DataFrame:
     """Write one gold table, a fact gathered by day, and read it back."""
+    step = f"{base}/{name}.step" if name in IN_STEPS else None
     if name in FACTS:
-        df = gather_by_day(df, name)
+        df = gather_by_day(df, name, step)
     export_table(df, f"{base}/{name}", last)
+    if step:
+        delete(df.sparkSession, step)
     return df.sparkSession.read.parquet(f"{base}/{name}")
 
 

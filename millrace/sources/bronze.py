@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.cleaning import utc_day
 from millrace.operators.joins import lookup_join
-from millrace.session import EXPORT_FILE_BYTES, STORED_CODEC, delete, setting
+from millrace.session import EXPORT_FILE_BYTES, STORED_CODEC, delete, setting, shuffles_removed
 
 
 #: What is done to a table as the last step before it is written, e.g. to watch its rows.
@@ -22,8 +22,9 @@ Last = Callable[[DataFrame], DataFrame]
 
 
 def export_table(df: DataFrame, path: str, last: Last = lambda df: df) -> None:
-    """Write a whole table as one Parquet dataset."""
-    last(df).write.mode("overwrite").parquet(path, compression=STORED_CODEC)
+    """Write a whole table as one Parquet dataset; the shuffles behind it are deleted with the end of the write."""
+    with shuffles_removed(df.sparkSession):
+        last(df).write.mode("overwrite").parquet(path, compression=STORED_CODEC)
 
 
 def with_day(df: DataFrame, ts: str, day: str) -> DataFrame:
@@ -58,7 +59,8 @@ def write_days(df: DataFrame, path: str, day: str, last: Last = lambda df: df) -
     The rebalance step gathers each day into few files and lets AQE split a day
     that is much larger than the others, so that no single task writes it alone.
     """
-    last(df.hint("rebalance", F.col(day))).write.mode("overwrite").partitionBy(day).parquet(path, compression=STORED_CODEC)
+    with shuffles_removed(df.sparkSession):
+        last(df.hint("rebalance", F.col(day))).write.mode("overwrite").partitionBy(day).parquet(path, compression=STORED_CODEC)
 
 
 def export_by_day(df: DataFrame, path: str, day: str, file_bytes: int = EXPORT_FILE_BYTES) -> None:
@@ -116,7 +118,7 @@ def export_changed_days(df: DataFrame, path: str, day: str, file_bytes: int = EX
         if changed:
             days = F.broadcast(spark.createDataFrame([(d,) for d in changed], "__day date"))
             rows = df.join(days, F.col(day).eqNullSafe(F.col("__day")), "left_semi")
-            with day_files(spark, file_bytes):
+            with day_files(spark, file_bytes), shuffles_removed(spark):
                 gathered = rows.hint("rebalance", F.col(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 gathered.partitionBy(day).parquet(path, compression=STORED_CODEC)
         for d in gone:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.temporal import timestamp
 from millrace.operators.scd2 import first_history, merge_snapshot
+from millrace.session import shuffles_removed
 from millrace.sources.catalog import files_query
 
 
@@ -198,7 +199,8 @@ def record_snapshot(
     # The instant is written first: only the run's own _SUCCESS makes both count.
     at.write.mode("overwrite").parquet(f"{base}/taken={last + 1:08d}")
     state = F.when(F.col("valid_to").isNull(), F.lit("current")).otherwise(F.lit("closed"))
-    merged.withColumn("state", state).write.partitionBy("state").parquet(f"{base}/run={last + 1:08d}")
+    with shuffles_removed(spark):
+        merged.withColumn("state", state).write.partitionBy("state").parquet(f"{base}/run={last + 1:08d}")
     if len(runs) + 1 >= compact_every:
         compact(spark, base)
     stored = read_history(spark, base)

@@ -1,5 +1,7 @@
 """What a stored warehouse writes, and what it derives from what is written."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,9 +10,11 @@ from millrace.operators import quality
 from millrace.operators.quality import Check
 from millrace.operators.enrich import RECONCILED
 from millrace.operators.joins import packed, unpacked
-from millrace.plans.build import StoredWarehouse, gather_by_day
-from millrace.plans.warehouse import Warehouse
+from millrace.plans import build
+from millrace.plans.build import FACTS, StoredWarehouse, gather_by_day
+from millrace.plans.warehouse import KEPT_TOGETHER, Warehouse
 from millrace.sources.bronze import export_by_day, export_table
+from millrace.sources.history import record_snapshot
 
 
 @pytest.fixture(scope="module")
@@ -126,3 +130,59 @@ def test_facts_are_gathered_narrow(spark, raw, tmp_path):
     lines = spark.range(400).selectExpr("id % 90 as order_id", "date_add(date'2024-01-01', cast(id % 3 as int)) as order_date_utc", "'m' as menu_item_sk")
     found = [tuple(r) for r in gather_by_day(lines, "fct_order_items").select(*order).collect()]
     assert len(found) == 400 and found == sorted(found)
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files on the disk of this application."""
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    found = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in found if name.startswith("shuffle_")}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """Shuffles behind a stored layer are deleted with the end of its write, not when the driver collects garbage."""
+    df = spark.range(300).selectExpr("id", "id % 5 as g", "date_add(date'2024-01-01', cast(id % 3 as int)) as d")
+    source = df.groupBy("g").agg(F.max("id").alias("n"))
+    # Each with the shuffles of other jobs in it: the snapshot's search for repeated keys.
+    steps = [
+        (lambda: export_table(df.repartition(3, "g"), str(tmp_path / "whole")), 0),
+        (lambda: export_by_day(df, str(tmp_path / "days"), "d"), 0),
+        (lambda: record_snapshot(source, str(tmp_path / "history"), "g", ("n",), "2024-01-01 00:00:00"), 1),
+    ]
+
+    def shuffles():
+        return {name.split("_")[1] for name in shuffle_files(spark)}
+
+    for write, others in steps:
+        before, until = shuffles(), time.time() + 15
+        write()
+        while len(shuffles() - before) > others and time.time() < until:
+            time.sleep(0.2)
+        assert len(shuffles() - before) <= others
+    assert spark.read.parquet(str(tmp_path / "whole")).count() == 300
+    assert spark.read.parquet(str(tmp_path / "days")).count() == 300
+
+
+def test_lines_are_written_down_before_they_are_gathered(spark, raw, tmp_path, monkeypatch):
+    """The joins of the line fact end in a step of its own, which is deleted once the fact is stored."""
+    written = []
+    real = build.export_table
+    monkeypatch.setattr(build, "export_table", lambda df, path, *last: written.append((path, df)) or real(df, path, *last))
+    menu, restaurants = histories(spark)
+    keys = F.md5("scd_id").alias("scd_id")
+    menu = menu.unionByName(menu.withColumn("menu_item_id", F.lit(51).cast("bigint")).withColumn("scd_id", keys))
+    stored, plain = StoredWarehouse(raw, str(tmp_path), menu, restaurants), Warehouse(raw, menu, restaurants)
+    one, other = stored.fct_order_items, plain.fct_order_items
+    assert (one.dtypes, rows(one)) == (other.dtypes, rows(other)) and one.count() == 3
+    step, fact = [(path, df) for path, df in written if "fct_order_items" in path]
+    assert step[0] == f"{fact[0]}.step"
+    assert "__bytes_menu_item_sk" in step[1].columns
+    plan = fact[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Rebalance" in plan and "Join" not in plan
+    assert not (tmp_path / "gold" / "fct_order_items.step").exists()
+
+
+def test_large_facts_are_not_joined_side_by_side():
+    large = {"fct_orders", "fct_order_items", "refunds_in_context", "fct_refunds"}
+    assert large < {*FACTS, "refunds_in_context"}
+    assert all(len(large.intersection(level)) <= 1 for level in KEPT_TOGETHER)
